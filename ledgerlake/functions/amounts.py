@@ -33,23 +33,9 @@ def parse_amount(c: Column, locale: str = "auto") -> Column:
 
 
 def exact_cents_text(c: Column) -> Column:
-    """``%.2f`` of a double rounded by its exact binary value, as C and Python print it.
+    """``%.2f`` of a double rounded by its exact binary value, ties to even, as C and Python do.
 
-    The JVM's formatter rounds the shortest decimal text half up, so it errs only where that text
-    has a lone 5 in its third decimal. Those values are nudged off the tie: the sign of
-    ``x * 1000 - n`` is taken exactly with an error-free product (Veltkamp split), and a true tie
-    goes to the even cent.
+    ``format_string`` would round the shortest decimal text half up instead: 0.125 to 0.13, and
+    2.675, which is stored slightly below, to 2.68.
     """
-    x = F.abs(c)
-    n = F.rint(x * 1000)
-    tie = (n / 1000 == x) & (F.pmod(n, F.lit(10.0)) == 5) & (x < 1e12)
-    split = x * 134217729.0
-    high = split - (split - x)
-    low = x - high
-    product = x * 1000
-    residue = (product - n) + ((high * 1000 - product) + low * 1000)
-    even_below = F.pmod(F.floor(n / 10), F.lit(2)) == 0
-    down = (residue < 0) | ((residue == 0) & even_below)
-    nudged = F.when(down, n - 1).otherwise(n + 1) / 1000
-    value = F.when(tie, F.when(c < 0, -nudged).otherwise(nudged)).otherwise(c)
-    return F.when(c.isNotNull(), F.format_string("%.2f", value))
+    return F.call_function("format_number", c, F.lit("0.00"))

@@ -43,12 +43,13 @@ def _fold_table() -> tuple[str, str]:
         if unicodedata.category(ch).startswith("M"):
             marks.append(ch)
             continue
+        if not unicodedata.decomposition(ch) or unicodedata.decomposition(ch).startswith("<"):
+            continue
         bare = "".join(
             p for p in unicodedata.normalize("NFD", ch) if not unicodedata.category(p).startswith("M")
         )
-        if bare != ch:
-            source.append(ch)
-            target.append(bare)
+        source.append(ch)
+        target.append(bare)
     return "".join(source + marks), "".join(target)
 
 
