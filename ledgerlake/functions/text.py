@@ -11,11 +11,15 @@ from pyspark.sql import Column, functions as F
 # Every character Python's str.strip() removes.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
-# Characters after which a word starts, besides whitespace (fixed values of the SQL dialect's INITCAP).
-WORD_DELIMITERS = "[](){}/|\\<>!?@\"^#$&~_,.:;*%+-"
+# Every word delimiter but the space, as a regular expression. ASCII ranges: all punctuation but
+# apostrophe, equals sign and backquote.
+_WORD_BREAK = (
+    r"([!-&(-/:-<>-@\[-_{-~\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])"
+)
 
-# A Unicode noncharacter: never part of text, so it can mark an inserted word break.
-_BREAK = "\ufdd0 "
+# Marks an inserted word break. Text that holds the first one takes the second, a Unicode
+# noncharacter, which takes initcap's slower way for text beyond ASCII.
+_BREAK, _RARE_BREAK = "\x01 ", "\ufdd0 "
 
 _HANGUL_FIRST, _HANGUL_LAST = 0xAC00, 0xD7A3
 
@@ -100,11 +104,11 @@ def initcap_words(c: Column) -> Column:
     The native ``initcap`` breaks words at spaces only, so a break is inserted behind every other
     delimiter before it and taken out after it.
     """
-    breaks = "".join("\\" + ch for ch in WORD_DELIMITERS) + "".join(
-        ch for ch in WHITESPACE if ch != " "
-    )
-    marked = F.regexp_replace(c, f"([{breaks}])", f"$1{_BREAK}")
-    return F.replace(F.initcap(marked), F.lit(_BREAK), F.lit(""))
+    def titled(mark: str) -> Column:
+        marked = F.regexp_replace(c, _WORD_BREAK, f"$1{mark}")
+        return F.replace(F.initcap(marked), F.lit(mark), F.lit(""))
+
+    return F.when(c.contains(_BREAK[0]), titled(_RARE_BREAK)).otherwise(titled(_BREAK))
 
 
 def split_packed(c: Column, index: int, sep: str = "|") -> Column:

@@ -89,9 +89,13 @@ def inline_rules(rules: DataFrame, limit: int = MAX_INLINE_RULES) -> InlineRules
         return None
     # NULL priorities come first, as in an ascending sort.
     rows.sort(key=lambda r: (r.priority is not None, r.priority or 0, r.rule_id))
+    # Of equal needle and gate only the first can win.
+    first = {}
+    for r in rows:
+        first.setdefault((r.needle, r.gate), r.value)
     schema = rules.select(F.lit(0).alias("_rule"), "value").schema
-    table = rules.sparkSession.createDataFrame([(i, r.value) for i, r in enumerate(rows)], schema)
-    return InlineRules([(r.needle, r.gate) for r in rows], table)
+    table = rules.sparkSession.createDataFrame(list(enumerate(first.values())), schema)
+    return InlineRules(list(first), table)
 
 
 def _case_position(order: list[tuple[str, int]], text: Column, sign: Column) -> Column:

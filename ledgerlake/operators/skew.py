@@ -16,6 +16,16 @@ SALTS = 64
 MAX_HOT_KEYS = 256
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal the rows out when a scan has too few pieces to keep the cluster's cores busy.
+
+    A file with one row group is read by one task however large it is. Inputs with enough pieces,
+    as all large tables have, are left alone. Filters and column pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, key: str, rows: int = 5_000_000, fraction: float = 0.001) -> list:
     """Keys estimated to hold more than ``rows`` rows, from a sampled count.
 

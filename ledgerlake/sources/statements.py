@@ -39,7 +39,8 @@ NA_TEXTS = (
 # A CSV field and record; quotes count only where a field starts. Possessive, hence linear.
 _FIELD = r'(?:"(?:[^"]++|"")*+"[^,\n]*+|[^,\n]*+)'
 _RECORD = rf"({_FIELD}(?:,{_FIELD})*+)(?:\n|\z)"
-_OPEN_QUOTE = r'(?:^|,)"(?:[^"]|"")*$'
+_CLOSED_FIELD = r'(?:"(?:[^"]++|"")*+"[^,\n]*+|(?!")[^,\n]*+)'
+_OPEN_QUOTE = rf'^(?:{_CLOSED_FIELD},)*+"(?:[^"]++|"")*+$'
 
 _LAYOUT = r"([^/]+)/([^/]+)/(?:PENDING/)?([^/]+)$"
 
@@ -87,21 +88,38 @@ def config_frame(spark: SparkSession, configs: Sequence[AccountConfig]) -> DataF
     ))
 
 
+def _pieces(c: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit(","), c), F.lit(f",{_FIELD}"), 0)
+
+
 def split_record(c: Column) -> Column:
     """Fields of one CSV record; only records with quotes pay for the regular expression."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), c), F.lit(f",{_FIELD}"), 0)
-
     def unquote(piece: Column) -> Column:
-        field = piece.substr(F.lit(2), F.length(piece))
-        inner = F.regexp_replace(field, r'(?s)^"((?:[^"]++|"")*+)"(.*)$', "$1$2")
-        return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+        inner = piece.substr(F.lit(3), F.length(piece) - 3)
+        plain = piece.endswith('"') & ~inner.contains('"')
+        general = F.regexp_replace(piece, r'(?s)^,"((?:[^"]++|"")*+)"(.*)$', "$1$2")
+        return (
+            F.when(~piece.startswith(',"'), piece.substr(F.lit(2), F.length(piece)))
+            .when(plain, inner)
+            .otherwise(F.replace(general, F.lit('""'), F.lit('"')))
+        )
 
-    return F.when(c.contains('"'), F.transform(raw, unquote)).otherwise(F.split(c, ","))
+    return F.when(c.contains('"'), F.transform(_pieces(c), unquote)).otherwise(F.split(c, ","))
 
 
 def _field_count(c: Column) -> Column:
     commas = F.length(c) - F.length(F.replace(c, F.lit(","), F.lit("")))
-    return F.when(c.contains('"'), F.size(split_record(c))).otherwise(commas + 1)
+    return F.when(c.contains('"'), F.size(_pieces(c))).otherwise(commas + 1)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns computed once per row.
+
+    A generator over a single struct is a wall for the optimizer, which would otherwise repeat an
+    expression in every filter and projection that uses it.
+    """
+    added = F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*[c for c in df.columns if c not in columns], added)
 
 
 def _without_bom(c: Column) -> Column:
@@ -172,9 +190,9 @@ def _small_csv(spark: SparkSession, root, config: DataFrame, limit: int) -> Data
     ))
     # A rejected file keeps one row, without cells, to be reported by.
     lines = F.when(F.col("reason").isNull(), F.col("body"))
-    rows = files.withColumn("line", F.explode_outer(lines))
-    return rows.withColumn("cells", split_record(F.col("line"))).withColumn(
-        "days", F.lit(None).cast("array<string>")
+    rows = files.withColumn("line", F.explode_outer(lines)).withColumn("days", F.lit(None).cast("array<string>"))
+    return once(
+        rows.select("line", *[c for c in _ROW if c != "cells"]), cells=split_record(F.col("line"))
     ).select(*_ROW)
 
 
@@ -226,9 +244,8 @@ def rows_from_lines(lines: DataFrame, config: DataFrame) -> DataFrame:
         "path", "head_no", "reason", *[c for c in _ROW if c.startswith("at_")]
     )
     body = lines.where(in_data).join(accepted, "path").where(F.col("line_no") > F.col("head_no"))
-    rows = body.withColumns({
-        "cells": split_record(F.col("value")), "days": F.lit(None).cast("array<string>"),
-    })
+    rows = body.withColumn("days", F.lit(None).cast("array<string>"))
+    rows = once(rows.select("value", *[c for c in _ROW if c != "cells"]), cells=split_record(F.col("value")))
     # Every file also keeps one row without cells, to be reported by.
     return rows.select(*_ROW).unionByName(files.select(*_ROW))
 
@@ -318,13 +335,14 @@ def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None])
             day = F.when(F.col("date_format") == fmt, parse_date(day_text, fmt)).otherwise(day)
     amount_text = _cell(F.col("at_importe"))
     amount = F.when(F.col("plain_numbers"), parse_number(amount_text)).otherwise(parse_amount(amount_text))
-    rows = rows.withColumns({
-        "fecha": F.coalesce(F.get("days", F.col("at_fecha")), day.cast("string")),
-        "concepto": _cell(F.col("at_concepto")),
-        "importe": amount,
-        "entidad": F.coalesce("entidad_label", capitalize(F.col("bank"))),
-        "origen": F.coalesce("origen_label", capitalize(F.col("account"))),
-    })
+    rows = once(
+        rows,
+        fecha=F.coalesce(F.get("days", F.col("at_fecha")), day.cast("string")),
+        concepto=_cell(F.col("at_concepto")),
+        importe=amount,
+        entidad=F.coalesce("entidad_label", capitalize(F.col("bank"))),
+        origen=F.coalesce("origen_label", capitalize(F.col("account"))),
+    )
     filled = F.forall("at_extra", lambda place: _cell(place).isNotNull())
     in_state = F.col("status_value").isNull() | F.coalesce(
         F.get("cells", F.col("at_status")) == F.col("status_value"), F.lit(False)

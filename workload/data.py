@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.functions import hash_id
 from ledgerlake.operators.flags import Household
+from ledgerlake.operators.skew import spread_scan
 from ledgerlake.schemas import MASTER_RULES
 
 HOUSE = Household(bank="Bank1", contributors=(("ANA", "Aportación"), ("LUIS", "Aportación Luis")))
@@ -54,6 +55,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_scan(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+
+
 def master_rules(spark: SparkSession) -> DataFrame:
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MASTER_RULES.fields)
     return spark.createDataFrame(MASTER, f"rule_id long, {names}")
@@ -69,7 +74,8 @@ def category_rules(spark: SparkSession) -> DataFrame:
 
 def txn(spark: SparkSession, folder: str) -> DataFrame:
     """Bank movements made from order lines and part names."""
-    l = table(spark, folder, "lineitem")
+    l = spread_scan(table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"))
     p = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     key = F.col("l_orderkey")
     prefix = (

@@ -126,13 +126,13 @@ def capitalize_names(spark, d):
 @query
 def initcap_text(spark, d):
     text = F.replace("text", F.lit("ß"), F.lit("ss"))
-    return table(spark, d, "documents").select("doc_id", initcap_words(text).alias("title"))
+    return data.documents(spark, d).select("doc_id", initcap_words(text).alias("title"))
 
 
 @query
 def accent_fold(spark, d):
     text = F.replace("text", F.lit("ß"), F.lit("ss"))
-    return table(spark, d, "documents").select("doc_id", fold(text).alias("folded"))
+    return data.documents(spark, d).select("doc_id", fold(text).alias("folded"))
 
 
 @query
