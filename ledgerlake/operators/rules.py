@@ -180,9 +180,10 @@ def anchored_matches(keys: DataFrame, rules: DataFrame) -> DataFrame:
     Only texts sharing a keyword's anchor gram meet that keyword, so work follows the true
     candidates and not texts times rules.
     """
-    anchored = anchor_rules(winners_only(rules))
     # At most GRAM distinct values, so this read is bounded.
-    sizes = [r[0] for r in anchored.select(F.length("anchor")).distinct().limit(GRAM).collect()]
+    size = F.least(F.length("needle"), F.lit(GRAM))
+    sizes = [r[0] for r in rules.select(size).distinct().limit(GRAM).collect()]
+    anchored = anchor_rules(winners_only(rules))
     pieces = keys.where(F.col("_text").isNotNull()).withColumn(
         "anchor", F.explode(_all_grams(F.col("_text"), sorted(sizes)))
     )

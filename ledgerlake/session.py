@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Semantics: results depend on these.
 REQUIRED_CONF = {
@@ -48,3 +48,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def settled(df: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+    """A small derived table, computed once and kept in the shared checkpoint folder.
+
+    Its row count is then known, so it is broadcast exactly when that is safe; a longer one is
+    left to an ordinary shuffle join. The files outlive a lost executor.
+    """
+    context = df.sparkSession.sparkContext
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    kept = df.checkpoint()
+    return F.broadcast(kept) if kept.count() <= broadcast_rows else kept

@@ -25,6 +25,7 @@ from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any
 from ..functions.identity import hash_id
 from ..functions.text import capitalize, path_parts, trim_ws
 from ..schemas import RAW_TXN
+from ..session import settled
 from . import xlsx_cells
 from .config import TARGETS, AccountConfig
 
@@ -211,7 +212,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
         "before": F.coalesce(F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "total": F.sum("n").over(Window.partitionBy("path")),
     })
-    joined = lines.join(splits.drop("n"), ["path", "block"])
+    joined = lines.join(settled(splits.drop("n")), ["path", "block"])
     return joined.withColumn("line_no", F.col("before") + F.col("seq") - F.col("first_seq")).drop("before", "first_seq")
 
 
@@ -228,6 +229,7 @@ def rows_from_lines(lines: DataFrame, config: DataFrame) -> DataFrame:
         F.max(F.when(in_data, _field_count(F.col("value")))).alias("widest"),
         F.max(F.when(in_data, F.col("value").rlike(_OPEN_QUOTE))).alias("open_quote"),
         F.min(F.is_valid_utf8("value")).alias("utf8"),
+        F.max("total").alias("total"),
     ).join(F.broadcast(config), ["bank", "account"])
     files = _with_header(files, split_record(F.col("head.value"))).withColumns({
         "head_no": F.when(F.size("positional") > 0, F.col("skip_rows") - 1).otherwise(F.col("head.line_no")),
@@ -240,6 +242,7 @@ def rows_from_lines(lines: DataFrame, config: DataFrame) -> DataFrame:
         "cells": F.lit(None).cast("array<string>"),
         "days": F.lit(None).cast("array<string>"),
     })
+    files = settled(files.select("path", "head_no", "total", *[c for c in _ROW if c != "path"]))
     accepted = files.where(F.col("reason").isNull()).select(
         "path", "head_no", "reason", *[c for c in _ROW if c.startswith("at_")]
     )
