@@ -59,6 +59,8 @@ class Lakehouse:
             rows, self.name("bronze", table), full_refresh=full_refresh, null_policy=self.null_policy,
             schema=TXN, comment=TABLE_COMMENTS[table], hot=hot_keys(rows, "hash_id"),
         )
+        # A streaming batch writes through a session of its own; this one may hold an old file list.
+        self.spark.catalog.refreshTable(self.name("bronze", table))
 
     def bronze_union(self) -> DataFrame:
         present = [t for t in BRONZE_TABLES if tables.exists(self.spark, self.name("bronze", t))]

@@ -51,13 +51,20 @@ def _drop(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _rename(spark: SparkSession, table: str, new_name: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {new_name}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new_name)):
+        # Not every catalog moves the partitions' locations along with the table.
+        spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Finish a swap that was interrupted: the staged rows take over, or the old ones come back."""
     if exists(spark, table):
         return
     for suffix in (_STAGE, _OLD):
         if exists(spark, table + suffix):
-            spark.sql(f"ALTER TABLE {table}{suffix} RENAME TO {table}")
+            _rename(spark, table + suffix, table)
             break
     _drop(spark, table + _OLD)
 
@@ -74,8 +81,8 @@ def rebuild(
     _write(_with_comments(df, schema), table + _STAGE, "errorifexists", partition_by)
     _drop(spark, table + _OLD)
     if exists(spark, table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {table}{_OLD}")
-    spark.sql(f"ALTER TABLE {table}{_STAGE} RENAME TO {table}")
+        _rename(spark, table, table + _OLD)
+    _rename(spark, table + _STAGE, table)
     _drop(spark, table + _OLD)
     if comment:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")

@@ -57,6 +57,7 @@ def ingest_statements(
             tables.append(report, report_table)
         else:
             tables.rebuild(report, report_table)
+        spark.catalog.refreshTable(report_table)
 
     return (
         arrivals.select("path").writeStream.foreachBatch(land)
