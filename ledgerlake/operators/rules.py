@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold, trim_ws
+from ..session import local_table
 
 MAX_CASE_RULES = 40
 MAX_INLINE_RULES = 20_000
@@ -94,7 +95,7 @@ def inline_rules(rules: DataFrame, limit: int = MAX_INLINE_RULES) -> InlineRules
     for r in rows:
         first.setdefault((r.needle, r.gate), r.value)
     schema = rules.select(F.lit(0).alias("_rule"), "value").schema
-    table = rules.sparkSession.createDataFrame(list(enumerate(first.values())), schema)
+    table = local_table(rules.sparkSession, list(enumerate(first.values())), schema)
     return InlineRules(list(first), table)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Semantics: results depend on these.
 REQUIRED_CONF = {
@@ -50,6 +53,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
+    """A few driver rows as a table the optimizer can see into, with no job of its own to read it."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+
+    def plain(value):
+        return value.asDict() if isinstance(value, T.Row) else value
+
+    arrow = pa.Table.from_pylist(
+        [dict(zip(schema.names, map(plain, row))) for row in rows], schema=to_arrow_schema(schema)
+    )
+    return spark.createDataFrame(arrow, schema)
+
+
 def settled(df: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     """A small derived table, computed once and kept in the shared checkpoint folder.
 

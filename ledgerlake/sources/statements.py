@@ -25,7 +25,7 @@ from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any
 from ..functions.identity import hash_id
 from ..functions.text import capitalize, path_parts, trim_ws
 from ..schemas import RAW_TXN
-from ..session import settled
+from ..session import local_table, settled
 from . import xlsx_cells
 from .config import TARGETS, AccountConfig
 
@@ -81,7 +81,7 @@ def config_frame(spark: SparkSession, configs: Sequence[AccountConfig]) -> DataF
         )
         for c in configs
     ]
-    return spark.createDataFrame(rows, (
+    return local_table(spark, rows, (
         "bank string, account string, skip_rows int, skip_footer int, sources array<string>,"
         "targets array<string>, positional array<string>, src_fecha string, src_concepto string,"
         "src_importe string, extra array<string>, status_column string, status_value string,"

@@ -8,6 +8,7 @@ from ledgerlake.functions import hash_id
 from ledgerlake.operators.flags import Household
 from ledgerlake.operators.skew import spread_scan
 from ledgerlake.schemas import MASTER_RULES
+from ledgerlake.session import local_table
 
 HOUSE = Household(bank="Bank1", contributors=(("ANA", "Aportación"), ("LUIS", "Aportación Luis")))
 
@@ -61,15 +62,15 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def master_rules(spark: SparkSession) -> DataFrame:
     names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MASTER_RULES.fields)
-    return spark.createDataFrame(MASTER, f"rule_id long, {names}")
+    return local_table(spark, MASTER, f"rule_id long, {names}")
 
 
 def entity_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ENTITIES, "rule_id long, keyword string, entity_name string, priority int")
+    return local_table(spark, ENTITIES, "rule_id long, keyword string, entity_name string, priority int")
 
 
 def category_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORIES, "rule_id long, keyword string, category string, priority int")
+    return local_table(spark, CATEGORIES, "rule_id long, keyword string, category string, priority int")
 
 
 def txn(spark: SparkSession, folder: str) -> DataFrame:
