@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,25 +38,48 @@ def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
 
 
+def _table_results(name: str, df: DataFrame, tests: list[ColumnTest]) -> list[DataFrame]:
+    """One row per test of a table, from one pass per unique column (at least one in all)."""
+    unique = [t.column for t in tests if t.kind == "unique"]
+    not_null = [t.column for t in tests if t.kind == "not_null"]
+    passes = []
+    for i, key in enumerate(unique or [None]):
+        checked = not_null if i == 0 else []
+        if key is None:
+            counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in checked])
+            totals = [(c, "not_null", F.col(f"_null_{c}")) for c in checked]
+        else:
+            # Rows are reduced per key in the map tasks, also the rows without one.
+            per_key = df.groupBy(key).agg(
+                F.count("*").alias("_n"),
+                *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in checked if c != key],
+            )
+            missing = F.sum(F.when(F.col(key).isNull(), F.col("_n")))
+            counted = per_key.agg(
+                F.count_if((F.col("_n") > 1) & F.col(key).isNotNull()).alias("_repeated"),
+                *[(missing if c == key else F.sum(f"_null_{c}")).alias(f"_null_{c}") for c in checked],
+            )
+            totals = [(key, "unique", F.col("_repeated"))] + [(c, "not_null", F.col(f"_null_{c}")) for c in checked]
+        passes.append(counted.select(F.inline(F.array(*[
+            F.struct(
+                F.lit(name).alias("table"), F.lit(c).alias("column"), F.lit(kind).alias("kind"),
+                F.coalesce(n, F.lit(0)).cast("long").alias("failures"),
+            ) for c, kind, n in totals
+        ]))))
+    return passes
+
+
 def run_tests(tables: dict[str, DataFrame], tests: Iterable[ColumnTest] = DECLARED_TESTS) -> DataFrame:
     """One row per test of a given table: table, column, kind, failures (offending keys or rows)."""
-    wanted = [t for t in tests if t.table in tables]
-    parts = []
-    for test in wanted:
-        df = tables[test.table]
-        if test.kind == "unique":
-            failures = duplicates(df, test.column).agg(F.count("*").alias("failures"))
-        elif test.kind == "not_null":
-            failures = df.agg(F.count_if(F.col(test.column).isNull()).alias("failures"))
-        else:
-            raise ValueError(f"unknown test kind {test.kind!r}")
-        parts.append(failures.select(
-            F.lit(test.table).alias("table"), F.lit(test.column).alias("column"),
-            F.lit(test.kind).alias("kind"), "failures",
-        ))
-    if not parts:
+    tests = list(tests)
+    unknown = {t.kind for t in tests} - {"unique", "not_null"}
+    if unknown:
+        raise ValueError(f"unknown test kinds {sorted(unknown)}")
+    passes = []
+    for name, df in tables.items():
+        mine = [t for t in tests if t.table == name]
+        if mine:
+            passes += _table_results(name, df, mine)
+    if not passes:
         raise ValueError("no test applies to the given tables")
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, passes)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import fold, trim_ws
 from ..session import local_table
+from .skew import hot_keys, salted
 
 MAX_CASE_RULES = 40
 MAX_INLINE_RULES = 20_000
@@ -215,8 +216,9 @@ def first_match(
         keyed = df.withColumn("_text", text).withColumn("_sign", sign)
         best = anchored_matches(keyed.select("_text", "_sign").distinct(), rules)
         best = best.select("_text", "_sign", F.col("value").alias(out))
-        # A NULL text matches nothing, so plain equality is enough and lets AQE split hot texts.
-        return keyed.join(best, ["_text", "_sign"], "left").select(*df.columns, out)
+        # Rows of a very common text, and those without text, are spread over many tasks.
+        keyed, best = salted(keyed, best, "_text", hot_keys(keyed, "_text"))
+        return keyed.join(best, ["_text", "_sign", "_salt"], "left").select(*df.columns, out)
     if strategy == "auto":
         strategy = "case" if len(inline.order) <= MAX_CASE_RULES or not _has_automaton() else "automaton"
     if strategy == "case":

@@ -56,6 +56,14 @@ def test_more_rules_than_fit_inline_use_the_join(spark, monkeypatch):
     assert {r.concepto: r.clase.entity_name for r in out.collect()} == {"uno dos": "Uno", "dos": "Dos", "x": "Desconocido"}
 
 
+def test_hot_text_is_salted_without_changing_rows(spark, monkeypatch):
+    monkeypatch.setattr(rules, "hot_keys", lambda df, key: ["UNO"])
+    master = spark.createDataFrame([(1, "uno", 10, "Gastos", "a", "b", "Uno")], SCHEMA)
+    df = spark.createDataFrame([("uno", -1.0)] * 100 + [("dos", -1.0), (None, -1.0)], "concepto string, importe double")
+    out = rules.classify(df, master, strategy="anchored").groupBy("clase.entity_name").count().collect()
+    assert {r[0]: r[1] for r in out} == {"Uno": 100, "Desconocido": 2}
+
+
 def test_sign_gate_zero_null_and_text_form_of_blanks(spark):
     table = [(1, "nómina", 10, "Ingresos", "n", None, "Empresa")]
     df = spark.createDataFrame([(1, "NOMINA mayo", 1.0), (2, "NOMINA", -1.0), (3, "nomina", 0.0), (4, "nomina", None)], "n int, concepto string, importe double")
