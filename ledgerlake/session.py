@@ -37,20 +37,21 @@ def apply_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's setting where there is one.
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Point checkpoints at the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own; a cluster
-    without one is an error, since a machine-local folder would be lost with its executor.
+    Only a local session without the setting gets a temporary folder of its own; a cluster without
+    one is an error, since a machine-local folder would be lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
+    context.setCheckpointDir(folder)
 
 
 def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
@@ -73,9 +74,6 @@ def settled(df: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     Its row count is then known, so it is broadcast exactly when that is safe; a longer one is
     left to an ordinary shuffle join. The files outlive a lost executor.
     """
-    context = df.sparkSession.sparkContext
-    folder = ensure_checkpoint_dir(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    ensure_checkpoint_dir(df.sparkSession)
     kept = df.checkpoint()
     return F.broadcast(kept) if kept.count() <= broadcast_rows else kept

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.identity import hash_id
 from ..functions.text import path_parts, trim_ws
-from ..schemas import CASH_RAW, RAW_TXN, TXN, conform
+from ..operators.maintenance import clean_suggestions
+from ..schemas import CASH_RAW, MASTER_RULES, RAW_TXN, TXN, conform
 
 CASH_ENTITY, CASH_ORIGIN = "Caja", "Cash"
 
@@ -71,6 +72,18 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return df.withColumn("rule_id", F.monotonically_increasing_id())
 
 
+def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
+    """Suggested rules from CSV files, repeated header lines and repeated rules dropped."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in MASTER_RULES.fields])
+    return clean_suggestions(spark.read.schema(text).option("header", True).option("escape", '"').csv(path))
+
+
+def write_suggestions(rules: DataFrame, path: str) -> None:
+    """Suggested rules as CSV with the rule header, for somebody to review."""
+    columns = rules.select(*MASTER_RULES.names)
+    columns.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
 def write_seed(rules: DataFrame, path: str) -> None:
     """A seed CSV as one file with a header; a rule table is edited by hand, so one task holds it."""
     rules.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

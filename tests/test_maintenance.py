@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import maintenance, metrics, quality
 from ledgerlake.schemas import MASTER_RULES
-from ledgerlake.sources.raw import read_seed, write_seed
+from ledgerlake.sources.raw import read_seed, read_suggestions, write_seed, write_suggestions
+
+from .files import write_text
 
 HEADER = ("keyword", "priority", "grupo_categoria", "categoria")
 
@@ -34,6 +36,17 @@ def test_suggestions(spark):
     assert known == {"A, B": True, "BAR": False}
 
 
+def test_suggestion_files(spark):
+    path = tempfile.mkdtemp(prefix="ledgerlake-sug-")
+    header = ",".join(MASTER_RULES.names)
+    write_text(f"{path}/s.csv", f"{header}\n{header}\nBAR,50,G,C,S,Bar\nBAR,50,G,C,S,Bar\nPAN,,G,,S,Pan\n")
+    rules = read_suggestions(spark, f"{path}/s.csv")
+    expected = [("BAR", 50, "G", "C", "S", "Bar"), ("PAN", 50, "G", None, "S", "Pan")]
+    assert sorted(tuple(r) for r in rules.collect()) == expected
+    write_suggestions(rules, f"{path}/out")
+    assert sorted(tuple(r) for r in read_suggestions(spark, f"{path}/out").collect()) == expected
+
+
 def test_unclassified(spark):
     rows = [("b", -1.0, "Gastos Variables", "Otros Gastos", "Sin Clasificar"), ("a", -5.0, None, None, None),
             ("b", -2.0, "Gastos Variables", "Otros Gastos", "Sin Clasificar"), ("c", 3.0, "Ingresos", "Otros Ingresos", "Sin Clasificar"),

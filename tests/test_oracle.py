@@ -31,6 +31,8 @@ def test_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = sorted(tuple(str(r[c]) for c in columns) for r in df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     cursor = duck.execute(entry.oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns

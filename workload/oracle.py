@@ -293,6 +293,19 @@ ORACLE = {
         SELECT '/in/' || upper(entidad) || '/' || upper(origen) || '/all.csv' AS path, upper(entidad) AS bank,
                upper(origen) AS account, 'loaded' AS status, count(*) AS n_rows
         FROM txn WHERE (entidad, origen) IN ({STATEMENT_FILES}) GROUP BY ALL"""),
+    "statement_defects": with_ctes("txn", f"""
+        SELECT path, bank, account,
+               CASE account WHEN 'ACCOUNT' THEN 'missing_columns' WHEN 'CARD' THEN 'ragged_rows'
+                            WHEN 'SHARED' THEN 'multiline_field' ELSE 'loaded' END AS status,
+               CASE account WHEN 'CASH' THEN n ELSE 0 END AS n_rows
+        FROM (SELECT '/in/' || upper(entidad) || '/' || upper(origen) || '/all.csv' AS path, upper(entidad) AS bank,
+                     upper(origen) AS account, count(*) AS n
+              FROM txn WHERE (entidad, origen) IN ({STATEMENT_FILES}) GROUP BY ALL)"""),
+    "positional_statement": with_ctes("txn", f"""
+        SELECT {hash_sql('fecha', 'concepto', 'importe')} AS hash_id, * FROM (
+          SELECT CAST(fecha AS VARCHAR) AS fecha, concepto || ', "x"' AS concepto, importe, 'banco uno' AS entidad,
+                 'tarjeta' AS origen, 'BANK1' AS bank, 'CARD' AS account, '/in/BANK1/CARD/all.csv' AS path
+          FROM txn WHERE origen = 'Card')"""),
     "config_explode": """
         SELECT 'BANK_' || s_suppkey AS bank, 'ACCOUNT' AS account, CAST(s_suppkey % 9 AS INTEGER) AS skip_rows, 0 AS skip_footer,
                'FECHA,IMPORTE ' || (s_suppkey % 3) AS column_mapping, '%d/%m/%Y' AS date_format, CAST(NULL AS BOOLEAN) AS filter_completed

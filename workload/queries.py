@@ -194,7 +194,17 @@ CONFIGS = tuple(
 _LAST = 1 << 62
 
 
-def _statement_lines(spark, d) -> DataFrame:
+_FRAME = (
+    (0, "Listado de movimientos"), (1, ""), (2, ""), (3, "FECHA,TEXTO,IMPORTE"), (4, "31/02/2024,imposible,1"),
+    (5, "01/02/2024,NA,1"), (_LAST, "TOTAL,,0"),
+)
+# Account, line number and text of lines that spoil a statement.
+_DEFECTS = (
+    ("ACCOUNT", 3, "FECHA,IMPORTE"), ("CARD", 6, "01/02/2024,uno,1,de más"), ("SHARED", 6, '01/02/2024,"abierto,1'),
+)
+
+
+def _statement_lines(spark, d, defects: bool = False) -> DataFrame:
     """The movements printed as CSV statements with title lines, a header and a total line."""
     df = txn(spark, d)
     bank, account = F.upper("entidad"), F.upper("origen")
@@ -207,29 +217,55 @@ def _statement_lines(spark, d) -> DataFrame:
         path.alias("path"), bank.alias("bank"), account.alias("account"), line.alias("value"),
         (F.monotonically_increasing_id() + 10).alias("line_no"),
     )
+    source = table(spark, d, "supplier").select((F.col("s_suppkey") % 5).alias("n")).distinct()
+    files = source.select(
+        F.when(F.col("n") <= 2, "BANK1").when(F.col("n") == 3, "BANK2").otherwise("CAJA").alias("bank"),
+        F.when(F.col("n") == 1, "CARD").when(F.col("n") == 2, "SHARED").when(F.col("n") == 4, "CASH").otherwise("ACCOUNT").alias("account"),
+    )
+
+    def text(number: int, default: str):
+        c = F.lit(default)
+        for name, at, spoiled in _DEFECTS if defects else ():
+            if at == number:
+                c = F.when(F.col("account") == name, spoiled).otherwise(c)
+        return c
+
     frame = F.inline(F.array(*[
-        F.struct(F.lit(text).alias("value"), F.lit(n).cast("long").alias("line_no")) for n, text in (
-            (0, "Listado de movimientos"), (1, ""), (2, ""), (3, "FECHA,TEXTO,IMPORTE"), (4, "31/02/2024,imposible,1"),
-            (5, "01/02/2024,NA,1"), (_LAST, "TOTAL,,0"))
+        F.struct(text(n, line).alias("value"), F.lit(n).cast("long").alias("line_no")) for n, line in (*_FRAME, (6, ""))
     ]))
-    files = df.select(path.alias("path"), bank.alias("bank"), account.alias("account")).distinct()
-    around = files.select("path", "bank", "account", frame)
+    around = files.select(
+        F.concat(F.lit("/in/"), "bank", F.lit("/"), "account", F.lit("/all.csv")).alias("path"), "bank", "account", frame)
     return data_lines.unionByName(around).withColumn("total", F.lit(_LAST + 1))
 
 
-def _statements(spark, d) -> statements.StatementBatch:
-    config = statements.config_frame(spark, CONFIGS)
-    return statements.batch_of(statements.rows_from_lines(_statement_lines(spark, d), config), config, CONFIGS)
+def _statements(lines: DataFrame, configs=CONFIGS) -> statements.StatementBatch:
+    config = statements.config_frame(lines.sparkSession, configs)
+    return statements.batch_of(statements.rows_from_lines(lines, config), config, configs)
 
 
 @query
 def csv_statement(spark, d):
-    return _statements(spark, d).transactions
+    return _statements(_statement_lines(spark, d)).transactions
 
 
 @query
 def statement_report(spark, d):
-    return _statements(spark, d).files
+    return _statements(_statement_lines(spark, d)).files
+
+
+@query
+def statement_defects(spark, d):
+    return _statements(_statement_lines(spark, d, defects=True)).files
+
+
+@query
+def positional_statement(spark, d):
+    """Sheets without a header: columns by position, plain decimals, labels from the settings."""
+    layout = config_source.AccountConfig(
+        "BANK1", "CARD", (), 6, 1, "%d/%m/%Y", ("fecha", "concepto", "importe"), ("concepto",), True, "banco uno", "tarjeta")
+    lines = _statement_lines(spark, d).where("account = 'CARD'")
+    plain = F.regexp_replace("value", r'"(-?\d+),(\d+)"$', "$1.$2")
+    return _statements(lines.withColumn("value", plain), [layout]).transactions
 
 
 @query
