@@ -26,7 +26,7 @@ def unseen(batch: DataFrame, stored: DataFrame, key: str = "hash_id", hot: Seque
 
 def new_rows(
     batch: DataFrame, stored: DataFrame, key: str = "hash_id", null_policy: str = "compat",
-    hot: Sequence = (), prune_by: str | None = None,
+    hot: Sequence = (), prune_by: tuple[str, Sequence] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` that ``key NOT IN (SELECT key FROM stored)`` lets through, at any scale.
 
@@ -38,8 +38,9 @@ def new_rows(
       stored NULLs are disregarded (``ignore``);
     * else rows with a non-NULL key that is not stored.
 
-    ``prune_by`` names a column that equal keys always share, such as the month of a key that
-    contains the date: only the batch's values of it are then read from the stored table.
+    ``prune_by`` is a column that equal keys always share, such as the month of a key that contains
+    the date, with all values of it that the batch holds; the keys are then searched for only
+    among stored rows with those values.
     """
     if null_policy not in ("compat", "raise", "ignore"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -48,10 +49,9 @@ def new_rows(
         raise NullKeyError(f"stored table has NULL {key}")
 
     searched = stored
-    if prune_by:
-        # One value per calendar month (or the like), so the list stays short.
-        values = [r[0] for r in batch.select(prune_by).where(F.col(prune_by).isNotNull()).distinct().collect()]
-        searched = stored.where(F.col(prune_by).isin(values))
+    if prune_by is not None:
+        column, held = prune_by
+        searched = stored.where(F.col(column).isin(list(held)))
 
     passed = unseen(batch, searched, key, hot)
     if null_policy == "compat":

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.flags import Household
 from ..operators.quality import BRONZE_TABLES, run_tests
@@ -66,19 +67,25 @@ class Lakehouse:
         present = [t for t in BRONZE_TABLES if tables.exists(self.spark, self.name("bronze", t))]
         return union_sources(self.table("bronze", t) for t in present)
 
-    def build_silver(self, full_refresh: bool = False) -> None:
+    def build_silver(self, full_refresh: bool = False, months: Sequence[str] | None = None) -> None:
         """Classify and store the bronze rows that are not stored yet.
 
         The key filter comes first, so only new rows are classified. Rows stored earlier keep
-        their classification until a full refresh.
+        their classification until a full refresh. ``months`` (yyyy-MM) limits a run to the months
+        that got new rows: an identity contains the date, so only those partitions are searched.
         """
         target = self.name("silver", "fct_transactions")
         tables.recover(self.spark, target)
         rows = self.bronze_union()
         first = full_refresh or not tables.exists(self.spark, target)
         if not first:
+            prune_by = None
+            if months is not None:
+                rows = rows.where(F.date_format("fecha", "yyyy-MM").isin(list(months)))
+                prune_by = ("anio_mes", months)
             rows = tables.new_rows(
                 rows, self.spark.table(target), null_policy=self.null_policy, hot=hot_keys(rows, "hash_id"),
+                prune_by=prune_by,
             )
         fresh = enrich(rows, self.table("seeds", "master_mapping"), self.house, self.null_text)
         if first:

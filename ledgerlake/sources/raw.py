@@ -9,6 +9,8 @@ from ..functions.text import path_parts, trim_ws
 from ..operators.maintenance import clean_suggestions
 from ..schemas import CASH_RAW, MASTER_RULES, RAW_TXN, TXN, conform
 
+MAX_ONE_FILE_RULES = 100_000
+
 CASH_ENTITY, CASH_ORIGIN = "Caja", "Cash"
 
 
@@ -67,7 +69,10 @@ def bronze_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A seed CSV with a header; blanks are NULL; rows are numbered in file order as ``rule_id``."""
+    """A seed CSV with a header; blanks are NULL.
+
+    Rows are numbered as ``rule_id``, in file order for a file that is read in one piece.
+    """
     df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
     return df.withColumn("rule_id", F.monotonically_increasing_id())
 
@@ -85,5 +90,7 @@ def write_suggestions(rules: DataFrame, path: str) -> None:
 
 
 def write_seed(rules: DataFrame, path: str) -> None:
-    """A seed CSV as one file with a header; a rule table is edited by hand, so one task holds it."""
-    rules.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A seed CSV with a header: one file for people to edit, more where there are very many rules."""
+    if rules.limit(MAX_ONE_FILE_RULES + 1).count() <= MAX_ONE_FILE_RULES:
+        rules = rules.coalesce(1)
+    rules.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -127,7 +127,7 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
 def append_new(
     df: DataFrame, table: str, key: str = "hash_id", full_refresh: bool = False,
     null_policy: str = "raise", partition_by: Sequence[str] = (), schema: T.StructType | None = None,
-    comment: str | None = None, hot: Sequence = (), prune_by: str | None = None,
+    comment: str | None = None, hot: Sequence = (), prune_by: tuple[str, Sequence] | None = None,
 ) -> None:
     """Add the rows whose key is not stored yet; create the table on the first run."""
     spark = df.sparkSession

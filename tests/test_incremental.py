@@ -48,8 +48,11 @@ def test_pruned_by_a_column_the_key_implies(spark):
     schema = "hash_id string, m string"
     batch = spark.createDataFrame([("a", "m2"), ("b", "m2"), ("x", "m3")], schema)
     stored = spark.createDataFrame([("a", "m2"), ("z", "m1")], schema)
-    got = incremental.new_rows(batch, stored, prune_by="m").collect()
+    got = incremental.new_rows(batch, stored, prune_by=("m", ["m2", "m3"])).collect()
     assert sorted(r.hash_id for r in got) == ["b", "x"]
+    # The NULL rules still look at the whole table.
+    batch = spark.createDataFrame([(None, "m3")], schema)
+    assert incremental.new_rows(batch, stored, prune_by=("m", ["m3"])).count() == 0
 
 
 def test_upsert_replaces_and_keeps(spark):

@@ -88,6 +88,17 @@ def test_rerun_adds_nothing_and_new_rows_are_added_once(spark, lake):
     assert lake.table("gold", "transactions").where("concepto = 'Cena nueva' AND comercio = 'Bar'").count() == 2
 
 
+def test_a_run_can_be_limited_to_months(spark, lake):
+    before = lake.table("silver", "fct_transactions").count()
+    more = [("2025-06-01", "Junio", -1.0, "Norte", "Account"), ("2025-07-01", "Julio", -1.0, "Norte", "Account")]
+    lake.load_bronze("account", raw_rows(spark, ACCOUNT + more))
+    lake.build_silver(months=["2025-06"])
+    assert lake.table("silver", "fct_transactions").count() == before + 1
+    lake.build_silver()
+    lake.build_silver(months=["2025-06", "2025-07"])
+    assert lake.table("silver", "fct_transactions").count() == before + 2
+
+
 def test_stored_rows_keep_their_class_until_a_full_refresh(spark, lake):
     more = RULES + [("pan", 1, "Gastos Fijos", "Comida", "Pan", "Horno")]
     lake.save_seed("master_mapping", spark.createDataFrame(more, MASTER_RULES).withColumn("rule_id", F.monotonically_increasing_id()))
