@@ -50,6 +50,8 @@ def salted(left: DataFrame, right: DataFrame, key: str, hot: Sequence = ()) -> t
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     left = left.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
     if not hot:
-        return left, right.withColumn("_salt", F.lit(0))
+        # Always zero, but not a literal: the optimizer would take a literal out of the join key,
+        # and the NULL keys would all meet in one partition again.
+        return left, right.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return left, right.withColumn("_salt", F.explode(copies))

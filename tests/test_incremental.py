@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +42,9 @@ def test_never_a_nested_loop(spark):
         batch, stored = frames(spark, BATCH, CASES["some"])
         plan = incremental.new_rows(batch, stored)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "SortMergeJoin" in plan
+        # Both sides are shuffled once, by key and salt.
+        exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        assert len(exchanges) == 2 and all("_salt" in e for e in exchanges)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
