@@ -7,6 +7,7 @@ is needed: identity comes from the content, so late rows are just new rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +23,11 @@ from ..sources.statements import read_statements
 _FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _literal_path(path: str) -> str:
+    """A path whose brackets and the like are not taken for a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def ingest_statements(
     spark: SparkSession, inbox: str, configs: Sequence[AccountConfig], landing: str, report_table: str,
     checkpoint: str, archive: str | None = None, files_per_batch: int = 1000,
@@ -42,7 +48,7 @@ def ingest_statements(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         # At most files_per_batch paths; the file source holds that list on the driver as well.
-        paths = [r[0] for r in batch.select("path").collect()]
+        paths = [_literal_path(r[0]) for r in batch.select("path").collect()]
         if not paths:
             return
         session = batch.sparkSession

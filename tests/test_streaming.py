@@ -31,10 +31,10 @@ def test_each_file_and_row_once(spark):
     assert sorted(r.concepto for r in spark.table(bronze).collect()) == ["uno", "uno"]
     run()
     assert spark.table(bronze).count() == 2
-    write_text(f"{inbox}/NORTE/CARD/b.csv", HEAD + "1/7/2025,uno,1\n2/7/2025,dos,2\n")
+    write_text(f"{inbox}/NORTE/CARD/b [1] ñ.csv", HEAD + "1/7/2025,uno,1\n2/7/2025,dos,2\n")
     run()
     assert sorted(r.concepto for r in spark.table(bronze).collect()) == ["dos", "uno", "uno"]
     assert read_raw(spark, landing).count() == 4
     report = {r.path.rsplit("/", 1)[1]: r.status for r in spark.table("st_ops.files").collect()}
-    assert report == {"a.csv": "loaded", "bad.csv": "missing_columns", "b.csv": "loaded"}
+    assert report == {"a.csv": "loaded", "bad.csv": "missing_columns", "b [1] ñ.csv": "loaded"}
     assert spark.table("st_ops.files").count() == 3
