@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, packing
+from ledgerlake.llm import bpe, packing, substring_dedup, suffix_dedup
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
@@ -31,6 +31,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 35-word windows that occur again."""
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=35, digest=True)
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 200-byte strings that occur again."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=200, digest=True)
+
+
 def _token_digest(path: str):
     def fold(batch: pa.RecordBatch, packed: list[bytes]) -> pa.RecordBatch:
         table = bpe.load_table(path)
@@ -57,6 +67,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
