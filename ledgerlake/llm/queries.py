@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, packing, substring_dedup, suffix_dedup
+from ledgerlake.llm import bpe, jaccard_join, packing, substring_dedup, suffix_dedup
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
@@ -31,6 +31,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles agree to 85 percent."""
+    return jaccard_join.components(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of 35-word windows that occur again."""
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=35, digest=True)
@@ -67,6 +72,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op9_byte_bpe": op9_byte_bpe,
