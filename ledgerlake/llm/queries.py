@@ -7,9 +7,9 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import bpe, jaccard_join, packing, substring_dedup, suffix_dedup
+from ledgerlake.llm import bpe, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
@@ -36,6 +36,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.LanguageModel.fit(docs, language.learnable())
+    told = language.identify(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", F.coalesce(~language.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of 35-word windows that occur again."""
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=35, digest=True)
@@ -46,6 +54,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=200, digest=True)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of every document and the verdict of the classifier."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs.select("doc_id", "text"), model).drop("text")
+
+
 def _token_digest(path: str):
     def fold(batch: pa.RecordBatch, packed: list[bytes]) -> pa.RecordBatch:
         table = bpe.load_table(path)
@@ -73,8 +88,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
