@@ -9,11 +9,15 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import bpe, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup
+from ledgerlake.llm import ann, bpe, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, url_graph
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
 
+URL_RULES = (
+    ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
+)
+
 END_OF_TEXT = (("<|endoftext|>", 50256),)
 
 
@@ -61,6 +65,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs.select("doc_id", "text"), model).drop("text")
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL, by rules or else by the link graph."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_graph.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
+
+
 def _token_digest(path: str):
     def fold(batch: pa.RecordBatch, packed: list[bytes]) -> pa.RecordBatch:
         table = bpe.load_table(path)
@@ -85,6 +96,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         fold=_token_digest(path), fold_schema="n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -92,7 +108,9 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_filters": op8_url_filters,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {}
