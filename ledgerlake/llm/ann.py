@@ -131,7 +131,7 @@ def _matrix(table: pa.Table) -> np.ndarray:
 def _rerank(k: int):
     names = ["query", "rep", "score"]
 
-    def run(queries: pa.Table, stored: pa.Table) -> pa.Table:
+    def run(queries, stored):
         if not queries.num_rows or not stored.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
         q, x = _matrix(queries), _matrix(stored)

@@ -170,7 +170,7 @@ def _seed_of(*parts: int) -> int:
 
 
 def _epoch(capacity: int, epoch: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows):
         block, island = int(key[0]), int(key[1])
         own = rows[rows["_from"] == island].sort_values(_KEYS, kind="stable", ignore_index=True)
         seeds = [own["_bin"].to_numpy()] if epoch else []
@@ -184,7 +184,7 @@ def _epoch(capacity: int, epoch: int):
 
 
 def _choose(capacity: int, level: int, last: bool):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows):
         counts = rows.groupby("_island")["_bin"].max()
         best = rows[rows["_island"] == counts.idxmin()].sort_values(["_bin", *_KEYS], kind="stable", ignore_index=True)
         grouped = best.groupby("_bin")["length"]

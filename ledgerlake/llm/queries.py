@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import ann, bpe, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, url_graph
+from ledgerlake.llm import ann, bpe, html_text, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, url_graph
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
@@ -58,6 +58,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=200, digest=True)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_texts(pages)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of every document and the verdict of the classifier."""
     docs = _table(spark, sf_dir, "documents")
@@ -107,6 +113,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
     "op9_byte_bpe": op9_byte_bpe,
