@@ -30,7 +30,7 @@ from ledgerlake.llm import repeats
 from ledgerlake.llm.common import Workspace, doc_keys, text_bytes
 
 GRAM_BYTES = 40
-BRANCH_LIMIT = 256
+BRANCH_LIMIT = 2048  # below 1 MB of suffixes
 BATCH_SUFFIXES = 4096
 
 
