@@ -2,9 +2,10 @@
 
 Rules name a host suffix and a path prefix (``example.com/de/``); the longest that fits decides. Other
 pages get the verdict of their host. Trust is a personalised PageRank along the links between hosts,
-starting from hosts by the share of their pages that rules allow; distrust runs against the links, from
-hosts by the share that rules block, as linking to blocked hosts is what discredits. A host is blocked if
-its distrust exceeds ``threshold`` and its trust.
+starting from hosts of whose pages rules allow more than half; distrust runs against the links, from hosts
+of whose pages rules block more than half, as linking to blocked hosts is what discredits. A rule for one
+corner of a host so says nothing about the rest. A host is blocked if its distrust exceeds ``threshold``
+and its trust.
 
 Only DataFrame functions are used. Edges are counted per pair of hosts before anything is shuffled by one
 host. Null URLs and URLs without ``://`` have an empty host and path, fit no rule and are allowed. Equal
@@ -23,6 +24,7 @@ from ledgerlake.session import local_table
 DAMPING = 0.85
 ROUNDS = 10
 THRESHOLD = 1e-6
+SEED_SHARE = 0.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -95,17 +97,19 @@ def host_scores(pages: DataFrame, space: Workspace, *, html_col: str = "html", r
         pages.where("host <> ''").groupBy("host").agg(
             F.count("*").alias("n"), F.count_if(F.col("_verdict") == "allow").alias("allowed"),
             F.count_if(F.col("_verdict") == "block").alias("blocked")), "counts")
-    total = counts.agg(F.sum(F.col("allowed") / F.col("n")).alias("a"), F.sum(F.col("blocked") / F.col("n")).alias("b")).first()
+    trusted, blocked = F.col("allowed") / F.col("n"), F.col("blocked") / F.col("n")
+    trusted, blocked = (F.when(share > SEED_SHARE, share).otherwise(0.0) for share in (trusted, blocked))
+    total = counts.agg(F.sum(trusted).alias("a"), F.sum(blocked).alias("b")).first()
     links = pages.where("host <> ''").select(
         F.col("host").alias("a"), F.explode(F.regexp_extract_all(F.col(html_col), F.lit(_LINK), F.lit(1))).alias("b"))
     links = links.withColumn("b", F.translate("b", _UPPER, _LOWER)).where("a <> b")
     edges = space.keep(links.groupBy("a", "b").agg(F.count("*").cast("double").alias("w")), "edges")
     trust = _spread(
-        space, edges, counts.where("allowed > 0").select("host", (F.col("allowed") / F.col("n") / (total["a"] or 1.0)).alias("seed")),
+        space, edges, counts.select("host", (trusted / (total["a"] or 1.0)).alias("seed")).where("seed > 0"),
         "trust", rounds, damping)
     distrust = _spread(
         space, edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"),
-        counts.where("blocked > 0").select("host", (F.col("blocked") / F.col("n") / (total["b"] or 1.0)).alias("seed")),
+        counts.select("host", (blocked / (total["b"] or 1.0)).alias("seed")).where("seed > 0"),
         "distrust", rounds, damping)
     return space.keep(
         trust.select("host", F.col("mass").alias("trust"), F.lit(0.0).alias("distrust"))
