@@ -29,10 +29,9 @@ class Workspace:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
-        del df
-        gc.collect()  # plan objects in cycles would hold on to their shuffle files
+        gc.collect()  # plans of earlier steps hold on to their shuffle files
         self.spark.sparkContext._jvm.System.gc()
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.parquet(path)
 
     def drop(self, *names: str) -> None:

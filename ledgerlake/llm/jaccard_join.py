@@ -117,7 +117,7 @@ def _profiles(docs: DataFrame, words: int, rarity, percent: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, chosen: DataFrame, words: int, rarity) -> DataFrame:
-    """The whole set of each chosen row (``node``, ``_id``, ``_h``)."""
+    """The whole set of each chosen row (``node``, ``_id``, ``_h``); repeated rows of ``docs`` repeat it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +129,7 @@ def _whole_sets(docs: DataFrame, chosen: DataFrame, words: int, rarity) -> DataF
                 [batch["node"].take(pa.array(rows, pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["node", "tokens"])
 
     texts = docs.join(chosen.hint("shuffle_hash"), ["_id", "_h"]).select("node", "text")
-    return texts.mapInArrow(run, "node long, tokens array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, tokens array<long>")
 
 
 def _meets(percent: int):
@@ -157,19 +157,26 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
     texts = docs.select(*doc_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
     rarity = spark.sparkContext.broadcast(_rarity(texts, words))
 
-    profiles = space.keep(_profiles(texts, words, rarity, percent), "profiles")
+    rows = space.keep(_profiles(texts, words, rarity, percent), "rows")
     null_id = F.col("_id") == -(2**63)
-    nodes = space.keep(
-        profiles.where("n > 0").groupBy("node").agg(
+    sparse = space.keep(
+        rows.where("n > 0").groupBy("node").agg(
             F.first("n").alias("n"), F.first("_id").alias("_id"), F.first("_h").alias("_h"),
-            F.min(F.when(~null_id, F.col("_id"))).alias("least"), F.first("prefix").alias("prefix")), "nodes")
-    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+            F.min(F.when(~null_id, F.col("_id"))).alias("least"), F.first("prefix").alias("prefix")), "sparse")
+    profiles = space.keep(rows.select("_id", "n", "node"), "profiles")
+    space.drop("rows")
+    entries = sparse.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    # A column of two rows is left out at once if their pair cannot reach the threshold.
+    pair_may = (100 + percent) * F.col("rest") >= percent * F.col("both")
     shared = space.keep(
-        entries.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "shared")
+        entries.groupBy("token").agg(
+            F.count("*").alias("m"), F.sum("n").alias("both"), F.min(F.col("n") - F.col("pos")).alias("rest"))
+        .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token"), "shared")
     entries = space.keep(entries.join(shared, "token"), "entries")
-    space.drop("shared")
-    chosen = space.keep(entries.select("node").distinct(), "members")
-    chosen = space.keep(chosen.join(nodes.select("node", "_id", "_h"), "node"), "chosen")
+    nodes = space.keep(sparse.drop("prefix"), "nodes")
+    space.drop("shared", "sparse")
+    members = space.keep(entries.select("node").distinct(), "members")
+    chosen = space.keep(members.join(nodes.select("node", "_id", "_h"), "node"), "chosen")
     sets = space.keep(_whole_sets(texts, chosen, words, rarity), "sets")
     space.drop("members", "chosen")
 
