@@ -9,11 +9,11 @@ def _field(name: str, dtype: T.DataType, comment: str = "") -> T.StructField:
     return T.StructField(name, dtype, True, {"comment": comment} if comment else {})
 
 
-_HASH = _field("hash_id", T.StringType(), "Content hash of date, text and amount; the row identity.")
-_TEXT = _field("concepto", T.StringType(), "Movement text exactly as the statement shows it.")
-_AMOUNT = _field("importe", T.DoubleType(), "Full amount: negative is an outflow, positive an inflow.")
-_ENTITY = _field("entidad", T.StringType(), "Institution the movement comes from.")
-_ORIGIN = _field("origen", T.StringType(), "Account or product within the institution.")
+_HASH = _field("hash_id", T.StringType(), "SHA-256 over date, lower-case text and two-decimal amount; equal movements share it.")
+_TEXT = _field("concepto", T.StringType(), "Text cell of the statement line, untouched.")
+_AMOUNT = _field("importe", T.DoubleType(), "Signed euros of the line, before any split.")
+_ENTITY = _field("entidad", T.StringType(), "Bank folder name, or the label its settings give.")
+_ORIGIN = _field("origen", T.StringType(), "Account folder name, or the label its settings give.")
 
 # Raw landing rows carry ISO text dates; bronze casts them.
 RAW_TXN = T.StructType([_HASH, _field("fecha", T.StringType()), _TEXT, _AMOUNT, _ENTITY, _ORIGIN])
@@ -28,14 +28,14 @@ SILVER = T.StructType([
     _field("anio_mes", T.StringType(), "Year and month, yyyy-MM; partition column."),
     _field("trimestre", T.IntegerType()),
     _TEXT, _AMOUNT, _ENTITY, _ORIGIN,
-    _field("operativa_interna", T.StringType(), "Kind of internal operation, or the regular label."),
-    _field("grupo", T.StringType(), "Hierarchy level 1."),
-    _field("categoria", T.StringType(), "Hierarchy level 2."),
-    _field("subcategoria", T.StringType(), "Hierarchy level 3."),
-    _field("comercio", T.StringType(), "Readable merchant name."),
-    _field("es_compartido", T.BooleanType(), "Shared expense, excluding contributions."),
-    _field("importe_personal", T.DoubleType(), "Own share of the amount."),
-    _field("es_movimiento_real", T.BooleanType(), "False for transfers between own accounts."),
+    _field("operativa_interna", T.StringType(), "First operation of the household that fits."),
+    _field("grupo", T.StringType(), "Group of the winning rule."),
+    _field("categoria", T.StringType(), "Category of the winning rule."),
+    _field("subcategoria", T.StringType(), "Subcategory of the winning rule."),
+    _field("comercio", T.StringType(), "Entity of the winning rule, else the text in title case."),
+    _field("es_compartido", T.BooleanType(), "Shared origin and no contribution."),
+    _field("importe_personal", T.DoubleType(), "Amount after the split: half if shared, nothing for contributions."),
+    _field("es_movimiento_real", T.BooleanType(), "Whether totals count the row."),
 ])
 
 GOLD_COLUMNS = (
@@ -70,13 +70,13 @@ ADJUSTMENTS = T.StructType([
 ])
 
 TABLE_COMMENTS = {
-    "account": "Normalised current-account movements: transfers, bills, cash withdrawals.",
-    "card": "Normalised card movements: shop and online purchases.",
-    "shared": "Normalised movements of the shared account; halved downstream.",
-    "app_account": "Normalised movements exported from a multi-currency app.",
-    "cash": "Cash movements kept by hand in a sheet.",
-    "fct_transactions": "All transactions, classified and enriched; loaded incrementally.",
-    "transactions": "Final mart; rebuilt on every run.",
+    "account": "Landed rows of ACCOUNT folders, one per statement line.",
+    "card": "Landed rows of CARD folders, one per statement line.",
+    "shared": "Landed rows of SHARED folders; silver splits their amounts.",
+    "app_account": "Landed rows of app exports, dates with a time of day.",
+    "cash": "Rows of the typed-in cash list that have a date and an amount.",
+    "fct_transactions": "Union of the bronze tables with rule results and flags, new identities only.",
+    "transactions": "Silver with manual adjustments applied.",
 }
 
 

@@ -11,7 +11,9 @@ from ledgerlake.schemas import ADJUSTMENTS, GOLD_COLUMNS, MASTER_RULES, SILVER
 
 from .files import write_text
 
-HOUSE = Household("Norte", (("ANA", "Aportación"), ("LUIS", "Aportación Luis")))
+HOUSE = Household(
+    "Norte", card_bill="CARGO GALAXIA", shared_card_bill="CARGO TERRAZA", transfers=("ENTRE CUENTAS",), person_to_person=("PAGO AMIGO",),
+    contributors=(("NOA", "Aportación"), ("TEO", "Aportación Teo")), contribution_amounts=(320.0, 480.0))
 
 
 def raw_rows(spark, rows):
@@ -20,17 +22,17 @@ def raw_rows(spark, rows):
 
 
 ACCOUNT = [
-    ("2025-01-03", "RECIBO PLATINUM enero", -300.0, "Norte", "Account"),
-    ("2025-01-04", "Traspaso a ahorro", -100.0, "Norte", "Account"),
+    ("2025-01-03", "CARGO GALAXIA enero", -300.0, "Norte", "Account"),
+    ("2025-01-04", "Entre cuentas ahorro", -100.0, "Norte", "Account"),
     ("2025-01-05", "PAN.de*molde", -2.5, "Norte", "Account"),
     ("2025-01-05", "PAN.de*molde", -2.5, "Norte", "Account"),
     ("2025-04-06", "Nómina", 1000.0, "Norte", "Account"),
 ]
 SHARED = [
-    ("2025-01-10", "Recibo Visa Clasica", -200.0, "Norte", "Shared"),
-    ("2025-01-11", "de Ana", 500.0, "Norte", "Shared"),
-    ("2025-01-12", "de Luis", 750.0, "Norte", "Shared"),
-    ("2025-01-13", "de Ana", 501.0, "Norte", "Shared"),
+    ("2025-01-10", "Cargo Terraza", -200.0, "Norte", "Shared"),
+    ("2025-01-11", "de Noa", 320.0, "Norte", "Shared"),
+    ("2025-01-12", "de Teo", 480.0, "Norte", "Shared"),
+    ("2025-01-13", "de Noa", 501.0, "Norte", "Shared"),
     ("2025-01-14", "Cena", -40.0, "Norte", "Shared"),
 ]
 RULES = [("nomina", 10, "Ingresos", "Trabajo", None, "Empresa"), ("cena", 10, "Gastos Variables", "Ocio", "Cenas", "Bar")]
@@ -60,13 +62,13 @@ def test_layers_have_their_columns_and_all_rows(lake):
 
 def test_labels_flags_and_amounts(lake):
     r = by_text(lake.table("gold", "transactions"))
-    assert (r["RECIBO PLATINUM enero"].operativa_interna, r["RECIBO PLATINUM enero"].es_movimiento_real) == ("Liquidación Tarjeta", False)
-    assert (r["Traspaso a ahorro"].operativa_interna, r["Traspaso a ahorro"].es_movimiento_real) == ("Traspaso Interno", False)
-    visa = r["Recibo Visa Clasica"]
+    assert (r["CARGO GALAXIA enero"].operativa_interna, r["CARGO GALAXIA enero"].es_movimiento_real) == ("Liquidación Tarjeta", False)
+    assert (r["Entre cuentas ahorro"].operativa_interna, r["Entre cuentas ahorro"].es_movimiento_real) == ("Traspaso Interno", False)
+    visa = r["Cargo Terraza"]
     assert (visa.operativa_interna, visa.es_compartido, visa.es_movimiento_real, visa.importe_personal) == ("Liquidación Tarjeta Compartida", True, True, -75.0)
-    luis = r["de Luis"]
-    assert (luis.operativa_interna, luis.es_compartido, luis.es_movimiento_real, luis.importe_personal) == ("Aportación Luis", False, False, 0.0)
-    assert r["de Ana"].operativa_interna in ("Aportación", "Movimiento Regular")
+    luis = r["de Teo"]
+    assert (luis.operativa_interna, luis.es_compartido, luis.es_movimiento_real, luis.importe_personal) == ("Aportación Teo", False, False, 0.0)
+    assert r["de Noa"].operativa_interna in ("Aportación", "Movimiento Regular")
     assert (r["Cena"].comercio, r["Cena"].importe_personal) == ("Bar", -20.0)
     assert (r["PAN.de*molde"].comercio, r["PAN.de*molde"].grupo) == ("Pan.De*Molde", "Gastos Variables")
     assert (r["Nómina"].comercio, r["Nómina"].trimestre, r["Nómina"].subcategoria) == ("Empresa", 2, None)
@@ -74,7 +76,7 @@ def test_labels_flags_and_amounts(lake):
 
 
 def test_contribution_needs_the_exact_amount(lake):
-    labels = sorted(r.operativa_interna for r in lake.table("silver", "fct_transactions").where("concepto = 'de Ana'").collect())
+    labels = sorted(r.operativa_interna for r in lake.table("silver", "fct_transactions").where("concepto = 'de Noa'").collect())
     assert labels == ["Aportación", "Movimiento Regular"]
 
 

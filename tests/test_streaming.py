@@ -16,7 +16,7 @@ HEAD = "FECHA,TEXTO,IMPORTE\n"
 def test_each_file_and_row_once(spark):
     base = tempfile.mkdtemp(prefix="ledgerlake-stream-")
     inbox, landing = f"{base}/in", f"{base}/raw"
-    lake = Lakehouse(spark, Household("Norte"), prefix="st_")
+    lake = Lakehouse(spark, Household("Norte", card_bill="CARGO GALAXIA", shared_card_bill="CARGO TERRAZA", transfers=("ENTRE CUENTAS",), person_to_person=("PAGO AMIGO",)), prefix="st_")
 
     def run():
         query = ingest_statements(spark, inbox, [CONF], landing, "st_ops.files", f"{base}/c1")

@@ -10,7 +10,24 @@ from ledgerlake.operators.skew import spread_scan
 from ledgerlake.schemas import MASTER_RULES
 from ledgerlake.session import local_table
 
-HOUSE = Household(bank="Bank1", contributors=(("ANA", "Aportación"), ("LUIS", "Aportación Luis")))
+HOUSE = Household(
+    bank="Bank1", card_bill="CARGO GALAXIA", shared_card_bill="CARGO TERRAZA", transfers=("CAMBIO DE HUCHA", "ENTRE CUENTAS"),
+    person_to_person=("PAGO AMIGO",), contributors=(("NOA", "Aportación"), ("TEO", "Aportación Teo")),
+    contribution_amounts=(320.0, 480.0),
+)
+# The same household as the SQL side reads it: order, label, bank, origin, pattern, amount, gift (a
+# contribution), moves (money that really moves). NULL fits all.
+OPERATIONS = [
+    (1, "Liquidación Tarjeta", "Bank1", "Account", "CARGO GALAXIA", None, False, False),
+    (2, "Liquidación Tarjeta Compartida", "Bank1", "Shared", "CARGO TERRAZA", None, False, True),
+    (3, "Aportación", "Bank1", "Shared", "NOA", 320, True, False),
+    (3, "Aportación", "Bank1", "Shared", "NOA", 480, True, False),
+    (4, "Aportación Teo", "Bank1", "Shared", "TEO", 320, True, False),
+    (4, "Aportación Teo", "Bank1", "Shared", "TEO", 480, True, False),
+    (5, "Traspaso Interno", None, None, "CAMBIO DE HUCHA", None, False, False),
+    (5, "Traspaso Interno", None, None, "ENTRE CUENTAS", None, False, False),
+    (6, "Bizum", None, None, "PAGO AMIGO", None, False, True),
+]
 
 # rule_id, keyword, priority, grupo, categoria, subcategoria, entity_name. Invented: equal
 # priorities that overlap, a general keyword in front of a specific one, income rules, an accented
@@ -26,10 +43,10 @@ MASTER = [
     (8, "hot gizmo", 30, "Ingresos", "Devoluciones", "Aparatos", "Gizmos"),
     (9, "ring", 50, "Gastos Variables", "Joyería", "Anillos", "Anillos"),
     (10, "COMISIÓN", 5, "Gastos Fijos", "Banco", "Comisiones", "Banco"),
-    (11, "bizum", 15, "Ingresos", "Otros Ingresos", None, None),
-    (12, "traspaso", 15, "Movimientos Operativos", "Traspasos ", "Internos", "Propia"),
-    (13, "recibo visa", 15, "Movimientos Operativos", "Tarjeta", "Liquidación", "Tarjeta"),
-    (14, "recibo", 16, "Movimientos Operativos", "Recibos", "Varios", "Recibos"),
+    (11, "pago amigo", 15, "Ingresos", "Otros Ingresos", None, None),
+    (12, "entre cuentas", 15, "Movimientos Operativos", "Traspasos ", "Internos", "Propia"),
+    (13, "cargo terraza", 15, "Movimientos Operativos", "Tarjeta", "Liquidación", "Tarjeta"),
+    (14, "cargo", 16, "Movimientos Operativos", "Recibos", "Varios", "Recibos"),
     (15, "   ", 1, "Gastos Fijos", "Nada", "Nada", "Nada"),
     (16, "cold anvil economy", 25, "Gastos Fijos", "Herrería", "Yunques", "Yunques"),
     (17, "anvil", 45, "Ingresos", "Ventas", "Yunques", "Yunques"),
@@ -48,7 +65,7 @@ ENTITIES = [  # rule_id, keyword, entity_name, priority
 ]
 CATEGORIES = [  # rule_id, keyword, category, priority
     (1, "economy", "Barato", 25), (2, "gear", "Taller", 10), (3, "gear economy", "Taller barato", 10),
-    (4, "promo", "Oferta", 1), (5, "plate", "Menaje", 12), (6, "traspaso", "Interno", 2),
+    (4, "promo", "Oferta", 1), (5, "plate", "Menaje", 12), (6, "entre cuentas", "Interno", 2),
 ]
 
 
@@ -80,15 +97,15 @@ def txn(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     key = F.col("l_orderkey")
     prefix = (
-        F.when(key % 17 == 0, "Traspaso ").when(key % 19 == 0, "Pago Bizum ")
-        .when(key % 23 == 0, "Recibo Platinum ").when(key % 29 == 0, "Recibo Visa Clasica ")
-        .when(key % 31 == 0, "Ana aporta ").when(key % 37 == 0, "Comisión ").otherwise("")
+        F.when(key % 17 == 0, "Entre cuentas ").when(key % 19 == 0, "Un pago amigo ")
+        .when(key % 23 == 0, "Cargo Galaxia ").when(key % 29 == 0, "Cargo Terraza ")
+        .when(key % 31 == 0, "Noa aporta ").when(key % 37 == 0, "Comisión ").otherwise("")
     )
     source = F.col("l_suppkey") % 5
     return l.join(p, l.l_partkey == p.p_partkey).select(
         F.col("l_shipdate").cast("date").alias("fecha"),
         F.concat(prefix, "p_name", F.lit(" "), "p_type", F.lit(" "), "p_brand").alias("concepto"),
-        F.when(key % 31 == 0, 500.0).when(key % 41 == 0, 0.0)
+        F.when(key % 31 == 0, 320.0).when(key % 41 == 0, 0.0)
         .when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))
         .otherwise(-F.col("l_extendedprice")).alias("importe"),
         F.when(source <= 2, "Bank1").when(source == 3, "Bank2").otherwise("Caja").alias("entidad"),
@@ -135,7 +152,7 @@ def part_rules(spark: SparkSession, folder: str) -> DataFrame:
 def adjustments(df: DataFrame) -> DataFrame:
     """Manual adjustments for the shared card settlements among movements, some of them twice."""
     settled = df.where(
-        (F.col("origen") == "Shared") & F.upper("concepto").contains("RECIBO VISA CLASICA")
+        (F.col("origen") == "Shared") & F.upper("concepto").contains(HOUSE.shared_card_bill)
         & (F.dayofmonth("fecha") % 2 == 0)
     )
     copies = F.when(F.dayofmonth("fecha") == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

@@ -6,14 +6,14 @@ from . import data
 
 TXN = """
 SELECT CAST(l.l_shipdate AS DATE) AS fecha,
-       concat(CASE WHEN l.l_orderkey % 17 = 0 THEN 'Traspaso '
-                   WHEN l.l_orderkey % 19 = 0 THEN 'Pago Bizum '
-                   WHEN l.l_orderkey % 23 = 0 THEN 'Recibo Platinum '
-                   WHEN l.l_orderkey % 29 = 0 THEN 'Recibo Visa Clasica '
-                   WHEN l.l_orderkey % 31 = 0 THEN 'Ana aporta '
+       concat(CASE WHEN l.l_orderkey % 17 = 0 THEN 'Entre cuentas '
+                   WHEN l.l_orderkey % 19 = 0 THEN 'Un pago amigo '
+                   WHEN l.l_orderkey % 23 = 0 THEN 'Cargo Galaxia '
+                   WHEN l.l_orderkey % 29 = 0 THEN 'Cargo Terraza '
+                   WHEN l.l_orderkey % 31 = 0 THEN 'Noa aporta '
                    WHEN l.l_orderkey % 37 = 0 THEN 'Comisión ' ELSE '' END,
               p.p_name, ' ', p.p_type, ' ', p.p_brand) AS concepto,
-       CAST(CASE WHEN l.l_orderkey % 31 = 0 THEN 500.0 WHEN l.l_orderkey % 41 = 0 THEN 0.0
+       CAST(CASE WHEN l.l_orderkey % 31 = 0 THEN 320.0 WHEN l.l_orderkey % 41 = 0 THEN 0.0
             WHEN l.l_returnflag = 'R' THEN l.l_extendedprice ELSE -l.l_extendedprice END AS DOUBLE) AS importe,
        CASE WHEN l.l_suppkey % 5 <= 2 THEN 'Bank1' WHEN l.l_suppkey % 5 = 3 THEN 'Bank2' ELSE 'Caja' END AS entidad,
        CASE l.l_suppkey % 5 WHEN 0 THEN 'Account' WHEN 1 THEN 'Card' WHEN 2 THEN 'Shared'
@@ -30,8 +30,8 @@ def hash_sql(fecha: str, concepto: str, importe: str) -> str:
 
 
 def literal(value) -> str:
-    if value is None:
-        return "NULL"
+    if value is None or isinstance(value, bool):
+        return {None: "NULL", True: "true", False: "false"}[value]
     return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
 
 
@@ -93,27 +93,30 @@ def first_rule(rules: str) -> dict[str, str]:
     }
 
 
-LABEL = """
-CASE WHEN entidad = 'Bank1' AND origen = 'Account' AND contains(upper(concepto), 'RECIBO PLATINUM') THEN 'Liquidación Tarjeta'
-     WHEN entidad = 'Bank1' AND origen = 'Shared' AND contains(upper(concepto), 'RECIBO VISA CLASICA') THEN 'Liquidación Tarjeta Compartida'
-     WHEN entidad = 'Bank1' AND origen = 'Shared' AND contains(upper(concepto), 'ANA') AND abs(coalesce(importe, 0)) IN (500, 750) THEN 'Aportación'
-     WHEN entidad = 'Bank1' AND origen = 'Shared' AND contains(upper(concepto), 'LUIS') AND abs(coalesce(importe, 0)) IN (500, 750) THEN 'Aportación Luis'
-     WHEN contains(upper(concepto), 'TRASPASO') OR contains(upper(concepto), 'TRANSFERENCIA INTERNA') THEN 'Traspaso Interno'
-     WHEN contains(upper(concepto), 'BIZUM') THEN 'Bizum'
-     ELSE 'Movimiento Regular' END
-"""
-CONTRIBUTION = "operativa_interna IN ('Aportación', 'Aportación Luis')"
-SHARED = f"coalesce(origen = 'Shared' AND NOT {CONTRIBUTION}, false)"
-PERSONAL = f"""
-CASE WHEN origen = 'Shared' AND NOT {CONTRIBUTION} THEN importe * CAST(0.5 AS DOUBLE)
-     WHEN {CONTRIBUTION} THEN CAST(0 AS DOUBLE) ELSE importe END
-"""
-REAL = """
-CASE WHEN operativa_interna = 'Liquidación Tarjeta Compartida' THEN true
-     WHEN operativa_interna IN ('Liquidación Tarjeta', 'Traspaso Interno', 'Aportación', 'Aportación Luis') THEN false
-     ELSE true END
-"""
-LABELLED = {"labelled": f"SELECT *, {LABEL} AS operativa_interna FROM mov"}
+OPERATIONS = values(data.OPERATIONS, "place, label, bank, origin, pattern, amount, gift, moves")
+
+
+def label_ctes(source: str) -> dict[str, str]:
+    """``labelled``: the rows of ``source`` with their operation's label, and its ``gift`` and ``moves``."""
+    return {
+        "operations": OPERATIONS,
+        "numbered": f"SELECT row_number() OVER () AS r, * FROM {source}",
+        "named": """
+            SELECT n.r, arg_min(o, o.place) AS o
+            FROM numbered n JOIN operations o
+              ON contains(upper(n.concepto), o.pattern) AND coalesce(o.bank, n.entidad) = n.entidad
+             AND coalesce(o.origin, n.origen) = n.origen AND coalesce(o.amount, abs(n.importe)) = abs(n.importe)
+            GROUP BY n.r""",
+        "labelled": """
+            SELECT n.* EXCLUDE (r), coalesce(w.o.label, 'Movimiento Regular') AS operativa_interna,
+                   coalesce(w.o.gift, false) AS gift, coalesce(w.o.moves, true) AS moves,
+                   n.origen = 'Shared' AND NOT coalesce(w.o.gift, false) AS es_compartido
+            FROM numbered n LEFT JOIN named w USING (r)""",
+    }
+
+
+PERSONAL = "if(gift, CAST(0 AS DOUBLE), importe / (1 + CAST(es_compartido AS INTEGER)))"
+LABELLED = label_ctes("mov")
 
 _DELIMS = r"\s\[\](){}/|\\<>!?@\x22^#$&~_,.:;*%+\-"
 
@@ -132,25 +135,26 @@ strftime({0}, '%Y-%m') AS anio_mes, CAST(quarter({0}) AS INTEGER) AS trimestre
 
 SILVER = {
     **first_rule("master"),
-    "labelled": f"SELECT *, {LABEL} AS operativa_interna FROM classed",
+    **label_ctes("classed"),
     "silver": f"""
         SELECT hash_id, fecha, {DATE_PARTS.format('fecha')}, concepto, importe, entidad, origen, operativa_interna,
                grupo, categoria, subcategoria,
                CASE WHEN entity_name = 'Desconocido' THEN {initcap_sql('concepto')} ELSE entity_name END AS comercio,
-               {SHARED} AS es_compartido, {PERSONAL} AS importe_personal, {REAL} AS es_movimiento_real
+               es_compartido, {PERSONAL} AS importe_personal, moves AS es_movimiento_real
         FROM labelled""",
 }
 ADJUSTMENTS = {
     "settled": """
         SELECT hash_id, fecha FROM mov
-        WHERE origen = 'Shared' AND contains(upper(concepto), 'RECIBO VISA CLASICA') AND day(fecha) % 2 = 0""",
+        WHERE origen = 'Shared' AND contains(upper(concepto), 'CARGO TERRAZA') AND day(fecha) % 2 = 0""",
     "adjustments": """
         SELECT hash_id, month(fecha) * CAST(1.5 AS DOUBLE) AS adjustment_amount FROM settled
         UNION ALL SELECT hash_id, month(fecha) * CAST(1.5 AS DOUBLE) + 1 FROM settled WHERE day(fecha) = 2""",
 }
-ADJUSTED = """
-CASE WHEN b.operativa_interna = 'Liquidación Tarjeta Compartida' AND a.hash_id IS NOT NULL
-     THEN (abs(b.importe) - a.adjustment_amount) * CAST(0.5 AS DOUBLE) * -1 ELSE b.importe_personal END
+# Halves what is left of a shared settlement once the adjustments of its identity are taken off.
+ADJUSTED = f"""
+if(b.operativa_interna = {literal(data.OPERATIONS[1][1])}, coalesce((abs(b.importe) - a.adjustment_amount) / -2, b.importe_personal),
+   b.importe_personal)
 """
 GOLD = {
     **SILVER, **ADJUSTMENTS,
@@ -159,11 +163,12 @@ GOLD = {
         FROM silver b LEFT JOIN adjustments a ON b.hash_id = a.hash_id""",
 }
 
-PENDING = """
-(grupo IS NULL OR grupo = 'Sin Clasificar' OR grupo = 'Gastos Variables')
-AND (categoria IS NULL OR categoria = 'Otros Gastos')
-AND (subcategoria IS NULL OR subcategoria = 'Sin Clasificar')
-"""
+# What each level holds while nobody has classified a row.
+OPEN_LEVELS = {
+    "grupo": ("Sin Clasificar", "Gastos Variables"), "categoria": ("Otros Gastos",), "subcategoria": ("Sin Clasificar",),
+}
+PENDING = " AND ".join(
+    f"coalesce({level}, '') IN ({', '.join(map(literal, ('', *names)))})" for level, names in OPEN_LEVELS.items())
 
 AMOUNT_TEXT = """
 CASE l_orderkey % 7 WHEN 0 THEN CAST(l_extendedprice AS VARCHAR)
@@ -357,10 +362,11 @@ ORACLE = {
         SELECT s.*, EXISTS (SELECT 1 FROM taxonomy t WHERE t.grupo_categoria = s.grupo_categoria AND t.categoria = s.categoria
                             AND t.subcategoria IS NOT DISTINCT FROM s.subcategoria) AS known FROM suggestions s""",
         answers=ANSWERS, suggestions=SUGGESTIONS, taxonomy=TAXONOMY),
-    "internal_operation": with_ctes("txn", f"SELECT *, {LABEL} AS operativa_interna FROM txn"),
-    "shared_flag": with_ctes("txn mov", f"SELECT hash_id, origen, operativa_interna, {SHARED} AS es_compartido FROM labelled", **LABELLED),
+    "internal_operation": with_ctes(
+        "txn", "SELECT * EXCLUDE (gift, moves, es_compartido) FROM labelled", **label_ctes("txn")),
+    "shared_flag": with_ctes("txn mov", "SELECT hash_id, origen, operativa_interna, es_compartido FROM labelled", **LABELLED),
     "personal_amount": with_ctes("txn mov", f"SELECT hash_id, importe, {PERSONAL} AS importe_personal FROM labelled", **LABELLED),
-    "real_movement_flag": with_ctes("txn mov", f"SELECT hash_id, operativa_interna, {REAL} AS es_movimiento_real FROM labelled", **LABELLED),
+    "real_movement_flag": with_ctes("txn mov", "SELECT hash_id, operativa_interna, moves AS es_movimiento_real FROM labelled", **LABELLED),
     "incremental_new_rows": with_ctes("txn mov", "SELECT * FROM batch WHERE hash_id NOT IN (SELECT hash_id FROM stored)", stored=STORED, batch=BATCH),
     "incremental_salted": with_ctes("txn mov", "SELECT * FROM batch WHERE hash_id NOT IN (SELECT hash_id FROM stored)", stored=STORED, batch=BATCH),
     "not_in_null_semantics": with_ctes("txn mov", " UNION ALL ".join(
@@ -368,7 +374,7 @@ ORACLE = {
         for name, source in (("none_stored", "(SELECT * FROM stored WHERE false)"), ("no_null_stored", "stored"), ("null_stored", "holed"))),
         stored=STORED, batch=BATCH,
         b="SELECT * REPLACE (CASE WHEN importe <> 0 THEN hash_id END AS hash_id) FROM batch",
-        holed="SELECT * REPLACE (CASE WHEN importe <> 500 THEN hash_id END AS hash_id) FROM stored"),
+        holed="SELECT * REPLACE (CASE WHEN importe <> 320 THEN hash_id END AS hash_id) FROM stored"),
     "upsert_by_key": with_ctes("txn mov", """
         SELECT * REPLACE ('antes' AS entidad) FROM stored s WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.hash_id = s.hash_id)
         UNION ALL SELECT * FROM batch""", stored=STORED, batch=BATCH),

@@ -453,7 +453,7 @@ def incremental_salted(spark, d):
 def not_in_null_semantics(spark, d):
     stored, batch = _stored_and_batch(spark, d)
     batch = batch.withColumn("hash_id", F.when(F.col("importe") != 0, F.col("hash_id")))
-    holed = stored.withColumn("hash_id", F.when(F.col("importe") != 500, F.col("hash_id")))
+    holed = stored.withColumn("hash_id", F.when(F.col("importe") != 320, F.col("hash_id")))
     cases = {"none_stored": stored.where(F.col("fecha") < "1900-01-01"), "no_null_stored": stored, "null_stored": holed}
     counts = [
         incremental.new_rows(batch, s).agg(F.count("*").alias("n_rows"), F.count("hash_id").alias("n_keys"))
