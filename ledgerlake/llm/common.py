@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -26,13 +27,16 @@ class Workspace:
         self.spark = spark
         ensure_checkpoint_dir(spark)
         self.folder = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+        self.swept = time.monotonic()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        gc.collect()  # plans of earlier steps hold on to their shuffle files
-        self.spark.sparkContext._jvm.System.gc()
+        if time.monotonic() - self.swept > 5:
+            gc.collect()  # plans of earlier steps hold on to their shuffle files
+            self.spark.sparkContext._jvm.System.gc()
+            self.swept = time.monotonic()
         df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
