@@ -22,15 +22,14 @@ def connected(space: Workspace, edges: DataFrame, name: str) -> DataFrame:
     turn = 0
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("low"))
-        lower = space.keep(
-            labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("old"),
-                                                                  F.least("label", "low").alias("label")),
-            f"{name}-near{turn}")
-        roots = lower.select(F.col("node").alias("root"), F.col("label").alias("next"))
+        lower = labels.join(near, labels["node"] == near["a"]).select(
+            "node", F.col("label").alias("old"), F.least("label", "low").alias("label"))
+        # The label that the new label's node had before this round lies in the same component.
+        roots = labels.select(F.col("node").alias("root"), F.col("label").alias("next"))
         moved = space.keep(
             lower.join(roots, lower["label"] == roots["root"], "left")
             .select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), f"{name}-{turn + 1}")
-        space.drop(f"{name}-{turn}", f"{name}-near{turn}")
+        space.drop(f"{name}-{turn}")
         labels, turn = moved.select("node", "label"), turn + 1
         if moved.where("old <> label").isEmpty():
             return labels

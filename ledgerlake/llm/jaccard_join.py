@@ -157,40 +157,31 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
     texts = docs.select(*doc_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
     rarity = spark.sparkContext.broadcast(_rarity(texts, words))
 
-    rows = space.keep(_profiles(texts, words, rarity, percent), "rows")
+    profiles = space.keep(_profiles(texts, words, rarity, percent), "profiles")
     null_id = F.col("_id") == -(2**63)
-    sparse = space.keep(
-        rows.where("n > 0").groupBy("node").agg(
+    nodes = space.keep(
+        profiles.where("n > 0").groupBy("node").agg(
             F.first("n").alias("n"), F.first("_id").alias("_id"), F.first("_h").alias("_h"),
-            F.min(F.when(~null_id, F.col("_id"))).alias("least"), F.first("prefix").alias("prefix")), "sparse")
-    profiles = space.keep(rows.select("_id", "n", "node"), "profiles")
-    space.drop("rows")
-    entries = sparse.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+            F.min(F.when(~null_id, F.col("_id"))).alias("least"), F.first("prefix").alias("prefix")), "nodes")
+    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     # A column of two rows is left out at once if their pair cannot reach the threshold.
     pair_may = (100 + percent) * F.col("rest") >= percent * F.col("both")
     shared = space.keep(
         entries.groupBy("token").agg(
             F.count("*").alias("m"), F.sum("n").alias("both"), F.min(F.col("n") - F.col("pos")).alias("rest"))
-        .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token"), "shared")
-    entries = space.keep(entries.join(shared, "token"), "entries")
-    nodes = space.keep(sparse.drop("prefix"), "nodes")
-    space.drop("shared", "sparse")
-    members = space.keep(entries.select("node").distinct(), "members")
-    chosen = space.keep(members.join(nodes.select("node", "_id", "_h"), "node"), "chosen")
-    sets = space.keep(_whole_sets(texts, chosen, words, rarity), "sets")
-    space.drop("members", "chosen")
-
-    open_entries, links, turn = entries.withColumn("label", F.col("node")), None, 0
-    size = entries.count()
-    while size:
-        columns = open_entries.groupBy("token", "label").agg(F.count("*").alias("k"))
-        columns = columns.groupBy("token").agg(
-            F.sum("k").alias("m"), F.count("*").alias("labels"), F.sum(F.col("k") * F.col("k")).alias("inner"))
-        columns = space.keep(columns.where("labels > 1"), f"columns{turn}")
-        pairs_left = columns.agg(F.sum((F.col("m") * F.col("m") - F.col("inner")) / 2)).first()[0] or 0
-        if not pairs_left:
-            break
-        open_entries = space.keep(open_entries.join(columns.select("token"), "token"), f"open{turn}")
+        .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token", "m"), "shared")
+    sums = shared.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs"), F.sum("m").alias("entries")).first()
+    pairs_left, size = sums["pairs"] or 0, sums["entries"] or 0
+    links, turn = None, 0
+    if size:
+        open_entries = space.keep(entries.join(shared.select("token"), "token").withColumn("label", F.col("node")), "open")
+        members = open_entries.select("node").distinct()
+        chosen = space.keep(members.join(nodes.select("node", "_id", "_h"), "node"), "chosen")
+        sets = space.keep(_whole_sets(texts, chosen, words, rarity), "sets")
+        space.drop("chosen")
+    space.drop("shared")
+
+    while pairs_left:
         last = pairs_left <= size or turn == MAX_PIVOTS
         if last:
             pairs = (
@@ -206,18 +197,23 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
                 open_entries.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token"))
                 .where(F.col("x.label") != F.col("y.label"))
             )
-        pairs = pairs.where(_meets(percent)).groupBy(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.count("*").alias("met"))
-        pairs = space.keep(pairs.select("a", "b"), f"pairs{turn}")
+        pairs = pairs.where(_meets(percent)).select(
+            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         fresh = space.keep(_links(pairs, sets, percent), f"links{turn}")
         links = fresh if links is None else links.unionByName(fresh)
         if last:
             break
         labels = connected(space, links, f"labels{turn}")
-        open_entries = space.keep(
+        labelled = space.keep(
             open_entries.drop("label").join(labels, "node", "left")
             .withColumn("label", F.coalesce("label", "node")), f"labelled{turn}")
+        # Columns whose rows are all in one component are finished.
+        columns = labelled.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(
+            F.sum("k").alias("m"), F.count("*").alias("labels"), F.sum(F.col("k") * F.col("k")).alias("inner"))
+        columns = space.keep(columns.where("labels > 1"), f"columns{turn}")
+        pairs_left = columns.agg(F.sum((F.col("m") * F.col("m") - F.col("inner")) / 2)).first()[0] or 0
         turn += 1
+        open_entries = space.keep(labelled.join(columns.select("token"), "token"), f"open{turn}")
 
     named = nodes.select("node", "least")
     if links is not None and not links.isEmpty():
