@@ -6,16 +6,26 @@ from pyspark.sql import Column, functions as F
 
 from .text import trim_ws
 
-_DIGITS = r"\d(?:_?\d){0,199}"
+_DIGITS = r"\d++(?:_\d++)*+"
 # What a plain float literal looks like; keeps out the suffixes, 'nan' and 'inf' a cast would take.
-# The bounded digits and exponent also keep the value finite.
-_FLOAT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d{{1,2}})?\z"
+_FLOAT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d++)?\z"
+# The same without digit separators, as SQL writes numbers.
+_SQL_FLOAT = r"^[+-]?(?:\d++\.?\d*+|\.\d++)(?:[eE][+-]?\d++)?\z"
+
+
+def _finite(text: Column, shape: str) -> Column:
+    value = F.when(text.rlike(shape), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def parse_number(c: Column) -> Column:
     """Text to double, NULL when it is not a finite decimal number."""
-    text = trim_ws(c)
-    return F.when(text.rlike(_FLOAT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    return _finite(trim_ws(c), _FLOAT)
+
+
+def sql_number(c: Column) -> Column:
+    """Text to double as SQL literals are written; NULL for anything else and for what is not finite."""
+    return _finite(F.trim(c), _SQL_FLOAT)
 
 
 def parse_amount(c: Column, locale: str = "auto") -> Column:

@@ -42,29 +42,33 @@ def sync_rules(rows: DataFrame, header: Sequence[str], cells: str = "cells") ->
     return padded.select(*[c for c in rows.columns if c != cells], *columns)
 
 
-def unclassified_concepts(silver: DataFrame, limit: int | None = 20, by_weight: bool = False) -> DataFrame:
-    """Distinct texts that fell back to the unclassified expense, for somebody to write rules for.
+def unclassified_concepts(silver: DataFrame, limit: int | None = 20) -> DataFrame:
+    """The first ``limit`` distinct texts, in text order, that fell back to the unclassified expense.
 
-    The first ``limit`` in text order, or those with most rows and money (``by_weight``). Unknown
-    income carries another fallback and is not listed.
+    They are for somebody to write rules for. Unknown income carries another fallback and is not listed.
     """
+    found = _pending(silver).select("concepto").distinct().orderBy("concepto")
+    return found.limit(limit) if limit is not None else found
+
+
+def unclassified_by_weight(silver: DataFrame) -> DataFrame:
+    """All texts of that kind with their rows and money."""
+    return _pending(silver).groupBy("concepto").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(F.abs("importe").cast("decimal(18,2)")).cast("double").alias("total"),
+    )
+
+
+def _pending(silver: DataFrame) -> DataFrame:
     def unset(name: str, *values: str) -> Column:
         return F.col(name).isNull() | F.col(name).isin(*values)
 
     # The fallback levels.
-    pending = silver.where(
+    return silver.where(
         unset("grupo", "Sin Clasificar", "Gastos Variables")
         & unset("categoria", "Otros Gastos")
         & unset("subcategoria", "Sin Clasificar")
     )
-    if by_weight:
-        found = pending.groupBy("concepto").agg(
-            F.count("*").alias("n_rows"),
-            F.sum(F.abs("importe").cast("decimal(18,2)")).cast("double").alias("total"),
-        ).orderBy(F.desc("n_rows"), F.desc("total"), "concepto")
-    else:
-        found = pending.select("concepto").distinct().orderBy("concepto")
-    return found.limit(limit) if limit is not None else found
 
 
 def parse_suggestions(answers: DataFrame, text: str = "text") -> DataFrame:

@@ -186,11 +186,14 @@ def anchored_matches(keys: DataFrame, rules: DataFrame) -> DataFrame:
     size = F.least(F.length("needle"), F.lit(GRAM))
     sizes = [r[0] for r in rules.select(size).distinct().limit(GRAM).collect()]
     anchored = anchor_rules(winners_only(rules))
-    pieces = keys.where(F.col("_text").isNotNull()).withColumn(
-        "anchor", F.explode(_all_grams(F.col("_text"), sorted(sizes)))
-    )
+    # Texts travel once; grams carry two hashes of theirs instead, and only grams that are anchors go on.
+    texts = keys.where(F.col("_text").isNotNull()).withColumns({
+        "_k1": F.xxhash64("_text", "_sign"), "_k2": F.xxhash64(F.lit(1), "_text", "_sign")})
+    pieces = texts.select("_k1", "_k2", F.explode(_all_grams(F.col("_text"), sorted(sizes))).alias("anchor"))
+    pieces = pieces.join(anchored.select("anchor").distinct(), "anchor", "left_semi")
+    needles = anchored.select("anchor", "needle", "gate", "priority", "rule_id", "value")
     return (
-        pieces.join(anchored, "anchor")
+        pieces.join(needles, "anchor").join(texts, ["_k1", "_k2"])
         .where(F.col("_text").contains(F.col("needle")))
         .where((F.col("gate") == 0) | (F.col("_sign") == 0) | (F.col("_sign") == F.col("gate")))
         .groupBy("_text", "_sign")
@@ -212,7 +215,8 @@ def first_match(
     sign = (sign if sign is not None else F.lit(0)).cast("int")
     inline = inline_rules(rules) if strategy != "anchored" else None
     text = text(inline is None or any("\u1100" <= ch <= "\u11ff" for n, _ in inline.order for ch in n))
-    if inline is None:
+    many = inline is not None and len(inline.order) > MAX_CASE_RULES
+    if inline is None or (strategy == "auto" and many and not _has_automaton()):
         keyed = df.withColumn("_text", text).withColumn("_sign", sign)
         best = anchored_matches(keyed.select("_text", "_sign").distinct(), rules)
         best = best.select("_text", "_sign", F.col("value").alias(out))
@@ -220,7 +224,7 @@ def first_match(
         keyed, best = salted(keyed, best, "_text", hot_keys(keyed, "_text"))
         return keyed.join(best, ["_text", "_sign", "_salt"], "left").select(*df.columns, out)
     if strategy == "auto":
-        strategy = "case" if len(inline.order) <= MAX_CASE_RULES or not _has_automaton() else "automaton"
+        strategy = "automaton" if many else "case"
     if strategy == "case":
         position = _case_position(inline.order, F.col("_text"), F.col("_sign"))
     else:
@@ -266,7 +270,7 @@ def classify(
     """
     rules = prepare_rules(master, classification(null_text))
     amount_or_zero = F.coalesce(F.col(amount), F.lit(0.0))
-    sign = F.signum(amount_or_zero).cast("int")
+    sign = F.when(amount_or_zero > 0, 1).when(amount_or_zero < 0, -1).otherwise(0)
     matched = first_match(df, rules, lambda hangul: fold(F.col(text), hangul), sign, "_match", strategy)
     return matched.withColumn(out, F.coalesce("_match", fallback_class(amount_or_zero))).drop("_match")
 

@@ -43,11 +43,12 @@ def hot_keys(df: DataFrame, key: str, rows: int = 5_000_000, fraction: float = 0
 def salted(left: DataFrame, right: DataFrame, key: str, hot: Sequence = ()) -> tuple[DataFrame, DataFrame]:
     """Both inputs with a ``_salt`` column to add to the join key; NULL keys are always spread.
 
-    The left salt comes from the row's position in its partition, so ``left`` should reach here
-    from a scan without a shuffle between: a re-run task then repeats the same salts.
+    The left salt is a hash of the row's own columns, so a task that runs again after a lost executor
+    deals the same rows the same way. Rows alike in every column share a salt.
     """
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    hashable = [c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int")
     left = left.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
     if not hot:
         # Always zero, but not a literal: the optimizer would take a literal out of the join key,

@@ -12,7 +12,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # Semantics: results depend on these.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 # HotSpot does not compile methods above 8000 bytes of bytecode. Wide fact-table stages exceed that
 # when fused into one method and then run interpreted, three times slower than unfused.

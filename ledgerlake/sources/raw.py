@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.amounts import sql_number
 from ..functions.identity import hash_id
 from ..functions.text import path_parts, trim_ws
 from ..operators.maintenance import clean_suggestions
 from ..schemas import CASH_RAW, MASTER_RULES, RAW_TXN, TXN, conform
 
-MAX_ONE_FILE_RULES = 100_000
+_ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 
+RULE_ID = T.StructField("rule_id", T.LongType())
 CASH_ENTITY, CASH_ORIGIN = "Caja", "Cash"
 
 
@@ -21,7 +23,7 @@ def write_raw(transactions: DataFrame, root: str) -> None:
     """
     stem = path_parts(F.col("path"))[1]
     (
-        transactions.select(*RAW_TXN.names, "bank", "account", stem.alias("stem"))
+        transactions.select(*RAW_TXN.names, "bank", "account", stem.alias("stem")).hint("rebalance", "bank", "account", "stem")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("bank", "account", "stem").json(root)
     )
@@ -49,12 +51,13 @@ def normalize_cash(cash: DataFrame) -> DataFrame:
     """Typed cash rows with identity.
 
     Rows are dropped for a missing date or amount before the casts, so one that fails to cast
-    stays, with a NULL there and in ``hash_id``.
+    stays, with a NULL there and in ``hash_id``. A date is a whole ISO date, an amount a finite number.
     """
+    day = F.trim("fecha")
     typed = cash.where(F.col("fecha").isNotNull() & F.col("importe").isNotNull()).select(
-        F.col("fecha").try_cast("date").alias("fecha"),
+        F.when(day.rlike(_ISO_DAY), day.try_cast("date")).alias("fecha"),
         trim_ws(F.col("concepto")).alias("concepto"),
-        F.col("importe").try_cast("double").alias("importe"),
+        sql_number(F.col("importe")).alias("importe"),
     )
     return typed.select(
         hash_id(F.col("fecha"), F.col("concepto"), F.col("importe")).alias("hash_id"),
@@ -71,10 +74,18 @@ def bronze_rows(raw: DataFrame) -> DataFrame:
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A seed CSV with a header; blanks are NULL.
 
-    Rows are numbered as ``rule_id``, in file order for a file that is read in one piece.
+    Files that ``write_seed`` made carry their ``rule_id``, however many they are. A single file
+    without that column is numbered in file order; several such files have no order and are refused.
     """
-    df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
-    return df.withColumn("rule_id", F.monotonically_increasing_id())
+    reader = spark.read.option("header", True).option("escape", '"')
+    header = spark.read.option("header", False).option("escape", '"').csv(path).first()
+    if header is not None and header[0] == RULE_ID.name:
+        return reader.schema(T.StructType([RULE_ID, *schema.fields])).csv(path).select(*schema.names, RULE_ID.name)
+    df = reader.schema(schema).csv(path)
+    if len(df.inputFiles()) > 1:
+        raise ValueError(f"{path} has several files and no {RULE_ID.name} to order their rows by")
+    # One file, so the row numbers grow with the place in it.
+    return df.withColumn(RULE_ID.name, F.monotonically_increasing_id())
 
 
 def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
@@ -90,7 +101,8 @@ def write_suggestions(rules: DataFrame, path: str) -> None:
 
 
 def write_seed(rules: DataFrame, path: str) -> None:
-    """A seed CSV with a header: one file for people to edit, more where there are very many rules."""
-    if rules.limit(MAX_ONE_FILE_RULES + 1).count() <= MAX_ONE_FILE_RULES:
-        rules = rules.coalesce(1)
-    rules.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Seed rows as CSV files with a header, each with its ``rule_id`` first; any number of rows."""
+    if RULE_ID.name not in rules.columns:
+        raise ValueError(f"rules need a {RULE_ID.name}: it decides between equal priorities")
+    columns = [RULE_ID.name, *[c for c in rules.columns if c != RULE_ID.name]]
+    rules.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

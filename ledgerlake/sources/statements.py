@@ -25,7 +25,7 @@ from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any
 from ..functions.identity import hash_id
 from ..functions.text import capitalize, path_parts, trim_ws
 from ..schemas import RAW_TXN
-from ..session import local_table, settled
+from ..session import ensure_checkpoint_dir, local_table, settled
 from . import xlsx_cells
 from .config import TARGETS, AccountConfig
 
@@ -59,9 +59,9 @@ class StatementBatch:
     files: DataFrame
 
 
-def _located(df: DataFrame) -> DataFrame:
-    """Add path, bank, account and suffix from the file's metadata."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _located(df: DataFrame, uri: str = "_metadata.file_path") -> DataFrame:
+    """Add path, bank and account from the file's encoded address."""
+    path = F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
     df = df.withColumn("path", path)
     return df.withColumns({
         "bank": F.regexp_extract("path", _LAYOUT, 1),
@@ -185,8 +185,10 @@ def _small_csv(spark: SparkSession, root, config: DataFrame, limit: int) -> Data
     files = _with_header(files, header)
     files = files.withColumn("body", F.filter("body", lambda r: ~_is_blank(r)))
     widest = F.array_max(F.transform("body", _field_count))
+    # Records end at their last line break, so one with an open quote is the rest of the file.
+    open_quote = F.exists("records", lambda r: r.rlike(_OPEN_QUOTE))
     files = files.withColumn("reason", F.coalesce(
-        F.when(~F.col("utf8"), "not_utf8"), "header_reason",
+        F.when(~F.col("utf8"), "not_utf8"), F.when(open_quote, "unclosed_quote"), "header_reason",
         F.when(widest > F.size("header"), "ragged_rows"),
     ))
     # A rejected file keeps one row, without cells, to be reported by.
@@ -260,11 +262,15 @@ def _large_csv(spark: SparkSession, root, config: DataFrame, limit: int) -> Data
         .where(_metadata_filter(True) & (F.col("_metadata.file_size") > limit))
         .select("value", "_metadata")
     )
+    value = F.when(F.col("_metadata.file_block_start") == 0, _without_bom(F.col("value"))).otherwise(F.col("value"))
     lines = lines.select(
-        "path", "bank", "account", _without_bom(F.col("value")).alias("value"),
+        "path", "bank", "account", value.alias("value"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
     )
-    return rows_from_lines(number_lines(lines), config)
+    # How files are split depends on the session at the time of reading, and the numbers of a split's
+    # lines on its split. Lines are therefore read once; counts and rows both come from what was kept.
+    ensure_checkpoint_dir(spark)
+    return rows_from_lines(number_lines(lines.checkpoint()), config)
 
 
 def _read_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -382,4 +388,14 @@ def read_statements(
         _large_csv(spark, root, config, whole_file_bytes),
         _workbooks(spark, root, config),
     ]
-    return batch_of(reduce(DataFrame.unionByName, readers), config, configs)
+    batch = batch_of(reduce(DataFrame.unionByName, readers), config, configs)
+    # A file without a single line is in no reader's rows. The listing that Spark holds has it.
+    held = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles()
+    listed = local_table(spark, [(uri,) for uri in held], "uri string").withColumn(
+        "uri", F.regexp_replace("uri", "^file:/+", "file:/"))  # as the readers' metadata spell it
+    listed = _located(listed, "uri").select("path", "bank", "account")
+    listed = listed.join(config.select("bank", "account").distinct(), ["bank", "account"], "left_semi")
+    files = listed.join(batch.files.drop("bank", "account"), "path", "left").select(
+        "path", "bank", "account", F.coalesce("status", F.lit("empty")).alias("status"),
+        F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
+    return StatementBatch(batch.transactions, files)

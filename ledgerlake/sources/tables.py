@@ -2,11 +2,13 @@
 
 Plain parquet tables have no MERGE, so a rewrite goes to a staging table that then takes the old
 table's name. A rewrite that dies before the swap leaves the old table as it was; one that dies
-within it is finished by ``recover``.
+within it is finished by ``recover``. Every rewrite stages under a name of its own, so half-written
+files of a dead run are in nobody's way.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,6 +18,16 @@ from ..operators.incremental import new_rows, upsert
 DEFAULT_NAMESPACE = "default"
 _STAGE, _OLD = "__stage", "__old"
 
+# Types that hold all values of another one (fixed by the types' ranges).
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"), "float": ("double",), "date": ("timestamp", "timestamp_ntz"),
+}
+
+
+class SchemaChangeError(ValueError):
+    """A column's new type cannot hold the stored values, nor the stored type the new ones."""
+
 
 def table_name(name: str, namespace: str | None = None, default: str = DEFAULT_NAMESPACE) -> str:
     """Qualified name: the table's own namespace as given, else the default one."""
@@ -58,14 +70,28 @@ def _rename(spark: SparkSession, table: str, new_name: str) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
 
 
+def _stages(spark: SparkSession, table: str) -> list[str]:
+    """Completely written staging tables of ``table``."""
+    namespace, _, name = table.rpartition(".")
+    namespace = namespace or DEFAULT_NAMESPACE
+    if not spark.catalog.databaseExists(namespace):
+        return []
+    listed = spark.catalog.listTables(namespace, f"{name}{_STAGE}*")
+    return [f"{namespace}.{t.name}" for t in listed]
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Finish a swap that was interrupted: the staged rows take over, or the old ones come back."""
-    if exists(spark, table):
-        return
-    for suffix in (_STAGE, _OLD):
-        if exists(spark, table + suffix):
-            _rename(spark, table + suffix, table)
-            break
+    stages = _stages(spark, table)
+    if not exists(spark, table):
+        # Between the two renames of a swap there is one stage; it is complete, or it would not be listed.
+        for candidate in (*stages, table + _OLD):
+            if exists(spark, candidate):
+                _rename(spark, candidate, table)
+                stages = [s for s in stages if s != candidate]
+                break
+    for stage in stages:
+        _drop(spark, stage)
     _drop(spark, table + _OLD)
 
 
@@ -77,16 +103,18 @@ def rebuild(
     spark = df.sparkSession
     ensure_namespace(spark, table)
     recover(spark, table)
-    _drop(spark, table + _STAGE)
-    _write(_with_comments(df, schema), table + _STAGE, "errorifexists", partition_by)
-    _drop(spark, table + _OLD)
+    stage = f"{table}{_STAGE}_{uuid.uuid4().hex[:12]}"
+    _write(_with_comments(df, schema), stage, "errorifexists", partition_by)
     if exists(spark, table):
         _rename(spark, table, table + _OLD)
-    _rename(spark, table + _STAGE, table)
+    _rename(spark, stage, table)
     _drop(spark, table + _OLD)
     if comment:
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{_quoted(comment)}'")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def schema_changes(stored: T.StructType, incoming: T.StructType) -> tuple[list[T.StructField], list[str]]:
@@ -95,33 +123,61 @@ def schema_changes(stored: T.StructType, incoming: T.StructType) -> tuple[list[T
     return [f for f in incoming.fields if f.name not in have], [n for n in stored.names if n not in want]
 
 
+def _type_changes(stored: T.StructType, incoming: T.StructType) -> dict[str, T.DataType]:
+    """Type each column must have after the change, where the stored one is too narrow."""
+    wider, held = {}, {f.name: f.dataType for f in stored.fields}
+    for f in incoming.fields:
+        have, want = held.get(f.name, f.dataType), f.dataType
+        if have == want or have.simpleString() in _WIDER.get(want.simpleString(), ()):
+            continue
+        if want.simpleString() not in _WIDER.get(have.simpleString(), ()):
+            raise SchemaChangeError(f"{f.name} is {have.simpleString()}, rows have {want.simpleString()}")
+        wider[f.name] = want
+    return wider
+
+
 def align(stored: DataFrame, incoming: T.StructType) -> DataFrame:
-    """Stored rows in the incoming schema: new columns NULL, vanished ones gone."""
-    have = set(stored.columns)
+    """Stored rows in the incoming schema: new columns NULL, vanished ones gone, narrow ones widened."""
+    have = {f.name: f for f in stored.schema.fields}
+    wider = _type_changes(stored.schema, incoming)
     return stored.select(*[
-        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(f.name).cast(wider[f.name]) if f.name in wider else F.col(f.name)).alias(f.name, metadata=have[f.name].metadata)
+        if f.name in have else F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata)
         for f in incoming.fields
     ])
 
 
-def sync_schema(spark: SparkSession, table: str, incoming: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """Give a stored table the incoming columns.
+def sync_schema(
+    spark: SparkSession, table: str, incoming: T.StructType, partition_by: Sequence[str] = (),
+    schema: T.StructType | None = None,
+) -> None:
+    """Give a stored table the incoming columns and types; comments stay, new columns bring theirs.
 
     Adding is a catalog change. Dropping rewrites the table, since a column left behind in the
-    files would come back with its old values if it were ever added again.
+    files would come back with its old values if it were ever added again; so does widening a type.
+    A type that can neither take nor give way is an error.
     """
+    docs = {f.name: f.metadata for f in schema.fields} if schema is not None else {}
+    incoming = T.StructType([T.StructField(f.name, f.dataType, True, docs.get(f.name) or f.metadata) for f in incoming.fields])
     stored = spark.table(table)
     add, drop = schema_changes(stored.schema, incoming)
-    if drop:
-        rebuild(align(stored, incoming), table, partition_by)
+    if drop or _type_changes(stored.schema, incoming):
+        comment = spark.catalog.getTable(table).description
+        rebuild(align(stored, incoming), table, partition_by, comment=comment)
     elif add:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in add)
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + (f" COMMENT '{_quoted(f.metadata['comment'])}'" if f.metadata.get("comment") else "") for f in add)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows to a stored table, columns matched by name."""
-    _write(df.select(*df.sparkSession.table(table).columns), table, "append", partition_by)
+    """Add rows to a stored table, columns matched by name; a stored column may be wider, never narrower."""
+    stored = df.sparkSession.table(table).schema
+    narrow = _type_changes(stored, df.select(*stored.names).schema)
+    if narrow:
+        raise SchemaChangeError(f"{table} is too narrow for {', '.join(narrow)}")
+    _write(df.select(*[F.col(f.name).cast(f.dataType) for f in stored.fields]), table, "append", partition_by)
 
 
 def append_new(
@@ -135,7 +191,7 @@ def append_new(
     if full_refresh or not exists(spark, table):
         rebuild(df, table, partition_by, schema, comment)
         return
-    sync_schema(spark, table, df.schema, partition_by)
+    sync_schema(spark, table, df.schema, partition_by, schema)
     stored = spark.table(table)
     fresh = new_rows(df, stored, key, null_policy, hot, prune_by)
     append(fresh, table, partition_by)

@@ -1,9 +1,10 @@
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import maintenance, metrics, quality
-from ledgerlake.schemas import MASTER_RULES
+from ledgerlake.schemas import ENTITY_RULES, MASTER_RULES
 from ledgerlake.sources.raw import read_seed, read_suggestions, write_seed, write_suggestions
 
 from .files import write_text
@@ -21,11 +22,34 @@ def test_sheet_rows_are_padded_cut_and_cleaned(spark):
 def test_synced_rules_survive_the_seed_file(spark):
     path = tempfile.mkdtemp(prefix="ledgerlake-seed-") + "/seed"
     rules = spark.createDataFrame([("a, b", 1, "g", None, 's "x"', "e")], MASTER_RULES)
+    with pytest.raises(ValueError):
+        write_seed(rules, path)
+    rules = rules.withColumn("rule_id", F.lit(7).cast("long"))
     write_seed(rules, path)
     write_seed(rules, path)
     assert [tuple(r) for r in read_seed(spark, path, MASTER_RULES).drop("rule_id").collect()] == [("a, b", 1, "g", None, 's "x"', "e")]
 
 
+def test_seed_files_keep_the_order_of_ties(spark):
+    path = tempfile.mkdtemp(prefix="ledgerlake-seed-") + "/seed"
+    rules = spark.range(500).select(
+        F.format_string("k%d", F.lit(499) - F.col("id")).alias("keyword"), F.lit(1).alias("priority"),
+        *[F.lit(c).alias(c) for c in MASTER_RULES.names[2:]], F.col("id").alias("rule_id"))
+    write_seed(rules.repartition(7), path)
+    back = read_seed(spark, path, MASTER_RULES)
+    assert back.inputFiles().__len__() > 1 and back.orderBy("rule_id").first()["keyword"] == "k499"
+    assert sorted(map(tuple, back.select(rules.columns).collect())) == sorted(map(tuple, rules.collect()))
+
+
+def test_a_single_seed_file_is_numbered_by_its_rows(spark):
+    path = tempfile.mkdtemp(prefix="ledgerlake-seed-")
+    write_text(path + "/one.csv", "keyword,entity_name,priority\nb,B,1\na,A,1\n")
+    assert [r["keyword"] for r in read_seed(spark, path, ENTITY_RULES).orderBy("rule_id").collect()] == ["b", "a"]
+    write_text(path + "/two.csv", "keyword,entity_name,priority\nc,C,1\n")
+    with pytest.raises(ValueError):
+        read_seed(spark, path, ENTITY_RULES)
+
+
 def test_suggestions(spark):
     header = ",".join(MASTER_RULES.names)
     text = f"```csv\n{header}\nBAR,50,G,C,S,Bar\nBAR,50,G,C,S,Bar\n\n\"A, B\",x,G,,S,\"El \"\"A\"\"\"\n```\n"
@@ -54,7 +78,7 @@ def test_unclassified(spark):
     df = spark.createDataFrame(rows, "concepto string, importe double, grupo string, categoria string, subcategoria string")
     assert [r.concepto for r in maintenance.unclassified_concepts(df).collect()] == ["a", "b"]
     assert [r.concepto for r in maintenance.unclassified_concepts(df, 1).collect()] == ["a"]
-    assert [tuple(r) for r in maintenance.unclassified_concepts(df, None, by_weight=True).collect()] == [("b", 2, 3.0), ("a", 1, 5.0)]
+    assert [tuple(r) for r in maintenance.unclassified_by_weight(df).orderBy(F.desc("n_rows")).collect()] == [("b", 2, 3.0), ("a", 1, 5.0)]
 
 
 def test_quality_checks(spark):

@@ -166,3 +166,26 @@ def test_cash_casts_after_the_null_filter(spark):
     assert [(str(r.fecha), r.concepto, r.importe, r.hash_id is None) for r in rows] == [
         ("2025-07-01", "pan", -1.5, False), ("None", "pan", -2.0, True), ("2025-07-02", "pan", None, True)]
     assert {(r.entidad, r.origen) for r in rows} == {("Caja", "Cash")}
+
+
+def test_splits_may_change_between_building_and_running(spark):
+    root = tempfile.mkdtemp(prefix="ledgerlake-in-")
+    write_text(f"{root}/NORTE/CARD/big.csv", "t\nFECHA,TEXTO,IMPORTE\n" + "".join(f"1/7/2025,mov {i},1\n" for i in range(4000)) + "TOTAL,,1\n")
+    batch = statements.read_statements(spark, root, [CARD], whole_file_bytes=0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert batch.transactions.count() == 4000 and batch.files.first().n_rows == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("whole_file_bytes", [statements.WHOLE_FILE_BYTES, 0])
+def test_every_listed_file_is_reported(spark, whole_file_bytes):
+    root = tempfile.mkdtemp(prefix="ledgerlake-in-")
+    for name, text in (("zero.csv", ""), ("blank.csv", "\n \n\n"), ("open.csv", 't\nFECHA,TEXTO,IMPORTE\n1/7/2025,"a,1\n2/7/2025,b,2\nTOTAL,,\n')):
+        write_text(f"{root}/NORTE/CARD/{name}", text)
+    batch = statements.read_statements(spark, root, [CARD], whole_file_bytes)
+    found = {r.path.rsplit("/", 1)[1]: (r.status, r.n_rows) for r in batch.files.collect()}
+    assert found["zero.csv"] == found["blank.csv"] == ("empty", 0)
+    assert found["open.csv"][0] in ("unclosed_quote", "multiline_field") and found["open.csv"][1] == 0
+    assert batch.transactions.count() == 0

@@ -32,7 +32,7 @@ def test_rebuild_may_read_the_table_it_replaces(spark):
     tables.rebuild(frame(spark, [("a", "x", 1)]), "tt.self")
     tables.rebuild(spark.table("tt.self").withColumn("n", F.col("n") + 1), "tt.self")
     assert rows(spark, "tt.self") == [("a", "x", 2)]
-    assert not tables.exists(spark, "tt.self__stage") and not tables.exists(spark, "tt.self__old")
+    assert not tables._stages(spark, "tt.self") and not tables.exists(spark, "tt.self__old")
 
 
 def test_interrupted_swap_is_finished(spark):
@@ -69,7 +69,7 @@ def test_comments_are_persisted(spark):
     info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED tt.docs").collect()}
     assert info["Comment"] == "It's a \\ table."
     comments = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE tt.docs").collect()}
-    assert "row identity" in comments["hash_id"]
+    assert "equal movements" in comments["hash_id"]
 
 
 def test_append_goes_by_name(spark):
@@ -91,3 +91,29 @@ def test_null_key_in_store_stops_a_load(spark):
         tables.append_new(frame(spark, [("a", "x", 1)]), "tt.nulls")
     tables.append_new(frame(spark, [("a", "x", 1)]), "tt.nulls", null_policy="compat")
     assert spark.table("tt.nulls").count() == 1
+
+
+def test_wider_types_and_comments_survive(spark):
+    schema = T.StructType([T.StructField("k", T.StringType(), True, {"comment": "the key"}), T.StructField("n", T.IntegerType())])
+    tables.rebuild(spark.createDataFrame([("a", 1)], "k string, n int"), "tt.wide", schema=schema, comment="kept 'text'")
+    tables.append_new(spark.createDataFrame([("b", 2.5)], "k string, n double"), "tt.wide", key="k")
+    assert sorted(map(tuple, spark.table("tt.wide").collect())) == [("a", 1.0), ("b", 2.5)]
+    tables.append_new(spark.createDataFrame([("c", 3)], "k string, n int"), "tt.wide", key="k")
+    assert spark.table("tt.wide").where("k = 'c'").first()["n"] == 3.0
+    with pytest.raises(tables.SchemaChangeError):
+        tables.append_new(spark.createDataFrame([("d", "x")], "k string, n string"), "tt.wide", key="k")
+    tables.sync_schema(spark, "tt.wide", T.StructType([schema["k"], T.StructField("new", T.StringType(), True, {"comment": "fresh"})]))
+    after = spark.table("tt.wide")
+    assert [f.metadata.get("comment") for f in after.schema.fields] == ["the key", "fresh"] and after.columns == ["k", "new"]
+    assert spark.catalog.getTable("tt.wide").description == "kept 'text'"
+
+
+def test_files_of_a_dead_stage_are_in_nobodys_way(spark):
+    import os
+
+    tables.rebuild(frame(spark, [("a", "x", 1)]), "tt.dead")
+    place = spark.sql("DESCRIBE DATABASE EXTENDED tt").where("info_name = 'Location'").first()[1].removeprefix("file:")
+    os.makedirs(f"{place}/dead__stage")
+    open(f"{place}/dead__stage/part-0.parquet", "w").close()
+    tables.rebuild(frame(spark, [("b", "x", 1)]), "tt.dead")
+    assert [r[0] for r in spark.table("tt.dead").collect()] == ["b"]

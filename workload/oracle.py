@@ -193,10 +193,10 @@ FROM orders
 """
 CASH = f"""
 SELECT {hash_sql('fecha', 'concepto', 'importe')} AS hash_id, fecha, concepto, importe, 'Caja' AS entidad, 'Cash' AS origen
-FROM (SELECT try_cast(fecha AS DATE) AS fecha, concepto, try_cast(importe AS DOUBLE) AS importe
-      FROM (SELECT CASE WHEN day(fecha) = 31 THEN 'n/a' WHEN day(fecha) <> 30 THEN CAST(fecha AS VARCHAR) END AS fecha,
+FROM (SELECT try_cast(fecha AS DATE) AS fecha, concepto, CASE WHEN isfinite(try_cast(importe AS DOUBLE)) THEN try_cast(importe AS DOUBLE) END AS importe
+      FROM (SELECT CASE WHEN day(fecha) = 31 THEN 'n/a' WHEN day(fecha) = 29 THEN CAST(year(fecha) AS VARCHAR) WHEN day(fecha) <> 30 THEN CAST(fecha AS VARCHAR) END AS fecha,
                    concepto,
-                   CASE WHEN importe > 50000 THEN 'mucho' WHEN importe > -50000 THEN CAST(importe AS VARCHAR) END AS importe
+                   CASE WHEN importe > 50000 THEN 'mucho' WHEN day(fecha) <= 5 THEN ['12d', 'NaN', 'inf', '1e400', '1f'][day(fecha)] WHEN importe > -50000 THEN CAST(importe AS VARCHAR) END AS importe
             FROM txn WHERE origen = 'Cash')
       WHERE fecha IS NOT NULL AND importe IS NOT NULL)
 """
@@ -247,7 +247,7 @@ def _lookup(rules: str, value: str, fallback: str, out: str) -> str:
 _CLASS = "SELECT hash_id, importe, grupo, categoria, subcategoria, entity_name FROM classed"
 
 ORACLE = {
-    "scan_bronze": with_ctes("txn mov", f"SELECT * FROM {_slice('account')}"),
+    "scan_bronze": with_ctes("txn mov", "SELECT * FROM mov"),
     "union_sources": with_ctes("txn mov", " UNION ALL ".join(f"SELECT * FROM {_slice(n)}" for n in data.SLICES)),
     "hash_identity": with_ctes("txn mov", "SELECT hash_id, fecha, concepto, importe FROM mov"),
     "money_text": """
@@ -398,7 +398,7 @@ ORACLE = {
     "unclassified_concepts": with_ctes("txn mov master", f"SELECT DISTINCT concepto FROM silver WHERE {PENDING} ORDER BY concepto LIMIT 20", **SILVER),
     "unclassified_by_weight": with_ctes("txn mov master", f"""
         SELECT concepto, count(*) AS n_rows, CAST(sum(CAST(abs(importe) AS DECIMAL(18,2))) AS DOUBLE) AS total
-        FROM silver WHERE {PENDING} GROUP BY concepto ORDER BY n_rows DESC, total DESC, concepto LIMIT 20""", **SILVER),
+        FROM silver WHERE {PENDING} GROUP BY concepto""", **SILVER),
     "dq_unique": with_ctes("txn mov", "SELECT hash_id, count(*) AS n_rows FROM mov GROUP BY hash_id HAVING count(*) > 1"),
     "dq_unique_texts": with_ctes("txn mov", "SELECT concepto, count(*) AS n_rows FROM mov GROUP BY concepto HAVING count(*) > 1"),
     "dq_not_null": with_ctes("txn", """

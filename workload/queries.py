@@ -33,7 +33,7 @@ def query(fn: Query) -> Query:
 
 @query
 def scan_bronze(spark, d):
-    return raw.bronze_rows(bronze_slice(movements(spark, d), "account").withColumn("fecha", F.col("fecha").cast("string")))
+    return raw.bronze_rows(movements(spark, d).withColumn("fecha", F.col("fecha").cast("string")))
 
 
 @query
@@ -57,10 +57,11 @@ def money_text(spark, d):
 
 @query
 def cash_normalize(spark, d):
+    odd = F.get(F.array(*map(F.lit, ("12d", "NaN", "inf", "1e400", "1f"))), F.dayofmonth("fecha") - 1)
     sheet = bronze_slice(txn(spark, d), "cash").select(
-        F.when(F.dayofmonth("fecha") == 31, "n/a").when(F.dayofmonth("fecha") != 30, F.col("fecha").cast("string")).alias("fecha"),
+        F.when(F.dayofmonth("fecha") == 31, "n/a").when(F.dayofmonth("fecha") == 29, F.year("fecha").cast("string")).when(F.dayofmonth("fecha") != 30, F.col("fecha").cast("string")).alias("fecha"),
         F.concat(F.lit("\t "), "concepto", F.lit(" ")).alias("concepto"),
-        F.when(F.col("importe") > 50000, "mucho").when(F.col("importe") > -50000, F.col("importe").cast("string")).alias("importe"),
+        F.when(F.col("importe") > 50000, "mucho").when(F.dayofmonth("fecha") <= 5, odd).when(F.col("importe") > -50000, F.col("importe").cast("string")).alias("importe"),
     )
     return raw.normalize_cash(sheet)
 
@@ -521,7 +522,7 @@ def unclassified_concepts(spark, d):
 
 @query
 def unclassified_by_weight(spark, d):
-    return maintenance.unclassified_concepts(_silver(spark, d), by_weight=True)
+    return maintenance.unclassified_by_weight(_silver(spark, d))
 
 
 # Data tests
