@@ -9,8 +9,8 @@ rows.
 
 Components need no product of every two rows of a group: in each column all rows are multiplied with one
 of them (a pivot), linked rows become one component, and columns within one component are finished. This
-is repeated with other pivots while the pairs left would be more than the entries of the matrix; then
-all pairs left, between different components, are multiplied. No link between components is lost.
+is repeated with other pivots while the pairs left would be more than the rows; then all pairs left,
+between different components, are multiplied. No link between components is lost.
 
 Null texts and texts without words have no n-grams: size 0, linked with nothing. A text of fewer words
 than ``words`` is one n-gram. Repeated rows and ties are equal rows of the matrix. A component is named
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.llm.common import Workspace, doc_keys, mix
@@ -30,8 +31,9 @@ from ledgerlake.llm.components import connected
 from ledgerlake.llm.repeats import text_words, unit_blocks
 from ledgerlake.llm.rolling import Rolled
 
-COUNT_BITS = 18  # the rarity of n-grams is counted in so many buckets (2 MB on the driver, whatever the input)
-MAX_PIVOTS = 12
+COUNT_BITS = 21  # the rarity of n-grams is counted in so many buckets (2 MB on the driver, whatever the input)
+SLICE = 4096
+MAX_PIVOTS = 6
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -78,22 +80,35 @@ def _rarity(docs: DataFrame, words: int) -> np.ndarray:
             found = [grams & np.uint64(size - 1) for _, grams in _grams(batch["text"], words)]
             if found:
                 total += np.bincount(np.concatenate(found).astype(np.int64), minlength=size)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+        total = np.minimum(total, 65535).astype("<u2").reshape(-1, SLICE)
+        part = TaskContext.get().partitionId() // 128
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(total), part, np.int32)), pa.array(np.arange(len(total), dtype=np.int32)),
+             pa.array([row.tobytes() for row in total], pa.binary())], ["part", "slice", "n"])
+
+    def add(kind: str, classes: bool):
+        def run(key, rows):
+            total = sum(np.frombuffer(n.as_py(), kind).astype(np.int64) for n in rows["n"])
+            if classes:
+                out = np.minimum(6 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8).tobytes()
+            else:
+                out = total.astype("<i8").tobytes()
+            return pa.table([rows["slice"].combine_chunks()[:1], pa.array([out], pa.binary())], ["slice", "n"])
 
-    rows = (
-        docs.select("text").mapInArrow(count, "bucket long, n long")
-        .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    )
-    total = np.ones(size)
-    total[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return np.minimum(6 * np.log2(total), 255).astype(np.uint64)
+        return run
+
+    # A row per task and slice; slices of up to 128 tasks are added up before all of a slice meet.
+    counted = docs.select("text").mapInArrow(count, "part int, slice int, n binary")
+    counted = counted.groupBy("slice", "part").applyInArrow(add("<u2", False), "slice int, n binary")
+    rows = counted.groupBy("slice").applyInArrow(add("<i8", True), "slice int, n binary").toArrow().sort_by("slice")
+    found = np.frombuffer(b"".join(rows["n"].to_pylist()), np.uint8)
+    return found if len(found) == size else np.zeros(size, np.uint8)
 
 
 def _tokens(found: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """The set of a text as sorted numbers, rare n-grams first."""
     bucket = (found & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
-    return np.unique((rarity[bucket] << np.uint64(55)) | (found >> np.uint64(9)))
+    return np.unique((rarity[bucket].astype(np.uint64) << np.uint64(55)) | (found >> np.uint64(9)))
 
 
 def _profiles(docs: DataFrame, words: int, rarity, percent: int) -> DataFrame:
@@ -170,15 +185,12 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
         entries.groupBy("token").agg(
             F.count("*").alias("m"), F.sum("n").alias("both"), F.min(F.col("n") - F.col("pos")).alias("rest"))
         .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token", "m"), "shared")
-    sums = shared.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs"), F.sum("m").alias("entries")).first()
-    pairs_left, size = sums["pairs"] or 0, sums["entries"] or 0
-    links, turn = None, 0
-    if size:
+    pairs_left = shared.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
+    links, sets, turn = None, None, 0
+    if pairs_left:
         open_entries = space.keep(entries.join(shared.select("token"), "token").withColumn("label", F.col("node")), "open")
-        members = open_entries.select("node").distinct()
-        chosen = space.keep(members.join(nodes.select("node", "_id", "_h"), "node"), "chosen")
-        sets = space.keep(_whole_sets(texts, chosen, words, rarity), "sets")
-        space.drop("chosen")
+        # Beyond so many products, pivots come first.
+        size = open_entries.select("node").distinct().count()
     space.drop("shared")
 
     while pairs_left:
@@ -199,6 +211,14 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
             )
         pairs = pairs.where(_meets(percent)).select(
             F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        pairs = space.keep(pairs, f"pairs{turn}")
+        # Only rows that a bound has not ruled out are needed whole.
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if sets is not None:
+            asked = asked.join(sets.select("node"), "node", "left_anti")
+        chosen = space.keep(asked.join(nodes.select("node", "_id", "_h"), "node"), f"chosen{turn}")
+        more = space.keep(_whole_sets(texts, chosen, words, rarity), f"sets{turn}")
+        sets = more if sets is None else sets.unionByName(more)
         fresh = space.keep(_links(pairs, sets, percent), f"links{turn}")
         links = fresh if links is None else links.unionByName(fresh)
         if last:
