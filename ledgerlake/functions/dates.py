@@ -16,6 +16,12 @@ _DIRECTIVES = {
     "H": ("H", r"\d{1,2}"),
     "M": ("m", r"\d{1,2}"),
     "S": ("s", r"\d{1,2}"),
+    "y": ("yy", r"\d{2}"),
+    "b": ("MMM", r"[A-Za-z]{3}"),
+    "B": ("MMMM", r"[A-Za-z]{3,9}"),
+    "I": ("h", r"\d{1,2}"),
+    "p": ("a", r"[AaPp][Mm]"),
+    "f": ("[SSSSSS][SSSSS][SSSS][SSS][SS][S]", r"\d{1,6}"),
 }
 
 # Tried in order when a source states no format.
@@ -40,10 +46,25 @@ def _compile(fmt: str) -> tuple[str, str]:
     return "".join(pattern), "^" + "".join(guard) + r"\z"
 
 
+def supported(fmt: str) -> bool:
+    """Whether every directive of a format is known here."""
+    try:
+        _compile(fmt)
+    except ValueError:
+        return False
+    return True
+
+
 def parse_date(c: Column, fmt: str) -> Column:
-    """Text to date by one format, NULL when it does not match or is no calendar date."""
+    """Text to date by one format, NULL when it does not match or is no calendar date.
+
+    Two-digit years from 69 on are of the last century. Month names are English.
+    """
     pattern, guard = _compile(fmt)
-    return F.when(c.rlike(guard), F.to_date(F.try_to_timestamp(c, F.lit(pattern))))
+    day = F.to_date(F.try_to_timestamp(c, F.lit(pattern)))
+    if "%y" in fmt:
+        day = F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+    return F.when(c.rlike(guard), day)
 
 
 def parse_date_any(c: Column, formats: Sequence[str] = INFERRED_FORMATS) -> Column:

@@ -54,17 +54,33 @@ class AccountConfig:
         return next((source for source, to in self.column_mapping if to == target), None)
 
 
+def _account(bank: str, account: str, settings: dict) -> AccountConfig:
+    """One account's settings; every field of ``AccountConfig`` may be given under its name.
+
+    ``filter_completed: false`` turns a state filter off that is otherwise set.
+    """
+    filtered = settings.get("filter_completed", True)
+    return AccountConfig(
+        bank, account,
+        tuple((settings.get("column_mapping") or {}).items()),
+        settings.get("skip_rows") or 0,
+        settings.get("skip_footer") or 0,
+        settings.get("date_format"),
+        tuple(settings.get("positional") or ()),
+        tuple(settings.get("extra_required") or ()),
+        bool(settings.get("plain_numbers")),
+        settings.get("entidad"),
+        settings.get("origen"),
+        settings.get("status_column") if filtered else None,
+        settings.get("status_value") if filtered else None,
+    )
+
+
 def parse_config(text: str) -> list[AccountConfig]:
     """The accounts of a settings document; an unreadable document has none."""
     try:
         return [
-            AccountConfig(
-                bank, account,
-                tuple((settings.get("column_mapping") or {}).items()),
-                settings.get("skip_rows") or 0,
-                settings.get("skip_footer") or 0,
-                settings.get("date_format"),
-            )
+            _account(bank, account, settings)
             for bank, accounts in json.loads(text).items()
             for account, settings in accounts.items()
         ]

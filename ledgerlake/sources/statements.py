@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.amounts import parse_amount, parse_number
-from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any
+from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any, supported
 from ..functions.identity import hash_id
 from ..functions.text import capitalize, path_parts, trim_ws
 from ..schemas import RAW_TXN
@@ -337,7 +337,12 @@ def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None])
     rows = rows.join(F.broadcast(settings), ["bank", "account"])
     day_text = _cell(F.col("at_fecha"))
     day = F.lit(None).cast("date")
+    unknown = [fmt for fmt in dict.fromkeys(formats) if fmt is not None and not supported(fmt)]
+    if unknown:  # only the accounts that ask for such a format are rejected
+        rows = rows.withColumn("reason", F.coalesce("reason", F.when(F.col("date_format").isin(unknown), "unknown_date_format")))
     for fmt in dict.fromkeys(formats):
+        if fmt in unknown:
+            continue
         if fmt is None:
             day = F.when(F.col("date_format").isNull(), parse_date_any(day_text, INFERRED_FORMATS)).otherwise(day)
         else:

@@ -94,3 +94,17 @@ def test_hash_golden(spark):
     got = [r[0] for r in df.select(hash_id(F.col("f"), F.col("c"), F.col("x"))).collect()]
     text = lambda f, c, x: hashlib.sha256(f"{f}-{c.strip().lower()}-{x:.2f}".encode()).hexdigest()
     assert got == [text(*rows[0]), text(*rows[1]), None, None]
+
+
+def test_more_date_directives(values):
+    from datetime import date
+
+    from ledgerlake.functions.dates import parse_date, supported
+
+    assert values(lambda c: parse_date(c, "%d/%m/%y"), ["01/07/25", "31/12/69", "1/1/68", "1/1/2025"]) == [
+        date(2025, 7, 1), date(1969, 12, 31), date(2068, 1, 1), None]
+    assert values(lambda c: parse_date(c, "%d %b %Y"), ["1 Jul 2025", "31 feb 2025", "1 Julio 2025"]) == [date(2025, 7, 1), None, None]
+    assert values(lambda c: parse_date(c, "%B %d, %Y %I:%M %p"), ["July 4, 2025 11:05 PM"]) == [date(2025, 7, 4)]
+    assert values(lambda c: parse_date(c, "%Y-%m-%d %H:%M:%S.%f"), ["2025-07-01 10:00:00.5", "2025-07-01 10:00:00.123456", "2025-07-01 10:00:00."]) == [
+        date(2025, 7, 1), date(2025, 7, 1), None]
+    assert supported("%d.%m.%Y") and not supported("%d %Q")

@@ -189,3 +189,17 @@ def test_every_listed_file_is_reported(spark, whole_file_bytes):
     assert found["zero.csv"] == found["blank.csv"] == ("empty", 0)
     assert found["open.csv"][0] in ("unclosed_quote", "multiline_field") and found["open.csv"][1] == 0
     assert batch.transactions.count() == 0
+
+
+def test_an_unknown_date_format_rejects_its_account_only(spark):
+    from ledgerlake.sources.config import parse_config
+
+    root = tempfile.mkdtemp(prefix="ledgerlake-in-")
+    for account in ("ACCOUNT", "CARD"):
+        write_text(f"{root}/NORTE/{account}/f.csv", "FECHA,TEXTO,IMPORTE,ESTADO\n01/07/25,a,1,ok\n02/07/25,b,1,no\n")
+    mapping = '"column_mapping": {"FECHA": "fecha", "TEXTO": "concepto", "IMPORTE": "importe"}'
+    state = '"status_column": "ESTADO", "status_value": "ok", "entidad": "Otro"'
+    configs = parse_config(f'{{"NORTE": {{"ACCOUNT": {{{mapping}, {state}, "date_format": "%d/%m/%y"}}, "CARD": {{{mapping}, "date_format": "%d/%Q"}}}}}}')
+    batch = statements.read_statements(spark, root, configs)
+    assert [(r.fecha, r.concepto, r.entidad) for r in batch.transactions.collect()] == [("2025-07-01", "a", "Otro")]
+    assert {r.account: r.status for r in batch.files.collect()} == {"ACCOUNT": "loaded", "CARD": "unknown_date_format"}
