@@ -34,6 +34,7 @@ from ledgerlake.llm.rolling import Rolled
 COUNT_BITS = 21  # the rarity of n-grams is counted in so many buckets (2 MB on the driver, whatever the input)
 SLICE = 4096
 MAX_PIVOTS = 6
+FEW_PRODUCTS = 50_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -189,8 +190,8 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
     links, sets, turn = None, None, 0
     if pairs_left:
         open_entries = space.keep(entries.join(shared.select("token"), "token").withColumn("label", F.col("node")), "open")
-        # Beyond so many products, pivots come first.
-        size = open_entries.select("node").distinct().count()
+        # Beyond so many products, pivots come first; fewer are cheaper than a round.
+        size = max(FEW_PRODUCTS, 2 * open_entries.select("node").distinct().count())
     space.drop("shared")
 
     while pairs_left:
