@@ -9,8 +9,8 @@ rows.
 
 Components need no product of every two rows of a group: in each column all rows are multiplied with one
 of them (a pivot), linked rows become one component, and columns within one component are finished. This
-is repeated with other pivots while the pairs left would be more than the rows; then all pairs left,
-between different components, are multiplied. No link between components is lost.
+is repeated with other pivots while the pairs left are more than the rows and halve each time; then all
+pairs left, between different components, are multiplied. No link between components is lost.
 
 Null texts and texts without words have no n-grams: size 0, linked with nothing. A text of fewer words
 than ``words`` is one n-gram. Repeated rows and ties are equal rows of the matrix. A component is named
@@ -187,7 +187,7 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
             F.count("*").alias("m"), F.sum("n").alias("both"), F.min(F.col("n") - F.col("pos")).alias("rest"))
         .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token", "m"), "shared")
     pairs_left = shared.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
-    links, sets, turn = None, None, 0
+    links, sets, turn, before = None, None, 0, float("inf")
     if pairs_left:
         open_entries = space.keep(entries.join(shared.select("token"), "token").withColumn("label", F.col("node")), "open")
         # Beyond so many products, pivots come first; fewer are cheaper than a round.
@@ -195,7 +195,9 @@ def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: st
     space.drop("shared")
 
     while pairs_left:
-        last = pairs_left <= size or turn == MAX_PIVOTS
+        # A round that leaves over half of the pairs has little to merge: most of them are no links.
+        last = pairs_left <= size or turn == MAX_PIVOTS or pairs_left > before / 2
+        before = pairs_left
         if last:
             pairs = (
                 open_entries.alias("x").join(open_entries.alias("y"), F.col("x.token") == F.col("y.token"))
