@@ -22,8 +22,10 @@ def test_odd_rows(odd_docs, odd_rows, n, percent):
     assert rows_of(jaccard_join.components(odd_docs, words=n, percent=percent)) == wanted([r[:2] for r in odd_rows], n, percent)
 
 
-def test_large_group_of_near_copies(spark):
-    """Links between members matter where a pivot is not linked to all."""
+@pytest.mark.parametrize("few", [jaccard_join.FEW_PRODUCTS, 0])
+def test_large_group_of_near_copies(spark, monkeypatch, few):
+    """Links between members matter where a pivot is not linked to all; without ``few``, pivots come first."""
+    monkeypatch.setattr(jaccard_join, "FEW_PRODUCTS", few)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]
     rows = []
