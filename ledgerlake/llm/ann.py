@@ -3,8 +3,9 @@
 Each table turns a unit vector by pseudo-rotations (random signs, then a fast Hadamard transform, three
 times) and names its nearest signed axis: its bucket. A query looks, over all tables together, into the
 ``probes`` buckets whose axes it leans to most. Candidates are reranked exactly by their inner product in
-double precision. Where norms differ, one more coordinate makes stored vectors equally long, so that the
-largest inner product is again the smallest angle.
+double precision. Where norms differ, stored vectors are split into bands of nearly equal norm and every
+band is searched: within a band the largest inner products have nearly the smallest angles. The nearest
+of a band of few vectors may lie at wide angles, so bands of at most ``SCAN`` are compared whole.
 
 Equal vectors are one candidate, kept with as many of its smallest ids as an answer can hold, which loses
 nothing. Buckets are dealt into blocks of at most ``block`` candidates and ``block`` queries, so none needs
@@ -27,6 +28,8 @@ TABLES = 16
 PROBES = 128
 BLOCK = 4096
 UNEQUAL = 1e-3
+BANDS = 4  # bands per doubling of the norm
+SCAN = 4096
 
 
 def _signs(width: int, tables: int, seed: int) -> np.ndarray:
@@ -89,36 +92,40 @@ def _bucket(length: int, table: np.ndarray, axis: np.ndarray) -> np.ndarray:
     return (np.int64(length) << 40) | (table.astype(np.int64) << 32) | axis.astype(np.int64)
 
 
-def _hashed(tables: int, seed: int, longest: float, unequal: bool):
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _hashed(tables: int, seed: int):
+    """Rows (rep, band, bucket); a vector of a band that is compared whole has one bucket, after all tables."""
+
     def run(batches):
         for batch in batches:
+            whole = batch["whole"].to_numpy(zero_copy_only=False)
             for rows, x in _by_length(batch):
-                length, norm = x.shape[1], np.linalg.norm(x, axis=1, keepdims=True)
-                if unequal:
-                    x = np.hstack([x / longest, np.sqrt(np.maximum(0, 1 - (norm / longest) ** 2))])
-                else:
-                    x = x / norm
-                axis = nearest_axes(x, tables, seed)
+                axis = nearest_axes(_unit(x), tables, seed)
                 table = np.broadcast_to(np.arange(tables), axis.shape)
+                bucket, apart = _bucket(x.shape[1], table, axis), whole[rows]
+                once = np.full(apart.sum(), _bucket(x.shape[1], np.array(tables), np.array(0)))
+                at = pa.array(np.concatenate([np.repeat(rows[~apart], tables), rows[apart]]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["rep"].take(pa.array(np.repeat(rows, tables))),
-                     pa.array(_bucket(length, table, axis).ravel())], ["rep", "bucket"])
+                    [batch["rep"].take(at), batch["band"].take(at), pa.array(np.concatenate([bucket[~apart].ravel(), once]))],
+                    ["rep", "band", "bucket"])
 
     return run
 
 
-def _probing(tables: int, probes: int, seed: int, unequal: bool):
+def _probing(tables: int, probes: int, seed: int):
     def run(batches):
         for batch in batches:
             for rows, x in _by_length(batch):
-                length = x.shape[1]
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                if unequal:
-                    x = np.hstack([x, np.zeros((len(x), 1))])
-                table, axis = probed_axes(x, tables, probes, seed)
+                table, axis = probed_axes(_unit(x), tables, probes, seed)
+                bucket = np.hstack([_bucket(x.shape[1], table, axis),
+                                    np.full((len(x), 1), _bucket(x.shape[1], np.array(tables), np.array(0)))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch["rep"].take(pa.array(np.repeat(rows, table.shape[1]))),
-                     pa.array(_bucket(length, table, axis).ravel())], ["rep", "bucket"])
+                    [batch["rep"].take(pa.array(np.repeat(rows, bucket.shape[1]))), pa.array(bucket.ravel())],
+                    ["rep", "bucket"])
 
     return run
 
@@ -169,32 +176,41 @@ def search(vectors: DataFrame, queries: Column, *, k: int = 20, tables: int = TA
     reps = space.keep(groups, "groups")
     listed = space.keep(listed, "ids")
 
-    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    norms = reps.agg(F.max(F.sqrt(square)).alias("high"), F.min(F.sqrt(square)).alias("low")).first()
-    longest, lowest = norms["high"] or 1.0, norms["low"] or 1.0
-    unequal = lowest < (1 - UNEQUAL) * longest
+    peak = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
+    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x.cast("double") / F.col("peak")) * (x.cast("double") / F.col("peak")))
+    lengths = reps.select("rep", "v", F.size("v").alias("width"), peak.alias("peak")).withColumn(
+        "log", F.log2("peak") + F.log2(square) / 2)
+    norms = lengths.agg((F.max("log") - F.min("log")).alias("spread")).first()
+    if (norms["spread"] or 0.0) > -np.log2(1 - UNEQUAL):
+        # Half a band off, so that the noise of unit norms does not fall on an edge.
+        banded = lengths.withColumn("band", F.floor(F.col("log") * BANDS + 0.5).cast("int"))
+        few = space.keep(
+            banded.groupBy("width", "band").agg(F.count("*").alias("n")).select("width", "band", (F.col("n") <= SCAN).alias("whole")),
+            "bands")
+        banded = banded.join(F.broadcast(few), ["width", "band"])
+    else:
+        banded = lengths.withColumns({"band": F.lit(0), "whole": F.lit(False)})
     stored = space.keep(
-        reps.select("rep", "v").mapInArrow(_hashed(tables, seed, longest, unequal), "rep long, bucket long"), "stored")
+        banded.select("rep", "v", "band", "whole").mapInArrow(_hashed(tables, seed), "rep long, band int, bucket long"), "stored")
     probing = space.keep(
-        reps.where("asked").select("rep", "v").mapInArrow(_probing(tables, probes, seed, unequal), "rep long, bucket long"),
-        "probing")
+        reps.where("asked").select("rep", "v").mapInArrow(_probing(tables, probes, seed), "rep long, bucket long"), "probing")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    of_stored = stored.groupBy("bucket").agg(F.count("*").alias("n")).select("bucket", blocks.alias("parts"))
+    of_stored = stored.groupBy("bucket", "band").agg(F.count("*").alias("n")).select("bucket", "band", blocks.alias("parts"))
     of_queries = probing.groupBy("bucket").agg(F.count("*").alias("n")).select("bucket", blocks.alias("asks"))
     sizes = space.keep(of_stored.join(of_queries, "bucket"), "sizes")
     own = F.xxhash64("rep", "bucket")
     asked_v, stored_v = (reps.select(F.col("rep"), F.col("v").alias("v")) for _ in range(2))
     right = (
-        stored.join(sizes, "bucket").join(stored_v, "rep")
-        .select("bucket", F.pmod(own, "parts").cast("int").alias("part"),
+        stored.join(sizes, ["bucket", "band"]).join(stored_v, "rep")
+        .select("bucket", "band", F.pmod(own, "parts").cast("int").alias("part"),
                 F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("ask"), "rep", "v")
     )
     left = (
         probing.join(sizes, "bucket").join(asked_v, "rep")
-        .select("bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        .select("bucket", "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                 F.pmod(own, "asks").cast("int").alias("ask"), "rep", "v")
     )
-    keys = ["bucket", "part", "ask"]
+    keys = ["bucket", "band", "part", "ask"]
     found = space.keep(
         left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_rerank(k + 1), "query long, rep long, score double")
         .dropDuplicates(["query", "rep"]), "found")

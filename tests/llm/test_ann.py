@@ -57,6 +57,27 @@ def test_recall(spark):
         assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_recall_where_norms_differ(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(5000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    outlier = np.ones(5000)
+    outlier[0] = 10
+    for norms in (outlier, np.exp(0.5 * rng.normal(size=5000))):
+        rows = [(i, v.tolist()) for i, v in enumerate(np.float32(x * norms[:, None]))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        stored = np.float64([v for _, v in rows])
+        hits = 0
+        got = {}
+        for r in ann.search(df, F.col("vec_id") % 50 == 0, k=20).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        for q in range(0, 5000, 50):
+            score = stored @ stored[q]
+            score[q] = -np.inf
+            hits += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+        assert hits >= 0.97 * 100 * 20
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
 
