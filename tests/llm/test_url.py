@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import url_graph
 
@@ -72,3 +73,22 @@ def test_ranks_equal_a_loop(spark):
         assert r["trust"] == pytest.approx(trust.get(host, 0)) and r["distrust"] == pytest.approx(distrust.get(host, 0))
     assert got["c.test"]["verdict"] == "block" and got["good.org"]["verdict"] == "allow" and got["bad.net"]["verdict"] == "block"
     assert got["b.test"]["verdict"] == "allow"
+
+
+def test_verdicts_do_not_fade_with_the_input(spark):
+    copies, linkers = 1000, 130
+    many = spark.range(copies * (linkers + 1)).selectExpr(
+        "id AS page_id", f"id % {copies} AS c", f"id DIV {copies} AS n").selectExpr(
+        "page_id", f"if(n = {linkers}, concat('http://bad', c, '.net/x'), concat('http://from', c, '-', n, '.test/x')) AS url",
+        f"if(n = {linkers}, '', concat('<a href=\"http://bad', c, '.net/\">x</a>')) AS html")
+    chain = [(-1 - i, f"http://hop{i}.test/", f"<a href='http://{f'hop{i - 1}.test' if i else 'bad0.net'}/'>x</a>") for i in range(12)]
+    pages = many.unionByName(spark.createDataFrame([*chain, (-99, "http://apart.test/", "")], many.schema))
+    got = {r["verdict"]: r["n"] for r in url_graph.judge(pages, RULES).groupBy("verdict").agg(F.count("*").alias("n")).collect()}
+    assert got == {"block": copies * (linkers + 1) + 12, "allow": 1}
+
+
+def test_ranks_of_a_cycle_are_iterated_out(spark):
+    rows = [(0, "http://bad.net/x", '<a href="http://a.test/">x</a>'), (1, "http://a.test/x", '<a href="http://bad.net/">x</a>')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["host"]: r["distrust"] for r in url_graph.judge(pages, RULES, threshold=1.0).collect()}
+    assert got["bad.net"] == pytest.approx(0.15 / (1 - 0.85**2), abs=1e-2) and got["a.test"] == pytest.approx(0.1275 / (1 - 0.85**2), abs=1e-2)
