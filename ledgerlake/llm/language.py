@@ -3,7 +3,7 @@
 Training counts hashed byte n-grams of labelled texts per language. A word's likelihood under a language
 is the product of its n-grams' smoothed probabilities. Expectation-maximisation then estimates, per text,
 the proportions of the languages that its words come from. The languages are ordered by proportion; of the
-sets holding the first one, two, ... the one of the best likelihood less a penalty (half the logarithm of
+sets holding the first one, two, ... all the one of the best likelihood less a penalty (half the logarithm of
 the number of words for each further language, times ``penalty``) is taken, and its largest member is
 the prediction, its proportion the score.
 
@@ -132,7 +132,7 @@ class LanguageModel:
         share, _ = mixture(np.ones((len(some), n_langs)))
         rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1)
         value = np.full(len(some), -np.inf)
-        for k in range(1, min(n_langs, 3) + 1):
+        for k in range(1, n_langs + 1):
             if k == 1:
                 kept = (rank == 0).astype(np.float64)
                 likely = np.add.reduceat(

@@ -63,3 +63,13 @@ def test_nothing_learned(no_docs, odd_docs):
     model = language.LanguageModel.fit(no_docs, F.lit(True))
     assert {r["lang_pred"] for r in language.identify(odd_docs, model).collect()} == {"und"}
     assert language.identify(no_docs, model).count() == 0
+
+
+def test_text_of_four_languages():
+    words = ["kalo", "schung", "eaux", "wyrd"]
+    logs = np.full((1 << language.BITS, 4), np.log(1e-6), np.float32)
+    for i, word in enumerate(words):
+        logs[language.word_grams(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]))[0], i] = np.log(0.1)
+    raw = np.frombuffer(" ".join(w for w, n in zip(words, (36, 22, 21, 21)) for _ in range(n)).encode(), np.uint8)
+    best, score = language.LanguageModel(list("abcd"), logs).predict(raw, np.array([0, len(raw)]))
+    assert best.tolist() == [0] and abs(score[0] - 0.36) < 0.01
