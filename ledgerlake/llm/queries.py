@@ -9,7 +9,10 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import ann, bpe, html_text, jaccard_join, language, packing, quality, substring_dedup, suffix_dedup, url_graph
+from ledgerlake.llm import (
+    ann, bpe, html_text, jaccard_join, language, minhash, packing, quality, substring_dedup, suffix_dedup, token_alignment, url_graph,
+    vector_codes,
+)
 
 # Rows per Arrow batch: long texts make rows large, and a batch is held in memory as a whole.
 BATCH_ROWS = "1000"
@@ -107,6 +110,23 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents, by 3-word shingles that agree to 85 percent."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, eight hex pairs each, and what they lose."""
+    return vector_codes.encode(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, with corpus-wide counts of token pairs."""
+    return token_alignment.align(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -118,6 +138,11 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_neighbours": op10_neighbours,
+    "op11_minhash": op11_minhash,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_vector_codes": vector_codes.oracle("embeddings"),
+}
