@@ -28,7 +28,6 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -66,70 +65,78 @@ def load_pieces(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[b
     return model, table
 
 
-@dataclass
-class Unit:
-    a: int
-    b: int
-    groups: int
-    keys: list[int]  # one per link: B id above A id
-    text: str | None  # ``a1,a2|b1;a3|b2``; None if the tokens do not spell the unit
-
-
-def align_ids(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes], raw: bytes) -> Unit:
-    """Groups and links of two token sequences over the same bytes."""
-    if b"".join([a_bytes[i] for i in a_ids]) != raw or b"".join([b_bytes[i] for i in b_ids]) != raw:
-        return Unit(0, 0, 0, [], None)
-    keys, parts, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    end_a, end_b = len(a_bytes[a_ids[0]]), len(b_bytes[b_ids[0]])
-    while True:
-        keys.append(b_ids[j] << 32 | a_ids[i])
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        i, j = i + step_a, j + step_b
-        if step_a and step_b:
-            parts.append(",".join(map(str, a_ids[from_a:i])) + "|" + ",".join(map(str, b_ids[from_b:j])))
-            from_a, from_b = i, j
-            if i == len(a_ids):
-                return Unit(i, j, len(parts), keys, ";".join(parts))
-        if step_a:
-            end_a += len(a_bytes[a_ids[i]])
-        if step_b:
-            end_b += len(b_bytes[b_ids[j]])
-
-
 class Units(dict):
     """Numbers of text units, with the alignment of each in arrays by number."""
 
     def __init__(self, ranks: str, pattern: str, pieces: str):
         super().__init__()
-        self.first, self.first_bytes = load_ranks(ranks, pattern), load_table(ranks)
-        self.second, self.second_bytes = load_pieces(pieces)
+        self.first, self.second = load_ranks(ranks, pattern), load_pieces(pieces)[0]
+        self.second_bytes = load_pieces(pieces)[1]
+        self.first_size = np.array([len(x) for x in load_table(ranks)])
+        self.second_size = np.array([len(x) for x in self.second_bytes])
+        self.names = [str(i) for i in range(max(len(self.first_size), len(self.second_size)))]
         self.restart()
 
     def restart(self) -> None:
         self.clear()
+        # ``a1,a2|b1;a3|b2`` of each unit; None if its tokens do not spell it.
         self.texts: list[str | None] = []
-        self.shapes: list[tuple[int, int, int, int]] = []
-        self.keys = np.zeros(1 << 16, np.uint64)
-        self.used = 0
-
-    def __missing__(self, unit: str) -> int:
-        # The tokenizer puts a space in front by itself, but not in front of nothing.
-        second = self.second.encode(unit[1:]) if len(unit) > 1 else [self.second.piece_to_id("▁")]
-        found = align_ids(self.first.encode_ordinary(unit), second, self.first_bytes, self.second_bytes, unit.encode())
-        end = self.used + len(found.keys)
-        if end > len(self.keys):
-            self.keys = np.concatenate([self.keys, np.zeros(max(end, len(self.keys)), np.uint64)])
-        self.keys[self.used:end] = found.keys
-        self.used = end
-        self.texts.append(found.text)
-        self.shapes.append((found.a, found.b, found.groups, len(found.keys)))
-        self[unit] = number = len(self.texts) - 1
-        return number
-
-    def of(self, text: str) -> list[int]:
-        head, *rest = _UNIT.split(" " + text)
+        self.shapes = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links
+        self.keys = np.zeros(0, np.uint64)  # one per link: B id above A id
+
+    def of(self, texts: list[str]) -> list[list[int]]:
+        """The units of each text; ones not seen before are aligned together."""
+        lists = []
+        for text in texts:
+            head, *rest = _UNIT.split(" " + text)
+            lists.append([head, *[" " + unit for unit in rest]])
+        new = [u for u in dict.fromkeys(u for units in lists for u in units) if u not in self]
+        if new:
+            self._align(new)
         get = self.__getitem__
-        return [get(head), *[get(" " + unit) for unit in rest]]
+        return [list(map(get, units)) for units in lists]
+
+    def _align(self, units: list[str]) -> None:
+        """Add units. A space behind a non-space begins a token of A, so most units are encoded as one text."""
+        units.sort(key=lambda u: u[-1].isspace())
+        closed = next((i for i, u in enumerate(units) if u[-1].isspace()), len(units))
+        a_ids = self.first.encode_ordinary("".join(units[:closed])) if closed else []
+        for u in units[closed:]:
+            a_ids = a_ids + self.first.encode_ordinary(u)
+        # B puts a space in front by itself, but not in front of nothing.
+        found = self.second.encode([u[1:] for u in units], num_threads=1)
+        blank = [self.second.piece_to_id("▁")]
+        b_lists = [ids if len(u) > 1 else blank for u, ids in zip(units, found)]
+        raw = [u.encode() for u in units]
+        spelled = [b"".join([self.second_bytes[i] for i in ids]) == r for ids, r in zip(b_lists, raw)]
+        ends = np.cumsum([len(r) for r in raw])
+        a, a_end = np.array(a_ids, np.int64), np.cumsum(self.first_size[a_ids])
+        if not all(spelled):  # stands for a text that B cannot spell: one token over all of it
+            sizes = np.concatenate([self.second_size[ids] if s else [len(r)] for ids, s, r in zip(b_lists, spelled, raw)])
+            b_lists = [ids if s else [0] for ids, s in zip(b_lists, spelled)]
+        b = np.array([i for ids in b_lists for i in ids], np.int64)
+        b_end = np.cumsum(self.second_size[b] if all(spelled) else sizes)
+        # Between two neighbouring ends of either kind lie one A and one B token: a link.
+        stops = np.union1d(a_end, b_end)
+        links = (b[np.searchsorted(b_end, stops)].astype(np.uint64) << np.uint64(32)) | a[np.searchsorted(a_end, stops)].astype(np.uint64)
+        cuts = np.intersect1d(a_end, b_end)
+        count = lambda x: np.diff(np.searchsorted(x, np.append(0, ends), "right"))
+        shapes = np.stack([count(a_end), count(b_end), count(cuts), count(stops)], axis=1)
+        a_names, b_names = [self.names[i] for i in a_ids], [self.names[i] for i in b.tolist()]
+        to_a, to_b = np.searchsorted(a_end, cuts).tolist(), np.searchsorted(b_end, cuts).tolist()
+        groups, i, j = [], 0, 0
+        for x, y in zip(to_a, to_b):
+            groups.append(",".join(a_names[i:x + 1]) + "|" + ",".join(b_names[j:y + 1]))
+            i, j = x + 1, y + 1
+        low = 0
+        for n, fine, unit in zip(shapes[:, 2].tolist(), spelled, units):
+            self[unit] = len(self.texts)
+            self.texts.append(";".join(groups[low:low + n]) if fine else None)
+            low += n
+        keep = np.repeat(np.array(spelled), shapes[:, 3])
+        shapes[~np.array(spelled)] = 0
+        self.shapes = np.concatenate([self.shapes, shapes])
+        self.keys = np.concatenate([self.keys, links[keep]])
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -252,14 +259,17 @@ def _spill(ranks: str, pattern: str, pieces: str, kind: pa.DataType):
                     high += 1
                 if len(units) > CACHE_ENTRIES:
                     units.restart()
-                lists = [units.of(t) if t else [] for t in texts[low:high]]
+                full = [i for i, t in enumerate(texts[low:high]) if t]
+                lists: list[list[int]] = [[] for _ in range(high - low)]
+                for i, found in zip(full, units.of([texts[low + i] for i in full])):
+                    lists[i] = found
                 digests, whole = [], []
                 for found in lists:
                     spelled = [units.texts[u] for u in found]
                     fine = bool(spelled) and None not in spelled
                     whole.append(found if fine else [])
                     digests.append(hashlib.sha256(";".join(spelled).encode()).hexdigest() if fine else "")
-                shapes = np.array(units.shapes or [(0, 0, 0, 0)], np.int64)
+                shapes = units.shapes
                 start = np.cumsum(shapes[:, 3]) - shapes[:, 3]
                 at = np.array([u for found in whole for u in found], np.int64)
                 ends = np.cumsum([len(found) for found in whole])
