@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # strptime directive -> (Spark pattern, what the text must look like).
 _DIRECTIVES = {
@@ -24,7 +26,7 @@ _DIRECTIVES = {
     "f": ("[SSSSSS][SSSSS][SSSS][SSS][SS][S]", r"\d{1,6}"),
 }
 
-# Tried in order when a source states no format.
+# Formats a source without a stated one may have; on equal votes the earlier wins.
 INFERRED_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y")
 
 
@@ -72,6 +74,38 @@ def parse_date_any(c: Column, formats: Sequence[str] = INFERRED_FORMATS) -> Colu
     return F.coalesce(*[parse_date(c, fmt) for fmt in formats])
 
 
+def parse_date_as(c: Column, fmt: Column, formats: Sequence[str] = INFERRED_FORMATS) -> Column:
+    """Text to date by the one of ``formats`` that a column names, NULL where it names none."""
+    day = F.lit(None).cast("date")
+    for known in formats:
+        day = F.when(fmt == known, parse_date(c, known)).otherwise(day)
+    return day
+
+
+def elect_formats(rows: DataFrame, by: Sequence[str], text: str, formats: Sequence[str] = INFERRED_FORMATS) -> DataFrame:
+    """One date format for all texts of a group: the one that most of them fit.
+
+    Columns: ``by``, ``date_format`` (NULL if no text fits any), ``n_texts``, ``n_fit``, and ``ambiguous``:
+    another format fits as many texts but reads some of them as other days. Votes are counted in the map
+    tasks, so a group may be of any size.
+    """
+    days = {fmt: parse_date(F.col(text), fmt) for fmt in formats}
+    # Only formats that look alike can fit the same text.
+    alike = [(a, b) for a, b in combinations(formats, 2) if _compile(a)[1] == _compile(b)[1]]
+    votes = rows.groupBy(*by).agg(
+        F.count(text).alias("n_texts"), *[F.count(days[fmt]).alias(f"_v{i}") for i, fmt in enumerate(formats)],
+        *[F.count_if(days[a] != days[b]).alias(f"_d{i}") for i, (a, b) in enumerate(alike)])
+    of = {fmt: F.col(f"_v{i}") for i, fmt in enumerate(formats)}
+    best = F.greatest(*of.values()) if len(of) > 1 else next(iter(of.values()))
+    first = F.coalesce(*[F.when(of[fmt] == F.col("n_fit"), F.lit(fmt)) for fmt in formats])
+    tied = F.lit(False)
+    for i, (a, b) in enumerate(alike):
+        tied = tied | ((of[a] == F.col("n_fit")) & (of[b] == F.col("n_fit")) & (F.col(f"_d{i}") > 0))
+    return votes.withColumn("n_fit", best).select(
+        *by, F.when(F.col("n_fit") > 0, first).alias("date_format"), "n_texts", "n_fit",
+        ((F.col("n_fit") > 0) & tied).alias("ambiguous"))
+
+
 def date_parts(day: Column) -> dict[str, Column]:
     """The calendar columns of the fact table."""
     return {

@@ -3,9 +3,10 @@
 Layout: ``<root>/<bank>/<account>/[PENDING/]<file>``. Files whose suffix contains ``csv`` are read
 as text, all others as workbooks. Only configured bank/account folders are read.
 
-CSV files up to ``whole_file_bytes`` are one row each, so leading and trailing lines are cut with
-array functions and nothing is shuffled. Larger ones are read as splittable lines and numbered from
-per-split line counts. A file with a problem yields no transactions and says so in ``files``.
+CSV files of any size are read as splittable lines, kept once, and put together to records (see
+``records``). A file with a problem yields no transactions and says so in ``files``. Where the settings
+state no date format, each file's dates are read by the one format that most of them fit; ``dates`` tells
+which, and whether another would fit as well.
 """
 
 from __future__ import annotations
@@ -14,22 +15,20 @@ import sys
 from collections import deque
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.amounts import parse_amount, parse_number
-from ..functions.dates import INFERRED_FORMATS, parse_date, parse_date_any, supported
+from ..functions.dates import elect_formats, parse_date, parse_date_as, supported
 from ..functions.identity import hash_id
 from ..functions.text import capitalize, path_parts, trim_ws
 from ..schemas import RAW_TXN
-from ..session import ensure_checkpoint_dir, local_table, settled
+from ..session import local_table, settled
 from . import xlsx_cells
 from .config import TARGETS, AccountConfig
-
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
+from .records import FIELD, file_lines, kept, leaves_open, number_records, with_steps
 
 # Texts the pandas readers take as missing.
 NA_TEXTS = (
@@ -37,13 +36,8 @@ NA_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# A CSV field and record; quotes count only where a field starts. Possessive, hence linear.
-_FIELD = r'(?:"(?:[^"]++|"")*+"[^,\n]*+|[^,\n]*+)'
-_RECORD = rf"({_FIELD}(?:,{_FIELD})*+)(?:\n|\z)"
-_CLOSED_FIELD = r'(?:"(?:[^"]++|"")*+"[^,\n]*+|(?!")[^,\n]*+)'
-_OPEN_QUOTE = rf'^(?:{_CLOSED_FIELD},)*+"(?:[^"]++|"")*+$'
-
-_LAYOUT = r"([^/]+)/([^/]+)/(?:PENDING/)?([^/]+)$"
+# Folders may be named as Spark names those of a partitioned table.
+_LAYOUT = r"(?:bank=)?([^/]+)/(?:account=)?([^/]+)/(?:PENDING/)?([^/]+)$"
 
 # What both readers deliver per data row; the header positions are zero-based, NULL when absent.
 _ROW = ["path", "bank", "account", "cells", "days", "reason", "at_fecha", "at_concepto", "at_importe",
@@ -53,10 +47,13 @@ _ROW = ["path", "bank", "account", "cells", "days", "reason", "at_fecha", "at_co
 @dataclass
 class StatementBatch:
     """``transactions`` has the canonical columns plus bank, account and path; ``files`` one row
-    per file: path, bank, account, status, n_rows. Status is ``loaded``, ``empty`` or the problem."""
+    per file: path, bank, account, status, n_rows. Status is ``loaded``, ``empty`` or the problem.
+    ``dates`` has the elected format of each file whose settings state none: path, date_format, n_texts,
+    n_fit, ambiguous."""
 
     transactions: DataFrame
     files: DataFrame
+    dates: DataFrame
 
 
 def _located(df: DataFrame, uri: str = "_metadata.file_path") -> DataFrame:
@@ -90,7 +87,7 @@ def config_frame(spark: SparkSession, configs: Sequence[AccountConfig]) -> DataF
 
 
 def _pieces(c: Column) -> Column:
-    return F.regexp_extract_all(F.concat(F.lit(","), c), F.lit(f",{_FIELD}"), 0)
+    return F.regexp_extract_all(F.concat(F.lit(","), c), F.lit(f",{FIELD}"), 0)
 
 
 def split_record(c: Column) -> Column:
@@ -123,11 +120,6 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in columns], added)
 
 
-def _without_bom(c: Column) -> Column:
-    """Leaves all other bytes alone, also ones that are not valid text."""
-    return F.when(c.startswith("\ufeff"), c.substr(F.lit(2), F.length(c))).otherwise(c)
-
-
 def _is_blank(c: Column) -> Column:
     return trim_ws(c) == ""
 
@@ -162,115 +154,47 @@ def _metadata_filter(csv: bool) -> Column:
     return suffix.contains("csv") if csv else ~suffix.contains("csv")
 
 
-def _small_csv(spark: SparkSession, root, config: DataFrame, limit: int) -> DataFrame:
-    """Whole files as rows; exact for quoted line breaks."""
-    files = _located(
-        spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-        .where(_metadata_filter(True) & (F.col("_metadata.file_size") <= limit))
-        .select("value", "_metadata")
-    ).join(F.broadcast(config), ["bank", "account"])
-    text = F.replace(F.replace(F.col("value"), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    text = _without_bom(text)
-    records = F.regexp_extract_all(text, F.lit(_RECORD), 1)
-    # The pattern also matches the empty end of the text; that last match is no record.
-    files = files.withColumn("utf8", F.is_valid_utf8("value")).withColumn("records", records)
-    kept = F.slice("records", F.col("skip_rows") + 1, F.greatest(F.size("records") - 1 - F.col("skip_rows"), F.lit(0)))
-    files = files.withColumn("records", kept)
-    first = F.array_position(F.transform("records", lambda r: ~_is_blank(r)), True).cast("int")
-    body_from = F.when(F.size("positional") > 0, F.lit(0)).otherwise(F.col("first"))
-    files = files.withColumn("first", first).withColumn("body", F.slice(
-        "records", body_from + 1, F.greatest(F.size("records") - body_from - F.col("skip_footer"), F.lit(0)),
-    ))
-    header = F.when(F.col("first") > 0, split_record(F.get("records", F.col("first") - 1)))
-    files = _with_header(files, header)
-    files = files.withColumn("body", F.filter("body", lambda r: ~_is_blank(r)))
-    widest = F.array_max(F.transform("body", _field_count))
-    # Records end at their last line break, so one with an open quote is the rest of the file.
-    open_quote = F.exists("records", lambda r: r.rlike(_OPEN_QUOTE))
-    files = files.withColumn("reason", F.coalesce(
-        F.when(~F.col("utf8"), "not_utf8"), F.when(open_quote, "unclosed_quote"), "header_reason",
-        F.when(widest > F.size("header"), "ragged_rows"),
-    ))
-    # A rejected file keeps one row, without cells, to be reported by.
-    lines = F.when(F.col("reason").isNull(), F.col("body"))
-    rows = files.withColumn("line", F.explode_outer(lines)).withColumn("days", F.lit(None).cast("array<string>"))
-    return once(
-        rows.select("line", *[c for c in _ROW if c != "cells"]), cells=split_record(F.col("line"))
-    ).select(*_ROW)
-
-
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Lines with their number in the file and the file's line count, without sorting any file.
-
-    ``lines`` has path, block (start of the split) and seq, growing within the split. Counts per
-    split are summed over the splits before it, then joined back; one row per split, not per line,
-    meets the window.
-    """
-    from pyspark.sql import Window
-
-    splits = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("seq").alias("first_seq"))
-    ordered = Window.partitionBy("path").orderBy("block")
-    splits = splits.withColumns({
-        "before": F.coalesce(F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "total": F.sum("n").over(Window.partitionBy("path")),
-    })
-    joined = lines.join(settled(splits.drop("n")), ["path", "block"])
-    return joined.withColumn("line_no", F.col("before") + F.col("seq") - F.col("first_seq")).drop("before", "first_seq")
-
-
-def rows_from_lines(lines: DataFrame, config: DataFrame) -> DataFrame:
-    """Data rows of statement lines; ``lines`` has path, bank, account, value, line_no, total."""
+def rows_from_records(records: DataFrame, config: DataFrame) -> DataFrame:
+    """Data rows of statement records; ``records`` has path, bank, account, value, line_no, total."""
     skips = config.select("bank", "account", "skip_rows", "skip_footer")
-    lines = lines.join(F.broadcast(skips), ["bank", "account"]).where(
-        (F.col("line_no") >= F.col("skip_rows")) & ~_is_blank(F.col("value"))
-    )
+    records = records.join(F.broadcast(skips), ["bank", "account"])
+    usable = (F.col("line_no") >= F.col("skip_rows")) & ~_is_blank(F.col("value"))
     in_data = F.col("line_no") < F.col("total") - F.col("skip_footer")
-    # One row per file, reduced in the map tasks already.
-    files = lines.groupBy("path", "bank", "account").agg(
-        F.min(F.struct("line_no", "value")).alias("head"),
-        F.max(F.when(in_data, _field_count(F.col("value")))).alias("widest"),
-        F.max(F.when(in_data, F.col("value").rlike(_OPEN_QUOTE))).alias("open_quote"),
+    # One row per file, reduced in the map tasks already. A quote that never closes holds the rest of a file.
+    files = records.groupBy("path", "bank", "account").agg(
+        F.min(F.when(usable, F.struct("line_no", "value"))).alias("head"),
+        F.max(F.when(usable & in_data, _field_count(F.col("value")))).alias("widest"),
+        F.max(leaves_open(F.col("value"))).alias("open_quote"),
         F.min(F.is_valid_utf8("value")).alias("utf8"),
-        F.max("total").alias("total"),
     ).join(F.broadcast(config), ["bank", "account"])
     files = _with_header(files, split_record(F.col("head.value"))).withColumns({
         "head_no": F.when(F.size("positional") > 0, F.col("skip_rows") - 1).otherwise(F.col("head.line_no")),
         "reason": F.coalesce(
             F.when(~F.col("utf8"), "not_utf8"),
+            F.when(F.col("open_quote"), "unclosed_quote"),
             "header_reason",
-            F.when(F.col("open_quote"), "multiline_field"),
             F.when(F.col("widest") > F.size("header"), "ragged_rows"),
         ),
         "cells": F.lit(None).cast("array<string>"),
         "days": F.lit(None).cast("array<string>"),
     })
-    files = settled(files.select("path", "head_no", "total", *[c for c in _ROW if c != "path"]))
+    files = settled(files.select("path", "head_no", *[c for c in _ROW if c != "path"]))
     accepted = files.where(F.col("reason").isNull()).select(
         "path", "head_no", "reason", *[c for c in _ROW if c.startswith("at_")]
     )
-    body = lines.where(in_data).join(accepted, "path").where(F.col("line_no") > F.col("head_no"))
+    body = records.where(usable & in_data).join(accepted, "path").where(F.col("line_no") > F.col("head_no"))
     rows = body.withColumn("days", F.lit(None).cast("array<string>"))
     rows = once(rows.select("value", *[c for c in _ROW if c != "cells"]), cells=split_record(F.col("value")))
     # Every file also keeps one row without cells, to be reported by.
     return rows.select(*_ROW).unionByName(files.select(*_ROW))
 
 
-def _large_csv(spark: SparkSession, root, config: DataFrame, limit: int) -> DataFrame:
-    """Files of any size as splittable lines."""
-    lines = _located(
-        spark.read.text(root, recursiveFileLookup=True)
-        .where(_metadata_filter(True) & (F.col("_metadata.file_size") > limit))
-        .select("value", "_metadata")
-    )
-    value = F.when(F.col("_metadata.file_block_start") == 0, _without_bom(F.col("value"))).otherwise(F.col("value"))
-    lines = lines.select(
-        "path", "bank", "account", value.alias("value"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
-    )
-    # How files are split depends on the session at the time of reading, and the numbers of a split's
-    # lines on its split. Lines are therefore read once; counts and rows both come from what was kept.
-    ensure_checkpoint_dir(spark)
-    return rows_from_lines(number_lines(lines.checkpoint()), config)
+def _csv(spark: SparkSession, root, config: DataFrame) -> DataFrame:
+    """Files of any size, read once."""
+    known = config.select("bank", "account").distinct()
+    lines = _located(file_lines(spark, root, _metadata_filter(True)), "file").drop("file")
+    lines = kept(with_steps(lines.join(F.broadcast(known), ["bank", "account"], "left_semi")), "statement-lines")
+    return rows_from_records(number_records(lines), config)
 
 
 def _read_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -316,6 +240,7 @@ def _workbooks(spark: SparkSession, root, config: DataFrame) -> DataFrame:
         "path string, bank string, account string, found array<string>, cells array<string>,"
         "days array<string>, problem string"
     ))
+    parsed = kept(parsed, "statement-sheets")
     rows = _with_header(parsed.join(F.broadcast(config), ["bank", "account"]), F.col("found"))
     return rows.withColumn("reason", F.coalesce("problem", "header_reason")).select(*_ROW)
 
@@ -326,11 +251,20 @@ def _cell(place: Column, column: str = "cells") -> Column:
     return F.when(~value.isin(*NA_TEXTS), value)
 
 
-def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None]) -> DataFrame:
+def file_dates(rows: DataFrame, config: DataFrame) -> DataFrame:
+    """The elected date format of each file whose settings state none."""
+    unstated = config.where(F.col("date_format").isNull()).select("bank", "account")
+    texts = rows.join(F.broadcast(unstated), ["bank", "account"], "left_semi").where(F.col("reason").isNull())
+    return elect_formats(texts.select("path", _cell(F.col("at_fecha")).alias("text")).where(F.col("text").isNotNull()), ["path"], "text")
+
+
+def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None], dates: DataFrame | None = None) -> DataFrame:
     """Canonical columns of data rows, with ``valid`` telling whether a row counts.
 
-    ``formats`` are the date formats that occur in the settings.
+    ``formats`` are the date formats that occur in the settings, ``dates`` the elected ones of files without.
     """
+    if dates is not None:
+        rows = rows.join(dates.select("path", F.col("date_format").alias("elected")), "path", "left")
     settings = config.select(
         "bank", "account", "date_format", "plain_numbers", "entidad_label", "origen_label", "status_value",
     )
@@ -344,7 +278,8 @@ def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None])
         if fmt in unknown:
             continue
         if fmt is None:
-            day = F.when(F.col("date_format").isNull(), parse_date_any(day_text, INFERRED_FORMATS)).otherwise(day)
+            if dates is not None:
+                day = F.when(F.col("date_format").isNull(), parse_date_as(day_text, F.col("elected"))).otherwise(day)
         else:
             day = F.when(F.col("date_format") == fmt, parse_date(day_text, fmt)).otherwise(day)
     amount_text = _cell(F.col("at_importe"))
@@ -370,7 +305,11 @@ def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None])
 
 def batch_of(rows: DataFrame, config: DataFrame, configs: Sequence[AccountConfig]) -> StatementBatch:
     """Transactions and file report of data rows from any of the readers."""
-    normal = normalize(rows, config, [c.date_format for c in configs])
+    formats = [c.date_format for c in configs]
+    dates = file_dates(rows, config)
+    if None in formats:
+        dates = settled(dates)
+    normal = normalize(rows, config, formats, dates if None in formats else None)
     transactions = normal.where("valid").withColumn(
         "hash_id", hash_id(F.col("fecha"), F.col("concepto"), F.col("importe"))
     ).select(*RAW_TXN.names, "bank", "account", "path")
@@ -379,28 +318,21 @@ def batch_of(rows: DataFrame, config: DataFrame, configs: Sequence[AccountConfig
     ).select("path", "bank", "account", F.coalesce(
         "reason", F.when(F.col("n_rows") == 0, "empty"), F.lit("loaded"),
     ).alias("status"), "n_rows")
-    return StatementBatch(transactions, files)
+    return StatementBatch(transactions, files, dates)
 
 
-def read_statements(
-    spark: SparkSession, root: str | list[str], configs: Sequence[AccountConfig],
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> StatementBatch:
+def read_statements(spark: SparkSession, root: str | list[str], configs: Sequence[AccountConfig]) -> StatementBatch:
     """All statements under ``root`` (or the given files) that have settings."""
     config = config_frame(spark, configs)
-    readers = [
-        _small_csv(spark, root, config, whole_file_bytes),
-        _large_csv(spark, root, config, whole_file_bytes),
-        _workbooks(spark, root, config),
-    ]
-    batch = batch_of(reduce(DataFrame.unionByName, readers), config, configs)
-    # A file without a single line is in no reader's rows. The listing that Spark holds has it.
+    rows = _csv(spark, root, config).unionByName(_workbooks(spark, root, config))
+    batch = batch_of(rows, config, configs)
+    # A file without a byte is in no scan at all. The listing that Spark holds on the driver has it.
     held = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles()
     listed = local_table(spark, [(uri,) for uri in held], "uri string").withColumn(
         "uri", F.regexp_replace("uri", "^file:/+", "file:/"))  # as the readers' metadata spell it
     listed = _located(listed, "uri").select("path", "bank", "account")
-    listed = listed.join(config.select("bank", "account").distinct(), ["bank", "account"], "left_semi")
+    listed = listed.join(F.broadcast(config.select("bank", "account").distinct()), ["bank", "account"], "left_semi")
     files = listed.join(batch.files.drop("bank", "account"), "path", "left").select(
         "path", "bank", "account", F.coalesce("status", F.lit("empty")).alias("status"),
         F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
-    return StatementBatch(batch.transactions, files)
+    return StatementBatch(batch.transactions, files, batch.dates)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import hash_id
-from ledgerlake.sources import config, raw, statements
+from ledgerlake.sources import config, raw, records, statements
 from ledgerlake.sources.config import AccountConfig
 
 from .files import write_text, write_xlsx
@@ -78,9 +78,29 @@ STATUS = {
 }
 
 
-@pytest.mark.parametrize("whole_file_bytes", [statements.WHOLE_FILE_BYTES, 0])
-def test_reads_whole_and_split_files_alike(spark, inbox, whole_file_bytes):
-    batch = statements.read_statements(spark, inbox, CONFIGS, whole_file_bytes)
+@pytest.fixture
+def tiny_splits(spark, monkeypatch):
+    """Statement files are cut every few bytes, also within quoted fields; what is kept of them is not."""
+    def cut(size):
+        def kept(df, label):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            try:
+                return records.kept(df, label)
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+
+        monkeypatch.setattr(statements, "kept", kept)
+
+    return cut
+
+
+@pytest.mark.parametrize("size", [None, 40])
+def test_reads_whole_and_split_files_alike(spark, inbox, tiny_splits, size):
+    if size:
+        tiny_splits(size)
+    batch = statements.read_statements(spark, inbox, CONFIGS)
     assert rows_of(batch) == EXPECTED
     assert {r.path.rsplit("/", 1)[1]: (r.status, r.n_rows) for r in batch.files.collect()} == STATUS
     good = batch.transactions.where(F.col("hash_id") != hash_id(F.col("fecha"), F.col("concepto"), F.col("importe")))
@@ -101,26 +121,47 @@ def test_agrees_with_pandas(spark, inbox):
         assert sorted((r.concepto, r.importe) for r in got) == sorted(zip(frame["TEXTO"], frame["IMPORTE"].astype(float)))
 
 
-def test_lines_are_numbered_across_splits(spark):
+def test_lines_are_numbered_across_splits(spark, tiny_splits):
     root = tempfile.mkdtemp(prefix="ledgerlake-in-")
     body = "".join(f"1/7/2025,mov {i},{i}\n" for i in range(3000))
     write_text(f"{root}/NORTE/CARD/big.csv", "t\nFECHA,TEXTO,IMPORTE\n" + body + "TOTAL,,1\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        batch = statements.read_statements(spark, root, [CARD], whole_file_bytes=0)
-        assert batch.transactions.agg(F.count("*"), F.countDistinct("concepto"), F.sum("importe")).first() == (3000, 3000, 2999 * 1500.0)
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    tiny_splits(4096)
+    batch = statements.read_statements(spark, root, [CARD])
+    assert batch.transactions.agg(F.count("*"), F.countDistinct("concepto"), F.sum("importe")).first() == (3000, 3000, 2999 * 1500.0)
 
 
-def test_multiline_field_in_a_split_file_is_reported(spark):
+@pytest.mark.parametrize("size", [None, 11, 90])
+def test_quoted_line_breaks_in_files_of_any_split(spark, tiny_splits, size):
+    """Fields over many lines and splits, quotes at either end of a line, and quotes that are plain characters."""
+    root = tempfile.mkdtemp(prefix="ledgerlake-in-")
+    texts = ["a\nb", '"', '\n"x"\n', "uno", 'TV 32" x', "largo\n" * 30 + "fin", "\n\n,1/7/2025\n", 'fin"', "dos"]
+    lines = [f'1/7/2025,"{t.replace(chr(34), chr(34) * 2)}",{i}' if i != 4 else f"1/7/2025,{t},4" for i, t in enumerate(texts)]
+    write_text(f"{root}/NORTE/CARD/m.csv", 'tit,"ulo\ndoble"\nFECHA,TEXTO,IMPORTE\n' + "\n".join(lines) + '\nTOTAL,"x\ny",\n')
+    write_text(f"{root}/NORTE/CARD/plain.csv", "t\nFECHA,TEXTO,IMPORTE\n1/7/2025,solo,9\nTOTAL,,\n")
+    if size:
+        tiny_splits(size)
+    batch = statements.read_statements(spark, root, [CARD])
+    assert sorted((r.importe, r.concepto) for r in batch.transactions.collect()) == [*((float(i), t) for i, t in enumerate(texts)), (9.0, "solo")]
+    assert {r.path.rsplit("/", 1)[1]: (r.status, r.n_rows) for r in batch.files.collect()} == {"m.csv": ("loaded", 9), "plain.csv": ("loaded", 1)}
+
+
+def test_one_date_format_per_file(spark):
+    """03/04 is read as the rest of its file is; a file that fits two formats is read month first and reported."""
     root = tempfile.mkdtemp(prefix="ledgerlake-in-")
-    write_text(f"{root}/NORTE/CARD/m.csv", 't\nFECHA,TEXTO,IMPORTE\n1/7/2025,"a\nb",1\nTOTAL\n')
-    split = statements.read_statements(spark, root, [CARD], whole_file_bytes=0)
-    assert split.files.first().status == "multiline_field" and split.transactions.count() == 0
-    assert statements.read_statements(spark, root, [CARD]).transactions.first().concepto == "a\nb"
+    bodies = {"day.csv": ["03/04/2024", "13/04/2024", "mal"], "month.csv": ["03/04/2024", "04/13/2024"], "both.csv": ["03/04/2024", "05/06/2024"],
+              "same.csv": ["03/03/2024", "05/05/2024"], "none.csv": ["ayer"], "iso.csv": ["2024-03-04", "2024-03-05", "13/04/2024"]}
+    for name, days in bodies.items():
+        write_text(f"{root}/N/A/{name}", "FECHA,TEXTO,IMPORTE\n" + "".join(f"{d},x,1\n" for d in days))
+    batch = statements.read_statements(spark, root, [AccountConfig("N", "A", MAPPING)])
+    days = {}
+    for r in batch.transactions.collect():
+        days.setdefault(r.path.rsplit("/", 1)[1], []).append(r.fecha)
+    assert {k: sorted(v) for k, v in days.items()} == {
+        "day.csv": ["2024-04-03", "2024-04-13"], "month.csv": ["2024-03-04", "2024-04-13"], "both.csv": ["2024-03-04", "2024-05-06"],
+        "same.csv": ["2024-03-03", "2024-05-05"], "iso.csv": ["2024-03-04", "2024-03-05"]}
+    told = {r.path.rsplit("/", 1)[1]: (r.date_format, r.n_texts, r.n_fit, r.ambiguous) for r in batch.dates.collect()}
+    assert told == {"day.csv": ("%d/%m/%Y", 3, 2, False), "month.csv": ("%m/%d/%Y", 2, 2, False), "both.csv": ("%m/%d/%Y", 2, 2, True),
+                    "same.csv": ("%m/%d/%Y", 2, 2, False), "none.csv": (None, 1, 0, False), "iso.csv": ("%Y-%m-%d", 3, 2, False)}
 
 
 def test_status_filter_is_opt_in(spark):
@@ -171,7 +212,7 @@ def test_cash_casts_after_the_null_filter(spark):
 def test_splits_may_change_between_building_and_running(spark):
     root = tempfile.mkdtemp(prefix="ledgerlake-in-")
     write_text(f"{root}/NORTE/CARD/big.csv", "t\nFECHA,TEXTO,IMPORTE\n" + "".join(f"1/7/2025,mov {i},1\n" for i in range(4000)) + "TOTAL,,1\n")
-    batch = statements.read_statements(spark, root, [CARD], whole_file_bytes=0)
+    batch = statements.read_statements(spark, root, [CARD])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         assert batch.transactions.count() == 4000 and batch.files.first().n_rows == 4000
@@ -179,15 +220,17 @@ def test_splits_may_change_between_building_and_running(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-@pytest.mark.parametrize("whole_file_bytes", [statements.WHOLE_FILE_BYTES, 0])
-def test_every_listed_file_is_reported(spark, whole_file_bytes):
+@pytest.mark.parametrize("size", [None, 10])
+def test_every_listed_file_is_reported(spark, tiny_splits, size):
     root = tempfile.mkdtemp(prefix="ledgerlake-in-")
     for name, text in (("zero.csv", ""), ("blank.csv", "\n \n\n"), ("open.csv", 't\nFECHA,TEXTO,IMPORTE\n1/7/2025,"a,1\n2/7/2025,b,2\nTOTAL,,\n')):
         write_text(f"{root}/NORTE/CARD/{name}", text)
-    batch = statements.read_statements(spark, root, [CARD], whole_file_bytes)
+    if size:
+        tiny_splits(size)
+    batch = statements.read_statements(spark, root, [CARD])
     found = {r.path.rsplit("/", 1)[1]: (r.status, r.n_rows) for r in batch.files.collect()}
     assert found["zero.csv"] == found["blank.csv"] == ("empty", 0)
-    assert found["open.csv"][0] in ("unclosed_quote", "multiline_field") and found["open.csv"][1] == 0
+    assert found["open.csv"] == ("unclosed_quote", 0)
     assert batch.transactions.count() == 0
 
 

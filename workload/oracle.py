@@ -301,7 +301,7 @@ ORACLE = {
     "statement_defects": with_ctes("txn", f"""
         SELECT path, bank, account,
                CASE account WHEN 'ACCOUNT' THEN 'missing_columns' WHEN 'CARD' THEN 'ragged_rows'
-                            WHEN 'SHARED' THEN 'multiline_field' ELSE 'loaded' END AS status,
+                            WHEN 'SHARED' THEN 'unclosed_quote' ELSE 'loaded' END AS status,
                CASE account WHEN 'CASH' THEN n ELSE 0 END AS n_rows
         FROM (SELECT '/in/' || upper(entidad) || '/' || upper(origen) || '/all.csv' AS path, upper(entidad) AS bank,
                      upper(origen) AS account, count(*) AS n
@@ -311,6 +311,32 @@ ORACLE = {
           SELECT CAST(fecha AS VARCHAR) AS fecha, concepto || ', "x"' AS concepto, importe, 'banco uno' AS entidad,
                  'tarjeta' AS origen, 'BANK1' AS bank, 'CARD' AS account, '/in/BANK1/CARD/all.csv' AS path
           FROM txn WHERE origen = 'Card')"""),
+    "statement_files": with_ctes("txn", f"""
+        SELECT {hash_sql('fecha', 'concepto', 'importe')} AS hash_id, * FROM (
+          SELECT CAST(fecha AS VARCHAR) AS fecha,
+                 concepto || CASE WHEN day(fecha) = 7 THEN ',' || chr(10) || ' "x"' ELSE ', "x"' END AS concepto,
+                 importe, entidad, origen, upper(entidad) AS bank, upper(origen) AS account
+          FROM txn WHERE (entidad, origen) IN ({STATEMENT_FILES}))"""),
+    "date_election": """
+        WITH t AS (
+          SELECT o_orderkey, o_custkey % 40 AS grp, CAST(o_orderdate AS DATE) AS day FROM orders
+        ), s AS (
+          SELECT o_orderkey, grp, CASE grp % 5 WHEN 0 THEN strftime(day, '%d/%m/%Y') WHEN 1 THEN strftime(day, '%m/%d/%Y')
+                 WHEN 2 THEN strftime(day, '%Y-%m-%d') WHEN 3 THEN (day(day) % 12 + 1) || '/' || month(day) || '/' || year(day)
+                 ELSE CASE WHEN o_orderkey % 3 = 0 THEN strftime(day, '%Y-%m-%d') ELSE strftime(day, '%d/%m/%Y') END END AS text
+          FROM t
+        ), p AS (
+          SELECT *, CAST(try_strptime(text, '%Y-%m-%d') AS DATE) AS iso, CAST(try_strptime(text, '%m/%d/%Y') AS DATE) AS md,
+                 CAST(try_strptime(text, '%d/%m/%Y') AS DATE) AS dm FROM s
+        ), e AS (
+          SELECT grp, greatest(count(iso), count(md), count(dm)) AS n,
+                 CASE WHEN count(iso) = n THEN '%Y-%m-%d' WHEN count(md) = n THEN '%m/%d/%Y' ELSE '%d/%m/%Y' END AS date_format,
+                 count(md) = n AND count(dm) = n AND count(*) FILTER (md <> dm) > 0 AS ambiguous
+          FROM p GROUP BY grp
+        )
+        SELECT o_orderkey, grp, text, date_format, ambiguous,
+               CASE date_format WHEN '%Y-%m-%d' THEN iso WHEN '%m/%d/%Y' THEN md ELSE dm END AS fecha
+        FROM p JOIN e USING (grp)""",
     "config_explode": """
         SELECT 'BANK_' || s_suppkey AS bank, 'ACCOUNT' AS account, CAST(s_suppkey % 9 AS INTEGER) AS skip_rows, 0 AS skip_footer,
                'FECHA,IMPORTE ' || (s_suppkey % 3) AS column_mapping, '%d/%m/%Y' AS date_format, CAST(NULL AS BOOLEAN) AS filter_completed

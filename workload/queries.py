@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,9 +11,11 @@ from ledgerlake.functions import (
     capitalize, date_parts, exact_cents_text, fold, initcap_words, parse_amount, parse_date,
     parse_date_any, parse_number, path_parts, split_packed, strip_fences, trim_ws,
 )
+from ledgerlake.functions.dates import elect_formats, parse_date_as
 from ledgerlake.operators import flags, incremental, maintenance, metrics, quality, rules
 from ledgerlake.plans import gold, silver
 from ledgerlake.schemas import TXN
+from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources import config as config_source, raw, statements, tables
 
 from . import data
@@ -118,6 +121,22 @@ def date_infer(spark, d):
     return df.withColumn("fecha", parse_date_any(F.col("text"), ("%Y-%m-%d %H:%M:%S", "%d/%m/%Y")))
 
 
+@query
+def date_election(spark, d):
+    """Texts of forty groups, each read by the format that most texts of its group fit."""
+    formats = ("%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y")
+    day, grp = F.col("o_orderdate"), F.col("o_custkey") % 40
+    iso, day_first = F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "dd/MM/yyyy")
+    text = (
+        F.when(grp % 5 == 0, day_first).when(grp % 5 == 1, F.date_format(day, "MM/dd/yyyy")).when(grp % 5 == 2, iso)
+        .when(grp % 5 == 3, F.concat_ws("/", F.dayofmonth(day) % 12 + 1, F.month(day), F.year(day)))
+        .otherwise(F.when(F.col("o_orderkey") % 3 == 0, iso).otherwise(day_first))
+    )
+    df = table(spark, d, "orders").select("o_orderkey", grp.alias("grp"), text.alias("text"))
+    told = elect_formats(df, ["grp"], "text", formats).select("grp", "date_format", "ambiguous")
+    return df.join(told, "grp").withColumn("fecha", parse_date_as(F.col("text"), F.col("date_format"), formats))
+
+
 @query
 def capitalize_names(spark, d):
     name = F.concat_ws(" ", "c_mktsegment", "c_name")
@@ -241,7 +260,7 @@ def _statement_lines(spark, d, defects: bool = False) -> DataFrame:
 
 def _statements(lines: DataFrame, configs=CONFIGS) -> statements.StatementBatch:
     config = statements.config_frame(lines.sparkSession, configs)
-    return statements.batch_of(statements.rows_from_lines(lines, config), config, configs)
+    return statements.batch_of(statements.rows_from_records(lines, config), config, configs)
 
 
 @query
@@ -259,6 +278,40 @@ def statement_defects(spark, d):
     return _statements(_statement_lines(spark, d, defects=True)).files
 
 
+def _write_statements(spark, d) -> str:
+    """The movements as files, several for each account, some with a line break within a text."""
+    df = txn(spark, d)
+    many = max(8, table(spark, d, "lineitem").rdd.getNumPartitions())
+    bank, account = F.upper("entidad").alias("bank"), F.upper("origen").alias("account")
+    text = F.concat("concepto", F.when(F.dayofmonth("fecha") == 7, ',\n ""x""').otherwise(', ""x""'))
+    line = F.concat(
+        F.dayofmonth("fecha"), F.lit("/"), F.date_format("fecha", "MM/yyyy"), F.lit(',"'), text,
+        F.lit('","'), F.replace(F.col("importe").cast("string"), F.lit("."), F.lit(",")), F.lit('"'))
+    rows = df.select(
+        bank, account, F.pmod(F.xxhash64("fecha", "concepto", "importe"), F.lit(many)).cast("int").alias("file"),
+        (F.monotonically_increasing_id() + 10).alias("n"), F.split(line, "\n").alias("lines"))
+    frame = F.inline(F.array(*[
+        F.struct(F.lit(n).cast("long").alias("n"), F.array(F.lit(t or " ")).alias("lines")) for n, t in _FRAME]))
+    around = df.select(bank, account).distinct().withColumn("file", F.explode(F.sequence(F.lit(0), F.lit(many - 1))))
+    lines = rows.unionByName(around.select("bank", "account", "file", frame)).select(
+        "bank", "account", "file", "n", F.posexplode("lines").alias("part", "value"))
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/statements-{uuid.uuid4().hex}"
+    # A task holds one file of each account and writes it in order.
+    (
+        lines.repartitionById(many, F.col("file")).sortWithinPartitions("bank", "account", "n", "part")
+        .select("bank", "account", "value").write.partitionBy("bank", "account")
+        .options(sep="\u0001", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root)
+    )
+    return root
+
+
+@query
+def statement_files(spark, d):
+    """Statements read from files, as a directory scan finds them."""
+    return statements.read_statements(spark, _write_statements(spark, d), CONFIGS).transactions.drop("path")
+
+
 @query
 def positional_statement(spark, d):
     """Sheets without a header: columns by position, plain decimals, labels from the settings."""
