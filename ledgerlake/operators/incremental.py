@@ -26,7 +26,7 @@ def unseen(batch: DataFrame, stored: DataFrame, key: str = "hash_id", hot: Seque
 
 def new_rows(
     batch: DataFrame, stored: DataFrame, key: str = "hash_id", null_policy: str = "compat",
-    hot: Sequence = (), prune_by: tuple[str, Sequence] | None = None,
+    hot: Sequence = (), prune_by: str | tuple[str, Sequence] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` that ``key NOT IN (SELECT key FROM stored)`` lets through, at any scale.
 
@@ -39,8 +39,9 @@ def new_rows(
     * else rows with a non-NULL key that is not stored.
 
     ``prune_by`` is a column that equal keys always share, such as the month of a key that contains
-    the date, with all values of it that the batch holds; the keys are then searched for only
-    among stored rows with those values.
+    the date; the keys are then searched for only among stored rows with the batch's values of it.
+    These are given along with the column, or else taken from the batch in the same plan, where a
+    partition column prunes the stored files at run time.
     """
     if null_policy not in ("compat", "raise", "ignore"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -49,7 +50,9 @@ def new_rows(
         raise NullKeyError(f"stored table has NULL {key}")
 
     searched = stored
-    if prune_by is not None:
+    if isinstance(prune_by, str):
+        searched = searched_parts(stored, batch, prune_by)
+    elif prune_by is not None:
         column, held = prune_by
         searched = stored.where(F.col(column).isin(list(held)))
 
@@ -60,6 +63,16 @@ def new_rows(
     return passed.where(F.col(key).isNotNull() | ~stored.select(F.lit(1)).exists())
 
 
+def searched_parts(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """Stored rows that share a value of ``column`` with the batch; a text column of few values, such as months.
+
+    The values (at most one per month of the years that dates may have) are broadcast, and the filter on
+    them, which all texts pass, lets the optimizer expect that they prune partitions.
+    """
+    held = batch.where(F.col(column) >= "").select(column).distinct()
+    return stored.join(F.broadcast(held), column, "left_semi")
+
+
 def upsert(stored: DataFrame, batch: DataFrame, key: str = "hash_id", hot: Sequence = ()) -> DataFrame:
     """The table after replacing stored rows by batch rows of equal key and adding the others.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -16,6 +17,9 @@ from ..sources.raw import bronze_rows, normalize_cash, read_seed
 from .gold import gold_transactions
 from .silver import enrich, union_sources
 
+MONTH = "anio_mes"
+PENDING = "pending_months"  # beside the bronze tables: months that got rows since the last silver build
+
 SEED_SCHEMAS = {
     "master_mapping": MASTER_RULES,
     "map_entities": ENTITY_RULES,
@@ -52,37 +56,62 @@ class Lakehouse:
         tables.rebuild(rows, self.name("seeds", table))
 
     def load_bronze(self, table: str, raw: DataFrame, full_refresh: bool = False) -> None:
-        """Landed rows (for ``cash`` the sheet's text rows) into a bronze table."""
+        """Landed rows (for ``cash`` the sheet's text rows) into a bronze table, which is kept by month.
+
+        An identity holds the date, so stored ones are searched only in the months that the batch has.
+        The months are noted for the next silver build before the rows are there, so that a run that dies
+        in between leaves a month too many and never one too few.
+        """
         if table not in BRONZE_TABLES:
             raise ValueError(f"unknown bronze table {table!r}")
         rows = normalize_cash(raw) if table == "cash" else bronze_rows(raw)
+        rows = rows.withColumn(MONTH, F.date_format("fecha", "yyyy-MM"))
+        self._note_months(rows)
         tables.append_new(
             rows, self.name("bronze", table), full_refresh=full_refresh, null_policy=self.null_policy,
-            schema=TXN, comment=TABLE_COMMENTS[table], hot=hot_keys(rows, "hash_id"),
+            schema=TXN, comment=TABLE_COMMENTS[table], hot=hot_keys(rows, "hash_id"), partition_by=(MONTH,), prune_by=MONTH,
         )
         # A streaming batch writes through a session of its own; this one may hold an old file list.
         self.spark.catalog.refreshTable(self.name("bronze", table))
 
-    def bronze_union(self) -> DataFrame:
+    def _note_months(self, rows: DataFrame) -> None:
+        pending = self.name("bronze", PENDING)
+        noted = rows.select(MONTH).distinct().withColumn("load_id", F.lit(uuid.uuid4().hex))
+        if tables.exists(self.spark, pending):
+            tables.append(noted, pending)
+        else:
+            tables.rebuild(noted, pending)
+        self.spark.catalog.refreshTable(pending)
+
+    def bronze_union(self, months: Sequence[str] | None = None) -> DataFrame:
+        """All bronze rows, or those of some months (None among them: rows without a date)."""
         present = [t for t in BRONZE_TABLES if tables.exists(self.spark, self.name("bronze", t))]
-        return union_sources(self.table("bronze", t) for t in present)
+        sources = [self.table("bronze", t) for t in present]
+        if months is not None:
+            held = F.coalesce(F.col(MONTH).isin([m for m in months if m is not None]), F.lit(False))
+            if None in months:
+                held = held | F.col(MONTH).isNull()
+            sources = [s.where(held) for s in sources]
+        return union_sources(sources)
 
     def build_silver(self, full_refresh: bool = False, months: Sequence[str] | None = None) -> None:
         """Classify and store the bronze rows that are not stored yet.
 
         The key filter comes first, so only new rows are classified. Rows stored earlier keep
-        their classification until a full refresh. ``months`` (yyyy-MM) limits a run to the months
-        that got new rows: an identity contains the date, so only those partitions are searched.
+        their classification until a full refresh. An identity contains the date, so only ``months``
+        (yyyy-MM) are read and searched; by default those that bronze loads have noted since the last build.
         """
-        target = self.name("silver", "fct_transactions")
+        target, pending = self.name("silver", "fct_transactions"), self.name("bronze", PENDING)
         tables.recover(self.spark, target)
-        rows = self.bronze_union()
         first = full_refresh or not tables.exists(self.spark, target)
+        # At most one row per month and load since the last build.
+        noted = self.spark.table(pending).collect() if tables.exists(self.spark, pending) else []
+        given = months is not None
+        if not given and noted:
+            months = sorted({r[MONTH] for r in noted}, key=str)
+        rows = self.bronze_union(None if first else months)
         if not first:
-            prune_by = None
-            if months is not None:
-                rows = rows.where(F.date_format("fecha", "yyyy-MM").isin(list(months)))
-                prune_by = ("anio_mes", months)
+            prune_by = None if months is None else (MONTH, [m for m in months if m is not None])
             rows = tables.new_rows(
                 rows, self.spark.table(target), null_policy=self.null_policy, hot=hot_keys(rows, "hash_id"),
                 prune_by=prune_by,
@@ -93,6 +122,9 @@ class Lakehouse:
         else:
             tables.sync_schema(self.spark, target, fresh.schema, ("anio_mes",))
             tables.append(fresh, target, ("anio_mes",))
+        if noted and (first or not given):
+            done = [r["load_id"] for r in noted]
+            tables.rebuild(self.spark.table(pending).where(~F.col("load_id").isin(done)), pending)
 
     def build_gold(self) -> None:
         """Rebuilt every time, so adjustments and their removal reach old rows too."""

@@ -4,6 +4,10 @@ Plain parquet tables have no MERGE, so a rewrite goes to a staging table that th
 table's name. A rewrite that dies before the swap leaves the old table as it was; one that dies
 within it is finished by ``recover``. Every rewrite stages under a name of its own, so half-written
 files of a dead run are in nobody's way.
+
+An upsert of a partitioned table whose keys never change partition stages the partitions it touches and
+then overwrites these. The stage is complete before the first is overwritten, so ``recover`` can do that
+again, as often as needed; the other partitions keep their files.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.incremental import new_rows, upsert
 
 DEFAULT_NAMESPACE = "default"
-_STAGE, _OLD = "__stage", "__old"
+_STAGE, _OLD, _PART = "__stage", "__old", "__part"
 
 # Types that hold all values of another one (fixed by the types' ranges).
 _WIDER = {
@@ -70,13 +74,13 @@ def _rename(spark: SparkSession, table: str, new_name: str) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
 
 
-def _stages(spark: SparkSession, table: str) -> list[str]:
+def _stages(spark: SparkSession, table: str, kind: str = _STAGE) -> list[str]:
     """Completely written staging tables of ``table``."""
     namespace, _, name = table.rpartition(".")
     namespace = namespace or DEFAULT_NAMESPACE
     if not spark.catalog.databaseExists(namespace):
         return []
-    listed = spark.catalog.listTables(namespace, f"{name}{_STAGE}*")
+    listed = spark.catalog.listTables(namespace, f"{name}{kind}*")
     return [f"{namespace}.{t.name}" for t in listed]
 
 
@@ -93,6 +97,22 @@ def recover(spark: SparkSession, table: str) -> None:
     for stage in stages:
         _drop(spark, stage)
     _drop(spark, table + _OLD)
+    for parts in _stages(spark, table, _PART):
+        if exists(spark, table):
+            _overwrite_parts(spark, parts, table)
+        _drop(spark, parts)
+
+
+def _overwrite_parts(spark: SparkSession, parts: str, table: str) -> None:
+    """Put the staged partitions in place of the table's own; the same again if done twice."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        spark.table(parts).select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    spark.catalog.refreshTable(table)
 
 
 def rebuild(
@@ -183,7 +203,7 @@ def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
 def append_new(
     df: DataFrame, table: str, key: str = "hash_id", full_refresh: bool = False,
     null_policy: str = "raise", partition_by: Sequence[str] = (), schema: T.StructType | None = None,
-    comment: str | None = None, hot: Sequence = (), prune_by: tuple[str, Sequence] | None = None,
+    comment: str | None = None, hot: Sequence = (), prune_by: str | tuple[str, Sequence] | None = None,
 ) -> None:
     """Add the rows whose key is not stored yet; create the table on the first run."""
     spark = df.sparkSession
@@ -197,12 +217,34 @@ def append_new(
     append(fresh, table, partition_by)
 
 
-def merge(df: DataFrame, table: str, key: str = "hash_id", partition_by: Sequence[str] = (), hot: Sequence = ()) -> None:
-    """Insert new keys and replace the rows of stored ones."""
+def merge(
+    df: DataFrame, table: str, key: str = "hash_id", partition_by: Sequence[str] = (), hot: Sequence = (),
+    fixed_partition: bool = False,
+) -> None:
+    """Insert new keys and replace the rows of stored ones.
+
+    ``fixed_partition`` says that equal keys always lie in the same partition, as an identity that holds the
+    date does in a table partitioned by month. Only the partitions that the batch touches are then read and
+    rewritten; ``partition_by`` is one column, and its values in the batch are as few as the folders touched.
+    """
     spark = df.sparkSession
     recover(spark, table)
     if not exists(spark, table):
         rebuild(df, table, partition_by)
         return
     sync_schema(spark, table, df.schema, partition_by)
-    rebuild(upsert(spark.table(table), df, key, hot), table, partition_by)
+    stored = spark.table(table)
+    if not fixed_partition:
+        rebuild(upsert(stored, df, key, hot), table, partition_by)
+        return
+    (column,) = partition_by
+    touched = [r[0] for r in df.select(column).distinct().collect()]
+    if not touched:
+        return
+    mine = F.col(column).isin([v for v in touched if v is not None])
+    if None in touched:
+        mine = F.coalesce(mine, F.lit(False)) | F.col(column).isNull()
+    parts = f"{table}{_PART}_{uuid.uuid4().hex[:12]}"
+    _write(upsert(stored.where(mine), df, key, hot), parts, "errorifexists", partition_by)
+    _overwrite_parts(spark, parts, table)
+    _drop(spark, parts)

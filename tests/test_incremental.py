@@ -78,3 +78,16 @@ def test_hot_keys_finds_the_heavy_one(spark):
 def test_spread_scan_only_when_there_are_too_few_pieces(spark):
     assert skew.spread_scan(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
     assert skew.spread_scan(spark.range(0, 10, 1, 9)).rdd.getNumPartitions() == 9
+
+
+def test_stored_partitions_are_pruned_at_run_time(spark):
+    """Only the batch's months are read; the plan finds them out by itself."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS prune_ns")
+    rows = [(f"k{i}", f"2024-{1 + i % 12:02d}") for i in range(240)]
+    frame = spark.createDataFrame(rows, "hash_id string, anio_mes string")
+    frame.write.mode("overwrite").partitionBy("anio_mes").saveAsTable("prune_ns.t")
+    batch = spark.createDataFrame([("k0", "2024-01"), ("new", "2024-01"), ("k13", "2024-02"), ("k14", "2024-03")], frame.schema)
+    found = incremental.new_rows(batch.where("anio_mes < '2024-03'"), spark.table("prune_ns.t"), prune_by="anio_mes")
+    assert [r.hash_id for r in found.collect()] == ["new"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan

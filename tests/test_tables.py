@@ -117,3 +117,37 @@ def test_files_of_a_dead_stage_are_in_nobodys_way(spark):
     open(f"{place}/dead__stage/part-0.parquet", "w").close()
     tables.rebuild(frame(spark, [("b", "x", 1)]), "tt.dead")
     assert [r[0] for r in spark.table("tt.dead").collect()] == ["b"]
+
+
+def test_upsert_rewrites_only_the_touched_partitions(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts_ns")
+    table = "parts_ns.t"
+    rows = [("a", "2024-01", 1), ("b", "2024-02", 2), ("c", "2024-03", 3), (None, None, 4)]
+    tables.rebuild(spark.createDataFrame(rows, "hash_id string, anio_mes string, n int"), table, ("anio_mes",))
+    files = lambda: {r[0] for r in spark.table(table).where("anio_mes <> '2024-02'").select("_metadata.file_path").collect()}
+    before = files()
+    batch = spark.createDataFrame([("b", "2024-02", 20), ("d", "2024-02", 5)], "hash_id string, anio_mes string, n int")
+    tables.merge(batch, table, partition_by=("anio_mes",), fixed_partition=True)
+    assert files() == before
+    got = sorted((str(r.hash_id), r.n) for r in spark.table(table).collect())
+    assert got == [("None", 4), ("a", 1), ("b", 20), ("c", 3), ("d", 5)]
+    tables.merge(spark.createDataFrame([(None, None, 6)], batch.schema), table, partition_by=("anio_mes",), fixed_partition=True)
+    assert sorted(r.n for r in spark.table(table).where("anio_mes IS NULL").collect()) == [4, 6]
+
+
+def test_a_torn_partition_upsert_is_finished(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts_ns")
+    table, schema = "parts_ns.torn", "hash_id string, anio_mes string, n int"
+    tables.rebuild(spark.createDataFrame([("a", "2024-01", 1), ("b", "2024-02", 2)], schema), table, ("anio_mes",))
+    with monkeypatch.context() as m:
+        def dies(*args):
+            raise RuntimeError("gone")
+
+        m.setattr(tables, "_overwrite_parts", dies)
+        with pytest.raises(RuntimeError):
+            tables.merge(spark.createDataFrame([("b", "2024-02", 9)], schema), table, partition_by=("anio_mes",), fixed_partition=True)
+    assert sorted(r.n for r in spark.table(table).collect()) == [1, 2]
+    for _ in range(2):
+        tables.recover(spark, table)
+        assert sorted(r.n for r in spark.table(table).collect()) == [1, 9]
+    assert not [t for t in spark.catalog.listTables("parts_ns") if "__part" in t.name]

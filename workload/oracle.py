@@ -404,6 +404,14 @@ ORACLE = {
     "upsert_by_key": with_ctes("txn mov", """
         SELECT * REPLACE ('antes' AS entidad) FROM stored s WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.hash_id = s.hash_id)
         UNION ALL SELECT * FROM batch""", stored=STORED, batch=BATCH),
+    "incremental_table": with_ctes("txn mov", """
+        SELECT *, strftime(fecha, '%Y-%m') AS anio_mes FROM (
+          SELECT * FROM stored UNION ALL SELECT * FROM batch WHERE hash_id NOT IN (SELECT hash_id FROM stored))""",
+        stored=STORED, batch=BATCH),
+    "upsert_table": with_ctes("txn mov", """
+        SELECT *, strftime(fecha, '%Y-%m') AS anio_mes FROM (
+          SELECT * REPLACE ('antes' AS entidad) FROM stored s WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.hash_id = s.hash_id)
+          UNION ALL SELECT * FROM batch)""", stored=STORED, batch=BATCH),
     "schema_sync": with_ctes("txn mov", """
         SELECT * REPLACE (CAST(NULL AS VARCHAR) AS origen) FROM stored UNION ALL SELECT * FROM batch""", stored=STORED, batch=BATCH),
     "merchant_name": with_ctes("txn mov master", "SELECT hash_id, concepto, comercio FROM silver", **SILVER),

@@ -523,6 +523,31 @@ def upsert_by_key(spark, d):
     return incremental.upsert(stored.withColumn("entidad", F.lit("antes")), batch)
 
 
+def _stored_table(spark, rows: DataFrame, name: str) -> str:
+    """Movements as a table by month, under a name of its own."""
+    stored = f"ledger_{uuid.uuid4().hex[:12]}.{name}"
+    tables.rebuild(rows.withColumn("anio_mes", F.date_format("fecha", "yyyy-MM")), stored, ("anio_mes",))
+    return stored
+
+
+@query
+def incremental_table(spark, d):
+    """A second load into a stored table; only the months of the load are searched."""
+    stored, batch = _stored_and_batch(spark, d)
+    name = _stored_table(spark, stored, "movements")
+    tables.append_new(batch.withColumn("anio_mes", F.date_format("fecha", "yyyy-MM")), name, partition_by=("anio_mes",), prune_by="anio_mes")
+    return spark.table(name)
+
+
+@query
+def upsert_table(spark, d):
+    """An upsert into a stored table; only the months of the batch are rewritten."""
+    stored, batch = _stored_and_batch(spark, d)
+    name = _stored_table(spark, stored.withColumn("entidad", F.lit("antes")), "movements")
+    tables.merge(batch.withColumn("anio_mes", F.date_format("fecha", "yyyy-MM")), name, partition_by=("anio_mes",), fixed_partition=True)
+    return spark.table(name)
+
+
 @query
 def schema_sync(spark, d):
     stored, batch = _stored_and_batch(spark, d)
