@@ -3,8 +3,9 @@
 A column is anything under which two sets that link are sure to meet at least once. Within a column, only
 entries marked ``first`` need be met by all others. Columns are not multiplied out as a whole: in each, one
 first entry (a pivot) is compared with all others, linked sets become one component, and pairs within a
-component are finished. This is repeated with other pivots while the pairs left are many and fall; what is
-left between different components is then joined. Rows leave that join only if the bounds of ``may_link``,
+component are finished. Columns are dealt into ``KINDS`` kinds that prefer different pivots, so that each set of
+a group that shares many columns meets several of them. This is repeated with other pivots as long as pairs
+are many and links are found; what is left between different components is then joined. Rows leave that join only if the bounds of ``may_link``,
 evaluated in it, let them; among these is the number of bits that one set's bitmap has alone, each of which
 stands for a shingle that the other set lacks. No link between components is lost.
 """
@@ -22,7 +23,8 @@ from ledgerlake.llm.common import NO_ID, Workspace, mix
 from ledgerlake.llm.components import connected
 from ledgerlake.llm.shingles import bucket, shingle_hashes
 
-MAX_PIVOTS = 8
+MAX_PIVOTS = 4
+KINDS = 8
 FEW_PRODUCTS = 50_000
 MAP_LONGS = 8
 MAP = [f"b{i}" for i in range(MAP_LONGS)]
@@ -112,16 +114,15 @@ def links_of(space: Workspace, entries: DataFrame, more: DataFrame, may_link: Co
         entries.join(shared.select("column"), "column").join(more, "node").withColumn("label", F.col("node")), "open")
     space.drop("shared")
     enough = max(few, 2 * open_entries.select("node").distinct().count()) if few else 0
-    links, turn, before = None, 0, float("inf")
+    links, turn, merging = None, 0, True
     while left:
-        last = left <= enough or turn == MAX_PIVOTS or left > 0.8 * before
-        before = left
+        last = left <= enough or turn == MAX_PIVOTS or not merging
         met = (F.col("x.label") != F.col("y.label")) & may_link
         if last:
             firsts = open_entries.where("first")
         else:
             own = [c for c in open_entries.columns if c != "column"]
-            order = F.xxhash64("node", F.lit(turn))
+            order = F.xxhash64("node", F.pmod(F.xxhash64("column"), F.lit(KINDS)), F.lit(turn))
             firsts = space.keep(
                 open_entries.where("first").groupBy("column").agg(F.min_by(F.struct(*own), order).alias("p")).select("column", "p.*"),
                 f"pivots{turn}")
@@ -132,6 +133,7 @@ def links_of(space: Workspace, entries: DataFrame, more: DataFrame, may_link: Co
         links = fresh if links is None else links.unionByName(fresh)
         if last:
             return links
+        merging = not fresh.isEmpty()
         labels = connected(space, links, f"labels{turn}")
         # A pivot has met all of its column. It stays to be met by others, but is no pivot there again.
         spent = firsts.select("column", "node", F.lit(True).alias("spent"))
