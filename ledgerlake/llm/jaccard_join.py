@@ -3,18 +3,19 @@
 Rows of the incidence matrix are distinct n-gram sets (documents with equal sets are one row), columns
 are n-grams ordered by how rare they are. Two rows of sizes a and b reach the threshold t only if their
 product, the overlap, is at least t (a + b) / (1 + t). So it is enough to multiply the first
-``n - ceil(t n) + 1`` columns of each row, and a pair that first meets in a column is discarded if what is
-left of either row behind it is below that bound. The overlap of the others is then taken from the whole
-rows.
+``n - ceil(t n) + 1`` columns of each row, and of the shorter row only those behind which
+``2 t n / (1 + t)`` n-grams are left; a pair that first meets in a column is discarded if what is left of
+either row behind it is below the bound, or if the rows' bitmaps differ too much. Rows leave a column only
+within these bounds, and columns without a row that may be the shorter one are not multiplied. The overlap
+of the others is then taken from the whole rows.
 
-Components need no product of every two rows of a group: in each column all rows are multiplied with one
-of them (a pivot), linked rows become one component, and columns within one component are finished. This
-is repeated with other pivots while the pairs left are more than the rows and halve each time; then all
-pairs left, between different components, are multiplied. No link between components is lost.
+Components need no product of every two rows of a group: columns are met through pivots (see ``linking``).
+No link between components is lost.
 
 Null texts and texts without words have no n-grams: size 0, linked with nothing. A text of fewer words
 than ``words`` is one n-gram. Repeated rows and ties are equal rows of the matrix. A component is named
-by its smallest id; rows with a null id count as members but name it only if there is no other.
+by its smallest id; rows with a null id count as members but name it only if there is no other. Other columns
+may have any name.
 """
 
 from __future__ import annotations
@@ -23,247 +24,84 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.llm.common import Workspace, doc_keys, mix
-from ledgerlake.llm.components import connected
-from ledgerlake.llm.repeats import text_words, unit_blocks
-from ledgerlake.llm.rolling import Rolled
+from ledgerlake.llm.common import NO_ID, Workspace, doc_keys
+from ledgerlake.llm.linking import MAP, Confirm, bitmap, links_of, may_reach, named_components, per_row, set_tokens, signature
+from ledgerlake.llm.shingles import rarity_classes, shingle_hashes
 
-COUNT_BITS = 21  # the rarity of n-grams is counted in so many buckets (2 MB on the driver, whatever the input)
-SLICE = 4096
-MAX_PIVOTS = 6
-FEW_PRODUCTS = 50_000
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
-def _lower_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return text_words(_LOWER[raw], offsets)
-
-
-def _grams(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row and n-gram hashes (with repeats) of each text that has words."""
-    held: tuple[int, list[np.ndarray]] = (-1, [])
-    for units, offsets, low, base in unit_blocks(texts, _lower_words, words - 1):
-        rolled = Rolled(units)
-        grams = rolled.grams(words)
-        if base or len(offsets) == 2 and held[0] == low:  # a further block of a long text
-            held[1].append(grams[:offsets[1] - words + 1])
-            continue
-        if held[0] >= 0:
-            yield held[0], np.concatenate(held[1])
-        held = (-1, [])
-        for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            if b - a >= words:
-                found = grams[a:b - words + 1]
-            elif b > a:
-                found = rolled.runs(np.array([a]), np.array([b]))
-            else:
-                continue
-            if len(offsets) == 2:
-                held = (low, [found])
-            else:
-                yield low + i, found
-    if held[0] >= 0:
-        yield held[0], np.concatenate(held[1])
-
-
-def _rarity(docs: DataFrame, words: int) -> np.ndarray:
-    """A class per bucket of n-grams, lower for rarer ones; counted over all documents."""
-    size = 1 << COUNT_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            found = [grams & np.uint64(size - 1) for _, grams in _grams(batch["text"], words)]
-            if found:
-                total += np.bincount(np.concatenate(found).astype(np.int64), minlength=size)
-        total = np.minimum(total, 65535).astype("<u2").reshape(-1, SLICE)
-        part = TaskContext.get().partitionId() // 128
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(total), part, np.int32)), pa.array(np.arange(len(total), dtype=np.int32)),
-             pa.array([row.tobytes() for row in total], pa.binary())], ["part", "slice", "n"])
-
-    def add(kind: str, classes: bool):
-        def run(key, rows):
-            total = sum(np.frombuffer(n.as_py(), kind).astype(np.int64) for n in rows["n"])
-            if classes:
-                out = np.minimum(6 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8).tobytes()
-            else:
-                out = total.astype("<i8").tobytes()
-            return pa.table([rows["slice"].combine_chunks()[:1], pa.array([out], pa.binary())], ["slice", "n"])
-
-        return run
-
-    # A row per task and slice; slices of up to 128 tasks are added up before all of a slice meet.
-    counted = docs.select("text").mapInArrow(count, "part int, slice int, n binary")
-    counted = counted.groupBy("slice", "part").applyInArrow(add("<u2", False), "slice int, n binary")
-    rows = counted.groupBy("slice").applyInArrow(add("<i8", True), "slice int, n binary").toArrow().sort_by("slice")
-    found = np.frombuffer(b"".join(rows["n"].to_pylist()), np.uint8)
-    return found if len(found) == size else np.zeros(size, np.uint8)
-
-
-def _tokens(found: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    """The set of a text as sorted numbers, rare n-grams first."""
-    bucket = (found & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
-    return np.unique((rarity[bucket].astype(np.uint64) << np.uint64(55)) | (found >> np.uint64(9)))
-
-
-def _profiles(docs: DataFrame, words: int, rarity, percent: int) -> DataFrame:
-    """Per row: size and signature of its set (``node``), and the columns that have to be multiplied."""
+def _profiles(texts: DataFrame, words: int, rarity, percent: int) -> DataFrame:
+    """Per row: size, name (``node``) and bitmap of its set, and the columns that have to be multiplied."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            node = np.zeros(batch.num_rows, np.int64)
+            longs = np.zeros((batch.num_rows, 2 + len(MAP)), np.int64)
             prefix: list = [None] * batch.num_rows
-            for row, found in _grams(batch["text"], words):
-                tokens = _tokens(found, rarity.value)
-                n[row] = size = len(tokens)
-                node[row] = (mix(tokens).sum(dtype=np.uint64) ^ np.uint64(size)).astype(np.int64)
+            for row, found in shingle_hashes(batch["text"], words):
+                tokens = set_tokens(found, rarity.value)
+                size = len(tokens)
+                longs[row] = [size, signature(tokens), *bitmap(tokens)]
                 prefix[row] = tokens[:size - -(-percent * size // 100) + 1].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["_id"], batch["_h"], pa.array(n), pa.array(node), pa.array(prefix, pa.list_(pa.int64()))],
-                ["_id", "_h", "n", "node", "prefix"])
+                [batch["_id"], batch["_h"], *[pa.array(longs[:, i]) for i in range(longs.shape[1])],
+                 pa.array(prefix, pa.list_(pa.int64()))], ["_id", "_h", "n", "node", *MAP, "prefix"])
 
-    return docs.mapInArrow(run, "_id long, _h long, n long, node long, prefix array<long>")
-
-
-def _whole_sets(docs: DataFrame, chosen: DataFrame, words: int, rarity) -> DataFrame:
-    """The whole set of each chosen row (``node``, ``_id``, ``_h``); repeated rows of ``docs`` repeat it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, sets = [], []
-            for row, found in _grams(batch["text"], words):
-                rows.append(row)
-                sets.append(_tokens(found, rarity.value).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch["node"].take(pa.array(rows, pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["node", "tokens"])
-
-    texts = docs.join(chosen.hint("shuffle_hash"), ["_id", "_h"]).select("node", "text")
-    return texts.mapInArrow(run, "node long, tokens array<long>")
+    return texts.mapInArrow(
+        run, "_id long, _h long, n long, node long, " + ", ".join(f"{c} long" for c in MAP) + ", prefix array<long>")
 
 
 def _meets(percent: int):
     """Whether a pair that first meets in this column can reach the threshold."""
-    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    return (100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))
+    return (100 + percent) * F.least("x.rest", "y.rest") >= percent * (F.col("x.n") + F.col("y.n"))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose whole rows reach the threshold."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("ta", "tb"))
-    union = F.size("ta") + F.size("tb") - overlap
-    return both.where(100 * overlap >= percent * union).select("a", "b")
-
-
-def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` of every row of ``docs``."""
+def _matched(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' profiles, and the component of each distinct set."""
     spark = docs.sparkSession
     space = Workspace(spark, "jaccard-join")
-    kind = dict(docs.dtypes)[id_col]
     texts = docs.select(*doc_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
-    rarity = spark.sparkContext.broadcast(_rarity(texts, words))
-
+    rarity = spark.sparkContext.broadcast(
+        rarity_classes(texts.select("text"), lambda batch: (grams for _, grams in shingle_hashes(batch["text"], words))))
     profiles = space.keep(_profiles(texts, words, rarity, percent), "profiles")
-    null_id = F.col("_id") == -(2**63)
     nodes = space.keep(
         profiles.where("n > 0").groupBy("node").agg(
-            F.first("n").alias("n"), F.first("_id").alias("_id"), F.first("_h").alias("_h"),
-            F.min(F.when(~null_id, F.col("_id"))).alias("least"), F.first("prefix").alias("prefix")), "nodes")
-    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    # A column of two rows is left out at once if their pair cannot reach the threshold.
-    pair_may = (100 + percent) * F.col("rest") >= percent * F.col("both")
-    shared = space.keep(
-        entries.groupBy("token").agg(
-            F.count("*").alias("m"), F.sum("n").alias("both"), F.min(F.col("n") - F.col("pos")).alias("rest"))
-        .where((F.col("m") > 2) | ((F.col("m") == 2) & pair_may)).select("token", "m"), "shared")
-    pairs_left = shared.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
-    links, sets, turn, before = None, None, 0, float("inf")
-    if pairs_left:
-        open_entries = space.keep(entries.join(shared.select("token"), "token").withColumn("label", F.col("node")), "open")
-        # Beyond so many products, pivots come first; fewer are cheaper than a round.
-        size = max(FEW_PRODUCTS, 2 * open_entries.select("node").distinct().count())
-    space.drop("shared")
+            *[F.first(c).alias(c) for c in ("n", "_id", "_h", *MAP, "prefix")],
+            F.min(F.when(F.col("_id") != NO_ID, F.col("_id"))).alias("least")), "nodes")
+    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "column")).select(
+        "column", "node", (F.col("n") - F.col("pos")).alias("rest"),
+        ((100 + percent) * (F.col("n") - F.col("pos")) >= 2 * percent * F.col("n")).alias("first"))
+    confirm = Confirm(space, texts, nodes, words, percent, rarity)
+    links = links_of(space, entries, nodes.select("node", "n", *MAP), _meets(percent) & may_reach(percent), confirm.links)
+    return profiles.select("_id", "_h", "n", "node"), named_components(space, nodes, links)
 
-    while pairs_left:
-        # A round that leaves over half of the pairs has little to merge: most of them are no links.
-        last = pairs_left <= size or turn == MAX_PIVOTS or pairs_left > before / 2
-        before = pairs_left
-        if last:
-            pairs = (
-                open_entries.alias("x").join(open_entries.alias("y"), F.col("x.token") == F.col("y.token"))
-                .where((F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
-            )
-        else:
-            order = F.xxhash64("node", F.lit(turn))
-            pivots = space.keep(
-                open_entries.groupBy("token").agg(F.min_by(F.struct("node", "n", "pos", "label"), order).alias("p"))
-                .select("token", "p.*"), f"pivots{turn}")
-            pairs = (
-                open_entries.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token"))
-                .where(F.col("x.label") != F.col("y.label"))
-            )
-        pairs = pairs.where(_meets(percent)).select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        pairs = space.keep(pairs, f"pairs{turn}")
-        # Only rows that a bound has not ruled out are needed whole.
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if sets is not None:
-            asked = asked.join(sets.select("node"), "node", "left_anti")
-        chosen = space.keep(asked.join(nodes.select("node", "_id", "_h"), "node"), f"chosen{turn}")
-        more = space.keep(_whole_sets(texts, chosen, words, rarity), f"sets{turn}")
-        sets = more if sets is None else sets.unionByName(more)
-        fresh = space.keep(_links(pairs, sets, percent), f"links{turn}")
-        links = fresh if links is None else links.unionByName(fresh)
-        if last:
-            break
-        labels = connected(space, links, f"labels{turn}")
-        labelled = space.keep(
-            open_entries.drop("label").join(labels, "node", "left")
-            .withColumn("label", F.coalesce("label", "node")), f"labelled{turn}")
-        # Columns whose rows are all in one component are finished.
-        columns = labelled.groupBy("token", "label").agg(F.count("*").alias("k")).groupBy("token").agg(
-            F.sum("k").alias("m"), F.count("*").alias("labels"), F.sum(F.col("k") * F.col("k")).alias("inner"))
-        columns = space.keep(columns.where("labels > 1"), f"columns{turn}")
-        pairs_left = columns.agg(F.sum((F.col("m") * F.col("m") - F.col("inner")) / 2)).first()[0] or 0
-        turn += 1
-        open_entries = space.keep(labelled.join(columns.select("token"), "token"), f"open{turn}")
 
-    named = nodes.select("node", "least")
-    if links is not None and not links.isEmpty():
-        labels = connected(space, links, "final")
-        members = space.keep(named.join(labels, "node"), "linked")
-        names = members.groupBy("label").agg(F.min("least").alias("component_id"))
-        linked = members.join(names, "label").select("node", "component_id")
-        named = named.join(linked, "node", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    else:
-        named = named.select("node", F.col("least").alias("component_id"))
-    named = space.keep(named, "named")
-    own = F.when(~null_id, F.col("_id"))
-    return (
-        profiles.select("_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
-        .join(named, "node", "left")
-        .select(own.cast(kind).alias(id_col), F.col("n").alias("n_shingles"),
-                F.when(F.col("n") > 0, F.col("component_id")).otherwise(own).cast("long").alias("component_id"))
-    )
+def components(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """The id column, ``n_shingles``, ``component_id`` of every row of ``docs``."""
+    profiles, named = _matched(docs, words, percent, id_col, text_col)
+    return per_row(profiles, named, dict(docs.dtypes)[id_col], id_col).select(id_col, "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, *, words: int = 4, percent: int = 85, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose component has one of smaller id; one of equal rows stays.
+    """``docs`` with one row of each component, the one of smallest id (null ids last; then by the text's hash).
 
-    Rows with a null id stay, as nothing tells which of them to keep.
+    Rows alike in id and text count as one, and one of them stays. Unlike texts of one id both stay. Texts
+    without words stay.
     """
-    found = components(docs, words=words, percent=percent, id_col=id_col, text_col=text_col)
-    first = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).join(first, id_col, "left_semi")
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    profiles, named = _matched(docs, words, percent, id_col, text_col)
+    rows = profiles.groupBy("_id", "_h").agg(F.first("n").alias("n"), F.first("node").alias("node"), F.count("*").alias("copies"))
+    order = F.struct(F.col("_id") == NO_ID, "_id", "_h")
+    best = rows.where("n > 0").join(named, "node").groupBy("label").agg(
+        F.min_by(F.struct("_id", "_h", "copies"), order).alias("best")).select("best.*")
+    chosen = best.unionByName(rows.where("n = 0").select("_id", "_h", "copies"))
+    own_id, own_h = doc_keys(id_col, text_col)
+    names = [c for c in ("_keep_id", "_keep_h", "_keep_copies")]
+    while set(names) & {c.lower() for c in docs.columns}:
+        names = [f"{c}_" for c in names]
+    marked = docs.withColumns({names[0]: own_id, names[1]: own_h}).join(
+        chosen.toDF(*names), names[:2])
+    once = marked.where(F.col(names[2]) == 1)
+    again = marked.where(F.col(names[2]) > 1).dropDuplicates(names[:2])
+    return once.unionByName(again).select(docs.columns)

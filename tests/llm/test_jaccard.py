@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from ledgerlake.llm import jaccard_join
+from ledgerlake.llm import jaccard_join, linking
 from ledgerlake.llm.common import Workspace
 from ledgerlake.llm.components import connected
 
@@ -22,10 +22,10 @@ def test_odd_rows(odd_docs, odd_rows, n, percent):
     assert rows_of(jaccard_join.components(odd_docs, words=n, percent=percent)) == wanted([r[:2] for r in odd_rows], n, percent)
 
 
-@pytest.mark.parametrize("few", [jaccard_join.FEW_PRODUCTS, 0])
+@pytest.mark.parametrize("few", [linking.FEW_PRODUCTS, 0])
 def test_large_group_of_near_copies(spark, monkeypatch, few):
     """Links between members matter where a pivot is not linked to all; without ``few``, pivots come first."""
-    monkeypatch.setattr(jaccard_join, "FEW_PRODUCTS", few)
+    monkeypatch.setattr(linking, "FEW_PRODUCTS", few)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -56,3 +56,12 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in connected(space, edges, "path").collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    a, b, c = (" ".join(f"{p}{i}" for i in range(30)) for p in "abc")
+    rows = [(1, a), (1, b), (2, c), (2, c), (3, a + " end"), (None, c + " end"), (None, "")]
+    docs = spark.createDataFrame([(*r, 0, 0, 0) for r in rows], "doc_id long, text string, _id int, node int, label int")
+    kept = jaccard_join.keep_one(docs, words=4, percent=85)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("1", a), ("1", b), ("2", c), ("None", "")])
