@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerlake.session import ensure_checkpoint_dir
 
@@ -58,6 +59,21 @@ def doc_keys(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     ]
 
 
+def own_columns(columns: list[str]) -> Column:
+    """The caller's columns as one column ``_own``, so that no name of theirs meets one of an operator's steps."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_own")
+
+
+def with_own(rows: DataFrame, columns: list[str], *added: str | Column) -> DataFrame:
+    """The columns of ``_own`` side by side, then the added ones."""
+    return rows.select(*[F.col("_own").getField(c).alias(c) for c in columns], *added)
+
+
+def own_schema(docs: DataFrame, columns: list[str], added: str) -> StructType:
+    """Schema of ``_own`` and the added fields, which are given as DDL."""
+    return StructType([StructField("_own", StructType([docs.schema[c] for c in columns])), *StructType.fromDDL(added)])
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the n + 1 offsets into them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

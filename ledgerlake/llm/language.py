@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.llm.common import mix, slices, text_bytes
+from ledgerlake.llm.common import mix, own_columns, own_schema, slices, text_bytes, with_own
 from ledgerlake.llm.rolling import words_of
 
 BITS = 16
@@ -158,11 +158,12 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
     shared = spark.sparkContext.broadcast(model)
     base = docs.drop("lang_pred", "score")
     columns = base.columns
+    keyed = base.select(own_columns(columns), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch["_text"]
+            texts = batch["text"]
             raw, offsets = text_bytes(texts)
             best, score = [], []
             for low, high in slices(offsets, PART_BYTES):
@@ -174,9 +175,8 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -
             best = np.where(letters, best, -1)
             names = [model.languages[i] if i >= 0 else "und" for i in best.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in columns), pa.array(names, pa.string()), pa.array(np.where(best >= 0, score, 0.0))],
-                [*columns, "lang_pred", "score"])
+                [batch["_own"], pa.array(names, pa.string()), pa.array(np.where(best >= 0, score, 0.0))],
+                ["_own", "lang_pred", "score"])
 
-    types = dict(base.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in columns), "lang_pred string", "score double"])
-    return base.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, schema)
+    told = keyed.mapInArrow(run, own_schema(base, columns, "lang_pred string, score double"))
+    return with_own(told, columns, "lang_pred", "score")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.llm.common import mix, slices, text_bytes
+from ledgerlake.llm.common import mix, own_columns, own_schema, slices, text_bytes, with_own
 from ledgerlake.llm.rolling import BYTE_VALUES, SPACE, Rolled, word_units, words_of
 
 BITS = 18
@@ -204,13 +204,14 @@ def judge(docs: DataFrame, model: QualityModel, *, text_col: str = "text", thres
     """``docs`` with the facts, ``base_failed``, ``quality_score`` and ``kept``. Columns of these names are replaced."""
     added = [*FACTS, "base_failed", "quality_score", "kept"]
     base = docs.drop(*added)
-    columns, types = base.columns, dict(base.dtypes)
+    columns = base.columns
+    keyed = base.select(own_columns(columns), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            raw, offsets = text_bytes(batch["_text"])
+            raw, offsets = text_bytes(batch["text"])
             parts, scores = [], []
             for low, high in slices(offsets, PART_BYTES):
                 sub, at = raw[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low]
@@ -221,9 +222,8 @@ def judge(docs: DataFrame, model: QualityModel, *, text_col: str = "text", thres
             score = np.concatenate([[], *scores])
             failed = (facts["n_words"] < MIN_WORDS) | (100 * facts["n_repeat_words"] > REPEAT_PERCENT * facts["n_words"])
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in columns), *(pa.array(facts[f]) for f in FACTS), pa.array(failed), pa.array(np.round(score, 6)),
-                 pa.array(~failed & (score >= threshold))], [*columns, *added])
+                [batch["_own"], *(pa.array(facts[f]) for f in FACTS), pa.array(failed), pa.array(np.round(score, 6)),
+                 pa.array(~failed & (score >= threshold))], ["_own", *added])
 
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in columns), *(f"{f} long" for f in FACTS),
-                        "base_failed boolean, quality_score double, kept boolean"])
-    return base.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, schema)
+    schema = ", ".join([*(f"{f} long" for f in FACTS), "base_failed boolean, quality_score double, kept boolean"])
+    return with_own(keyed.mapInArrow(run, own_schema(base, columns, schema)), columns, *added)

@@ -73,3 +73,12 @@ def test_text_of_four_languages():
     raw = np.frombuffer(" ".join(w for w, n in zip(words, (36, 22, 21, 21)) for _ in range(n)).encode(), np.uint8)
     best, score = language.LanguageModel(list("abcd"), logs).predict(raw, np.array([0, len(raw)]))
     assert best.tolist() == [0] and abs(score[0] - 0.36) < 0.01
+
+
+def test_clashing_columns(spark, odd_docs):
+    model = language.LanguageModel.fit(odd_docs, language.learnable())
+    docs = odd_docs.withColumns({c: F.lit(c) for c in ("_text", "_own", "left", "lang_pred")})
+    got = language.identify(docs, model)
+    assert {tuple(r) for r in got.select("_text", "_own", "left").collect()} == {("_text", "_own", "left")}
+    assert sorted(map(str, got.select("doc_id", "text", "lang_pred", "score").collect())) == \
+        sorted(map(str, language.identify(odd_docs, model).select("doc_id", "text", "lang_pred", "score").collect()))

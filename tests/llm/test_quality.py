@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import quality
 
 from . import brute
@@ -56,3 +58,11 @@ def test_no_labels_keep_all(spark, odd_docs, no_docs):
     assert quality.train(odd_docs, labels.limit(0)) is quality.KEEP_ALL
     assert quality.train(no_docs, labels) is quality.KEEP_ALL
     assert quality.judge(no_docs, quality.KEEP_ALL).count() == 0
+
+
+def test_clashing_columns(spark, odd_docs):
+    docs = odd_docs.withColumns({c: F.lit(c) for c in ("_text", "_own", "n_words", "kept")})
+    got = quality.judge(docs, quality.KEEP_ALL)
+    assert {tuple(r) for r in got.select("_text", "_own").collect()} == {("_text", "_own")}
+    names = ["doc_id", "text", *quality.FACTS, "base_failed", "kept"]
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, quality.judge(odd_docs, quality.KEEP_ALL).select(names).collect()))
