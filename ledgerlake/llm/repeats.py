@@ -59,12 +59,13 @@ def _row_of(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
 ANCHOR_SCHEMA = "_id long, _h long, key long, span long, first long, count int, shift int"
 
 
-def anchor_table(docs: DataFrame, to_units: Callable, gram: int, window: int, doubled: bool = False) -> DataFrame:
+def anchor_table(docs: DataFrame, to_units: Callable, gram: int, window: int, side: int = 0) -> DataFrame:
     """Anchors of ``docs`` (``_id``, ``_h``, ``text``).
 
     Windows ``first .. first + count - 1`` hold the gram, which begins ``shift`` units after ``first``.
-    ``doubled`` adds the hashes of the two runs of twice the gram's length that begin or end with it,
-    where they lie within the span.
+    With ``side``, the hashes of two longer runs are added where they lie within the span: the gram with the
+    ``side`` units before it, and with the ``side`` units after it. A window of at least ``gram + 2 * side - 1``
+    units that holds the gram holds one of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,13 +75,13 @@ def anchor_table(docs: DataFrame, to_units: Callable, gram: int, window: int, do
                 rolled = Rolled(units)
                 found = anchors(rolled, offsets, gram, window)
                 if len(found.at):
-                    yield _anchor_rows(found, rolled, offsets, low, base, ids, hashes, gram, window, doubled)
+                    yield _anchor_rows(found, rolled, offsets, low, base, ids, hashes, gram, window, side)
 
-    more = ", before long, after long" if doubled else ""
+    more = ", before long, after long" if side else ""
     return docs.select("_id", "_h", "text").mapInArrow(run, ANCHOR_SCHEMA + more)
 
 
-def _anchor_rows(found: Anchors, rolled: Rolled, offsets, low, base, ids, hashes, gram, window, doubled):
+def _anchor_rows(found: Anchors, rolled: Rolled, offsets, low, base, ids, hashes, gram, window, side):
     row = _row_of(offsets, found.first)
     columns = [
         ids[low + row], hashes[low + row], found.gram.view(np.int64), found.span.view(np.int64),
@@ -88,9 +89,9 @@ def _anchor_rows(found: Anchors, rolled: Rolled, offsets, low, base, ids, hashes
     ]
     columns = [pa.array(c) for c in columns]
     names = ["_id", "_h", "key", "span", "first", "count", "shift"]
-    if doubled:
-        for name, begin in (("before", found.at - gram), ("after", found.at)):
-            end = begin + 2 * gram
+    if side:
+        for name, begin in (("before", found.at - side), ("after", found.at)):
+            end = begin + gram + side
             inside = (begin >= found.first) & (end <= found.first + found.count - 1 + window)
             begin, end = np.where(inside, begin, 0), np.where(inside, end, 0)
             columns.append(pa.array(rolled.runs(begin, end).view(np.int64), mask=~inside))
@@ -104,7 +105,10 @@ def hits(space: Workspace, table: DataFrame) -> DataFrame:
     keys = space.keep(
         table.groupBy("key").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"))
         .where("n > 1").select("key", F.expr("low = high").alias("same")), "keys")
-    found = space.keep(table.join(keys, "key"), "hits")
+    found = table.join(keys, "key")
+    if "before" in table.columns:  # settled keys need no neighbouring runs
+        found = found.withColumns({c: F.when(~F.col("same"), F.col(c)) for c in ("before", "after")})
+    found = space.keep(found, "hits")
     space.drop("anchors", "keys")
     return found
 
@@ -129,6 +133,38 @@ def settled(found: DataFrame, reps: DataFrame) -> DataFrame:
     return found.where("same").select(*columns).unionByName(mixed.select(*columns))
 
 
+def meeting_ranges(space: Workspace, reps: DataFrame, gram: int, window: int, side: int) -> DataFrame:
+    """Representatives cut down to the windows that may occur in another span of their key.
+
+    A window equal to one of another span shares with it the run before or the run after the anchor that lies
+    within (see ``anchor_table``), so a span goes unless one of its two runs occurs in another span, and of
+    its windows those stay that hold such a run. ``spans`` counts what is left of each key.
+    """
+    sides = reps.select(
+        "key", "span", "alone", "_id", "_h", "first", "count", "shift",
+        F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("run")),
+                          F.struct(F.lit(False).alias("left"), F.col("after").alias("run")))).alias("side"),
+    ).select("*", "side.left", "side.run").drop("side").where("run is not null")
+    twice = space.keep(
+        sides.groupBy("key", "left", "run").agg(F.count("*").alias("n")).where("n > 1").select("key", "left", "run"),
+        "doubled")
+    # Offsets of the anchor in a window that the repeated run lies within.
+    low = F.when(F.col("left"), F.lit(side)).otherwise(F.lit(0))
+    high = F.when(F.col("left"), F.lit(window)).otherwise(F.lit(window - gram - side))
+    alive = space.keep(
+        sides.join(twice, ["key", "left", "run"])
+        .withColumn("from", F.greatest(F.col("first"), F.col("first") + F.col("shift") - high))
+        .withColumn("to", F.least(F.col("first") + F.col("count") - 1, F.col("first") + F.col("shift") - low))
+        .where("from <= to")
+        .groupBy("key", "span").agg(
+            *[F.first(c).alias(c) for c in ("_id", "_h", "alone")], F.first(F.col("first") + F.col("shift")).alias("at"),
+            F.min("from").alias("first"), F.max("to").alias("last"))
+        .select("key", "span", "_id", "_h", "alone", "first", (F.col("last") - F.col("first") + 1).cast("int").alias("count"),
+                (F.col("at") - F.col("first")).cast("int").alias("shift")), "alive")
+    sizes = space.keep(alive.groupBy("key").agg(F.count("*").alias("spans")), "alive-sizes")
+    return alive.join(sizes, "key")
+
+
 def marked_texts(docs: DataFrame, marks: DataFrame, fields: list[str]) -> DataFrame:
     """Texts that hold marks, with the marks of each as a list. Only the marks are held for the join."""
     lists = marks.groupBy("_id", "_h").agg(F.collect_list(F.struct(*fields)).alias("marks"))
@@ -189,6 +225,6 @@ def covered(ranges: np.ndarray | None, n: int, window: int) -> np.ndarray:
 
 
 __all__ = [
-    "anchor_table", "byte_units", "covered", "hits", "marked_texts", "mix", "range_lists", "repeated_windows",
+    "anchor_table", "byte_units", "covered", "hits", "marked_texts", "meeting_ranges", "mix", "range_lists", "repeated_windows",
     "representatives", "settled", "text_words", "unit_blocks", "window_rows", "with_ranges",
 ]

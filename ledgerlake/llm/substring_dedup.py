@@ -6,8 +6,8 @@ repeated. A window that holds no repeated run of a lower level is never built. N
 when no run of the next length survives.
 
 Null and empty texts have no words and lose none. Words are compared as bytes. A repeated row repeats all
-its windows, so both rows lose them. Tables without rows give none. All columns of the input are kept;
-names beginning with an underscore are used for added ones.
+its windows, so both rows lose them. Tables without rows give none. Other columns of the input are kept,
+whatever their names, but for ``n_words`` and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.llm import repeats
-from ledgerlake.llm.common import Workspace, doc_keys, text_bytes
+from ledgerlake.llm.common import Workspace, doc_keys, own_columns, own_schema, text_bytes, with_own
 from ledgerlake.llm.rolling import words_of
 
 
@@ -30,36 +30,13 @@ def repeated_ranges(docs: DataFrame, window: int, space: Workspace) -> DataFrame
     ``docs`` has ``_id``, ``_h`` (see ``common.doc_keys``) and ``text``.
     """
     gram = max(1, -(-window // 4))
-    table = repeats.anchor_table(docs, repeats.text_words, gram, window, doubled=True)
+    table = repeats.anchor_table(docs, repeats.text_words, gram, window, gram)
     found = repeats.hits(space, table)
     reps = repeats.representatives(space, found, ("before", "after"))
     done = repeats.settled(found, reps)
 
     # Level 2: a window begins at least `gram` words before its anchor or ends as far behind it.
-    sides = reps.select(
-        "key", "span", "alone", "_id", "_h", "first", "count", "shift",
-        F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("before").alias("run")),
-                          F.struct(F.lit(False).alias("left"), F.col("after").alias("run")))).alias("side"),
-    ).select("*", "side.left", "side.run").drop("side").where("run is not null")
-    sides = space.keep(sides, "sides")
-    twice = space.keep(
-        sides.groupBy("key", "left", "run").agg(F.count("*").alias("n")).where("n > 1").select("key", "left", "run"),
-        "doubled")
-    # Offsets of the anchor in a window that the repeated run lies within: [gram, ...] left, [..., window - 2 gram] right.
-    low = F.when(F.col("left"), F.lit(gram)).otherwise(F.lit(0))
-    high = F.when(F.col("left"), F.lit(window)).otherwise(F.lit(window - 2 * gram))
-    alive = (
-        sides.join(twice, ["key", "left", "run"])
-        .withColumn("from", F.greatest(F.col("first"), F.col("first") + F.col("shift") - high))
-        .withColumn("to", F.least(F.col("first") + F.col("count") - 1, F.col("first") + F.col("shift") - low))
-        .where("from <= to")
-        .groupBy("key", "span").agg(
-            *[F.first(c).alias(c) for c in ("_id", "_h", "alone")],
-            F.min("from").alias("first"), F.max("to").alias("last"))
-        .withColumn("count", (F.col("last") - F.col("first") + 1).cast("int"))
-    )
-    alive = space.keep(alive, "alive")
-    space.drop("sides", "doubled")
+    alive = repeats.meeting_ranges(space, reps, gram, window, gram)
     windows = repeats.window_rows(docs, alive, repeats.text_words, window)
     return done.unionByName(repeats.repeated_windows(space, windows, "full"))
 
@@ -71,15 +48,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, *, id_col: str = "doc_id",
     ``digest`` returns the id, the counts and ``kept_sha256`` instead.
     """
     space = Workspace(docs.sparkSession, "substring-dedup")
-    keyed = docs.select(*docs.columns, *doc_keys(id_col, text_col))
-    plain = keyed.select("_id", "_h", F.col(text_col).cast("string").alias("text"))
+    kept = [id_col] if digest else [c for c in docs.columns if c.lower() not in (text_col.lower(), "n_words", "n_removed")]
+    out_col = "kept_sha256" if digest else text_col
+    keyed = docs.select(own_columns(kept), *doc_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    plain = keyed.select("_id", "_h", "text")
     ranges = repeated_ranges(plain, window, space)
-    kept = [id_col] if digest else [c for c in docs.columns if c != text_col]
-    rows = repeats.with_ranges(keyed.select("_id", "_h", *kept, F.col(text_col).alias("_text")), ranges).drop("_id", "_h")
+    rows = repeats.with_ranges(keyed, ranges).drop("_id", "_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_bytes(batch["_text"])
+            raw, offsets = text_bytes(batch["text"])
             data, words, removed, out = raw.tobytes(), [], [], []
             lists = batch["_ranges"]
             for row in range(batch.num_rows):
@@ -94,11 +72,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, *, id_col: str = "doc_id",
                 removed.append(int(gone.sum()))
                 out.append(hashlib.sha256(text).hexdigest() if digest else text.decode())
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in kept), pa.array(words, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(out, pa.string())],
-                [*kept, "n_words", "n_removed", "kept_sha256" if digest else text_col])
+                [batch["_own"], pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())],
+                ["_own", "n_words", "n_removed", "left"])
 
-    types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "n_words long", "n_removed long",
-                        f"`{'kept_sha256' if digest else text_col}` string"])
-    return rows.mapInArrow(run, schema)
+    done = rows.mapInArrow(run, own_schema(docs, kept, "n_words long, n_removed long, left string"))
+    return with_own(done, kept, "n_words", "n_removed", F.col("left").alias(out_col))

@@ -8,13 +8,15 @@ the left of the anchor: an interval is a maximal repeat where its members' left
 whose left and right agreement with any other reaches the least length is repeated there, so all
 occurrences are found, not only neighbours in the array.
 
-Equal stretches are settled before by counting, and enter the array once. A branch of more than
+Equal stretches are settled before by counting, and enter the array once. A suffix enters only if the half
+window before or behind its anchor occurs elsewhere too, since no window around it could be repeated otherwise. A branch of more than
 ``branch_limit`` distinct suffixes (a very common line in ever different surroundings) does not go to one
 task: its windows are compared by hash instead, which spreads over all tasks and gives the same result.
 
 Null texts count as empty. Matches never cross texts. A repeated row repeats all its strings. Tables
-without rows give none. All columns of the input are kept; names beginning with an underscore are used
-for added ones. Where a cut falls inside a character, the kept text drops the broken rest of it.
+without rows give none. Other columns of the input are kept, whatever their names, but for ``n_bytes``,
+``n_removed``, ``n_spans`` and ``removed``, which are replaced. Where a cut falls inside a character, the kept
+text drops the broken rest of it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.llm import repeats
-from ledgerlake.llm.common import Workspace, doc_keys, text_bytes
+from ledgerlake.llm.common import Workspace, doc_keys, own_columns, own_schema, text_bytes, with_own
 
 GRAM_BYTES = 40
 BRANCH_LIMIT = 2048  # below 1 MB of suffixes
@@ -172,9 +174,15 @@ def repeated_ranges(docs: DataFrame, window: int, space: Workspace, gram: int =
 
     Occurrences of the same maximal repeat share ``group``. ``docs`` has ``_id``, ``_h`` and ``text``.
     """
-    found = repeats.hits(space, repeats.anchor_table(docs, repeats.byte_units, min(gram, window), window))
-    reps = repeats.representatives(space, found)
-    ranges = repeats.settled(found, reps)
+    gram = min(gram, window)
+    side = (window - gram + 1) // 2
+    found = repeats.hits(space, repeats.anchor_table(docs, repeats.byte_units, gram, window, side))
+    if side:
+        every = repeats.representatives(space, found, ("before", "after"))
+        reps = repeats.meeting_ranges(space, every, gram, window, side)
+    else:
+        every = reps = repeats.representatives(space, found)
+    ranges = repeats.settled(found, every)
 
     contexts = _contexts(docs, reps.where(F.col("spans") <= branch_limit), window)
     scanned = space.keep(
@@ -196,17 +204,17 @@ def remove_repeats(docs: DataFrame, window: int = 200, *, id_col: str = "doc_id"
     ``digest`` returns the id, the counts and ``kept_sha256`` instead.
     """
     space = Workspace(docs.sparkSession, "suffix-dedup")
-    keyed = docs.select(*docs.columns, *doc_keys(id_col, text_col))
-    plain = keyed.select("_id", "_h", F.col(text_col).cast("string").alias("text"))
+    added = ["n_bytes", "n_removed", "n_spans", *([] if digest else ["removed"])]
+    kept = [id_col] if digest else [c for c in docs.columns if c.lower() not in (text_col.lower(), *added)]
+    keyed = docs.select(own_columns(kept), *doc_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    plain = keyed.select("_id", "_h", "text")
     ranges = repeated_ranges(plain, window, space, branch_limit=branch_limit)
-    kept = [id_col] if digest else [c for c in docs.columns if c != text_col]
-    rows = repeats.with_ranges(keyed.select("_id", "_h", *kept, F.col(text_col).alias("_text")), ranges).drop("_id", "_h")
-    names = [*kept, "n_bytes", "n_removed", "n_spans", *(["kept_sha256"] if digest else ["removed", text_col])]
+    rows = repeats.with_ranges(keyed, ranges).drop("_id", "_h")
     span = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_bytes(batch["_text"])
+            raw, offsets = text_bytes(batch["text"])
             lists, size, removed, runs, spans, out = batch["_ranges"], [], [], [], [], []
             for row in range(batch.num_rows):
                 part = raw[offsets[row]:offsets[row + 1]]
@@ -218,11 +226,11 @@ def remove_repeats(docs: DataFrame, window: int = 200, *, id_col: str = "doc_id"
                 runs.append(len(edge) // 2)
                 spans.append([{"first": a, "last": b - 1} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
                 out.append(hashlib.sha256(left).hexdigest() if digest else left.decode(errors="ignore"))
-            columns = [*(batch[c] for c in kept), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+            columns = [batch["_own"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                        pa.array(runs, pa.int64())]
             columns += [] if digest else [pa.array(spans, pa.list_(span))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], ["_own", *added, "left"])
 
-    types = {**dict(docs.dtypes), "n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string",
-             "removed": "array<struct<first: long, last: long>>", text_col: "string"}
-    return rows.mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in names))
+    spans_type = "" if digest else "removed array<struct<first: long, last: long>>, "
+    done = rows.mapInArrow(run, own_schema(docs, kept, f"n_bytes long, n_removed long, n_spans long, {spans_type}left string"))
+    return with_own(done, kept, *added, F.col("left").alias("kept_sha256" if digest else text_col))

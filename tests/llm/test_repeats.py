@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import substring_dedup, suffix_dedup
 from ledgerlake.llm.repeats import anchor_table, byte_units
@@ -96,3 +97,35 @@ def test_long_texts_come_in_blocks(spark, monkeypatch):
 def test_words_do_not_cross_texts():
     begin, end, rows = words_of(np.frombuffer(b"ab cd" + b"ef" + b" g ", np.uint8), np.array([0, 5, 5, 7, 10]))
     assert list(zip(begin, end)) == [(0, 2), (3, 5), (5, 7), (8, 9)] and rows.tolist() == [0, 2, 2, 3, 4]
+
+
+CLASHES = ["_id", "_h", "_own", "_text", "_ranges", "key", "first", "left", "marks", "text_"]
+
+
+@pytest.mark.parametrize("remove,window", [(substring_dedup.remove_repeats, 12), (suffix_dedup.remove_repeats, 60)])
+def test_clashing_columns(spark, odd_docs, remove, window):
+    added = ["n_words", "n_removed", "N_BYTES", "n_spans", "removed"]
+    docs = odd_docs.withColumns({c: F.lit(c) for c in [*CLASHES, *added]})
+    plain = remove(odd_docs, window)
+    got = remove(docs, window)
+    new = [c for c in plain.columns if c not in odd_docs.columns or c == "text"]
+    assert set(CLASHES) < set(got.columns)
+    for r in got.select(*CLASHES).distinct().collect():
+        assert list(r) == CLASHES
+    assert sorted(map(str, got.select("doc_id", *new).collect())) == sorted(map(str, plain.select("doc_id", *new).collect()))
+
+
+def test_one_anchor_in_ever_different_surroundings(spark):
+    """A common line whose half windows differ everywhere but in two texts."""
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+
+    line = noise(45)
+    rows = [(i, noise(150) + line + noise(150)) for i in range(80)]
+    whole = noise(120) + line + noise(70)
+    rows += [(100, noise(40) + whole + noise(30)), (101, noise(90) + whole), (102, whole[:130] + noise(200)), (103, whole[60:] + noise(99))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs, 200, digest=True).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == byte_result(rows, 200)
