@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import sys
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -303,13 +303,21 @@ def normalize(rows: DataFrame, config: DataFrame, formats: Sequence[str | None],
     )
 
 
-def batch_of(rows: DataFrame, config: DataFrame, configs: Sequence[AccountConfig]) -> StatementBatch:
-    """Transactions and file report of data rows from any of the readers."""
+def batch_of(
+    rows: DataFrame, config: DataFrame, configs: Sequence[AccountConfig], keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> StatementBatch:
+    """Transactions and file report of data rows from any of the readers.
+
+    ``keep`` may write the parsed rows and return what it wrote; both results are then taken from that.
+    """
     formats = [c.date_format for c in configs]
     dates = file_dates(rows, config)
     if None in formats:
         dates = settled(dates)
     normal = normalize(rows, config, formats, dates if None in formats else None)
+    if keep:
+        normal = keep(normal.select(
+            "path", "bank", "account", "reason", "valid", *[c for c in RAW_TXN.names if c != "hash_id"]))
     transactions = normal.where("valid").withColumn(
         "hash_id", hash_id(F.col("fecha"), F.col("concepto"), F.col("importe"))
     ).select(*RAW_TXN.names, "bank", "account", "path")
@@ -321,11 +329,14 @@ def batch_of(rows: DataFrame, config: DataFrame, configs: Sequence[AccountConfig
     return StatementBatch(transactions, files, dates)
 
 
-def read_statements(spark: SparkSession, root: str | list[str], configs: Sequence[AccountConfig]) -> StatementBatch:
-    """All statements under ``root`` (or the given files) that have settings."""
+def read_statements(
+    spark: SparkSession, root: str | list[str], configs: Sequence[AccountConfig],
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> StatementBatch:
+    """All statements under ``root`` (or the given files) that have settings; ``keep`` as in ``batch_of``."""
     config = config_frame(spark, configs)
     rows = _csv(spark, root, config).unionByName(_workbooks(spark, root, config))
-    batch = batch_of(rows, config, configs)
+    batch = batch_of(rows, config, configs, keep)
     # A file without a byte is in no scan at all. The listing that Spark holds on the driver has it.
     held = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles()
     listed = local_table(spark, [(uri,) for uri in held], "uri string").withColumn(
