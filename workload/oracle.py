@@ -115,7 +115,7 @@ def label_ctes(source: str) -> dict[str, str]:
     }
 
 
-PERSONAL = "if(gift, CAST(0 AS DOUBLE), importe / (1 + CAST(es_compartido AS INTEGER)))"
+PERSONAL = "CASE WHEN gift THEN CAST(0 AS DOUBLE) WHEN es_compartido THEN importe / 2 ELSE importe END"
 LABELLED = label_ctes("mov")
 
 _DELIMS = r"\s\[\](){}/|\\<>!?@\x22^#$&~_,.:;*%+\-"
@@ -153,7 +153,7 @@ ADJUSTMENTS = {
 }
 # Halves what is left of a shared settlement once the adjustments of its identity are taken off.
 ADJUSTED = f"""
-if(b.operativa_interna = {literal(data.OPERATIONS[1][1])}, coalesce((abs(b.importe) - a.adjustment_amount) / -2, b.importe_personal),
+if(b.operativa_interna = {literal(data.OPERATIONS[1][1])}, coalesce(-(abs(b.importe) - a.adjustment_amount) / 2, b.importe_personal),
    b.importe_personal)
 """
 GOLD = {
