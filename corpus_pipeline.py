@@ -3,6 +3,10 @@
 Each stage reads what the one before wrote. All but the last return the columns of ``documents``; the last
 returns the pieces of the packed sequences. ``ORACLE_SQL`` is None, as SQL cannot express the trained
 stages; the tests hold each stage against a brute-force version.
+
+Rows alike in id and text are repeated rows. Stages that remove rows judge each row by its text; near
+duplicates keep one of the repeated rows, the other stages all that they keep. Columns beside those of
+``documents`` are carried along, whatever their names. A table without rows gives none at every stage.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ LANGUAGE_SHARE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; the rest goes."""
+    """Documents in one of the learned languages; the rest goes, null texts and those without a letter too."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     model = language.LanguageModel.fit(docs, language.learnable())
     told = language.identify(docs, model)
@@ -27,27 +31,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the counted rules and the classifier keep."""
+    """Documents that the counted rules and the classifier keep. Null and empty texts have no words and go."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.judge(docs, model).where("kept").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of smallest id."""
+    """One document of each group of near copies, the one of smallest id (null ids last; then by the text's hash).
+
+    Texts without words, null ones included, are near copies of nothing and stay. Unlike texts of one id both stay.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return jaccard_join.keep_one(docs, words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 200 bytes that occur more than once."""
+    """Documents without the strings of 200 bytes that occur more than once; a text of which nothing is left stays, empty.
+
+    Null texts come back empty. ``n_chars`` is counted anew.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     left = suffix_dedup.remove_repeats(docs, window=200)
     return left.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, placed in sequences of 2048 tokens."""
+    """Pieces of the documents, placed in sequences of 2048 tokens; a null or empty text is one piece with the end token alone."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     pieces = packing.cut_pieces(
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, capacity=2048, end_id=0,
