@@ -6,7 +6,7 @@ stages; the tests hold each stage against a brute-force version.
 
 Rows alike in id and text are repeated rows. Stages that remove rows judge each row by its text; near
 duplicates keep one of the repeated rows, the other stages all that they keep. Columns beside those of
-``documents`` are carried along, whatever their names. A table without rows gives none at every stage.
+``documents`` are carried along; one named like a column that an operator adds comes back replaced. A table without rows gives none at every stage.
 """
 
 from __future__ import annotations
