@@ -3,8 +3,10 @@
 A column is anything under which two sets that link are sure to meet at least once. Within a column, only
 entries marked ``first`` need be met by all others. Columns are not multiplied out as a whole: in each, one
 first entry (a pivot) is compared with all others, linked sets become one component, and pairs within a
-component are finished. Columns are dealt into ``KINDS`` kinds that prefer different pivots, so that each set of
-a group that shares many columns meets several of them. This is repeated with other pivots as long as pairs
+component are finished. Columns are dealt into kinds that prefer different pivots, so that each set of a group
+that shares many columns meets several of them: ``KINDS`` in the first round, which finishes the large groups of
+copies, and eight times as many in each further one, for groups whose sets link only here and there. A round makes
+no more rows than it has entries, however many kinds. It is repeated with other pivots as long as pairs
 are many and links are found; what is left between different components is then joined. Rows leave that join only if the bounds of ``may_link``,
 evaluated in it, let them; among these is the number of bits that one set's bitmap has alone, each of which
 stands for a shingle that the other set lacks. No link between components is lost.
@@ -122,7 +124,7 @@ def links_of(space: Workspace, entries: DataFrame, more: DataFrame, may_link: Co
             firsts = open_entries.where("first")
         else:
             own = [c for c in open_entries.columns if c != "column"]
-            order = F.xxhash64("node", F.pmod(F.xxhash64("column"), F.lit(KINDS)), F.lit(turn))
+            order = F.xxhash64("node", F.pmod(F.xxhash64("column"), F.lit(KINDS << 3 * turn)), F.lit(turn))
             firsts = space.keep(
                 open_entries.where("first").groupBy("column").agg(F.min_by(F.struct(*own), order).alias("p")).select("column", "p.*"),
                 f"pivots{turn}")
