@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.llm import (
-    ann, bpe, html_text, jaccard_join, language, minhash, packing, quality, substring_dedup, suffix_dedup, token_alignment, url_graph,
+    ann, bpe, html_text, jaccard_join, language, minhash, oracle, packing, quality, substring_dedup, suffix_dedup, token_alignment, url_graph,
     vector_codes,
 )
 
@@ -144,5 +144,9 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_jaccard_join": oracle.components(words=4, percent=85),
+    "op4_substring_dedup": oracle.repeated_words(window=35),
+    "op5_suffix_dedup": oracle.repeated_bytes(window=200),
+    "op11_minhash": oracle.components(words=3, percent=85, kept=True),
     "op12_vector_codes": vector_codes.oracle("embeddings"),
 }
