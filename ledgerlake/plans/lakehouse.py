@@ -9,16 +9,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.flags import Household
-from ..operators.quality import BRONZE_TABLES, run_tests
+from ..operators.quality import BRONZE_TABLES, DECLARED_TESTS, run_tests
 from ..operators.skew import hot_keys
 from ..schemas import ADJUSTMENTS, CATEGORY_RULES, ENTITY_RULES, GOLD, MASTER_RULES, SILVER, TABLE_COMMENTS, TXN
+from ..session import local_table
 from ..sources import tables
 from ..sources.raw import bronze_rows, normalize_cash, read_seed
-from .gold import gold_transactions
+from .gold import gold_transactions, monthly_spend
 from .silver import enrich, union_sources
 
 MONTH = "anio_mes"
-PENDING = "pending_months"  # beside the bronze tables: months that got rows since the last silver build
+# Beside the bronze tables: months that got rows since the last silver build, gold build and pass of the tests.
+PENDING, PENDING_GOLD, PENDING_TESTS = "pending_months", "pending_gold", "pending_tests"
+EVERY = "*"  # noted in place of a month: all of them
 
 SEED_SCHEMAS = {
     "master_mapping": MASTER_RULES,
@@ -66,7 +69,9 @@ class Lakehouse:
             raise ValueError(f"unknown bronze table {table!r}")
         rows = normalize_cash(raw) if table == "cash" else bronze_rows(raw)
         rows = rows.withColumn(MONTH, F.date_format("fecha", "yyyy-MM"))
-        self._note_months(rows)
+        months = rows.select(MONTH).distinct()
+        self._note_months(months, PENDING)
+        self._note_months(self._every() if full_refresh else months, PENDING_TESTS)
         tables.append_new(
             rows, self.name("bronze", table), full_refresh=full_refresh, null_policy=self.null_policy,
             schema=TXN, comment=TABLE_COMMENTS[table], hot=hot_keys(rows, "hash_id"), partition_by=(MONTH,), prune_by=MONTH,
@@ -74,15 +79,33 @@ class Lakehouse:
         # A streaming batch writes through a session of its own; this one may hold an old file list.
         self.spark.catalog.refreshTable(self.name("bronze", table))
 
-    def _note_months(self, rows: DataFrame) -> None:
-        pending = self.name("bronze", PENDING)
-        noted = rows.select(MONTH).distinct().withColumn("load_id", F.lit(uuid.uuid4().hex))
+    def _every(self) -> DataFrame:
+        return self.spark.range(1).select(F.lit(EVERY).alias(MONTH))
+
+    def _note_months(self, months: DataFrame, log: str) -> None:
+        pending = self.name("bronze", log)
+        noted = months.select(MONTH).withColumn("load_id", F.lit(uuid.uuid4().hex))
         if tables.exists(self.spark, pending):
             tables.append(noted, pending)
         else:
             tables.rebuild(noted, pending)
         self.spark.catalog.refreshTable(pending)
 
+    def _noted(self, log: str) -> list:
+        """At most one row per month and load since the log was last cleared."""
+        pending = self.name("bronze", log)
+        if not tables.exists(self.spark, pending):
+            return []
+        self.spark.catalog.refreshTable(pending)
+        return self.spark.table(pending).collect()
+
+    def _clear(self, log: str, noted: list) -> None:
+        """Take out what was read before; what came since stays."""
+        if noted:
+            pending = self.name("bronze", log)
+            done = sorted({r["load_id"] for r in noted})
+            tables.rebuild(self.spark.table(pending).where(~F.col("load_id").isin(done)), pending)
+
     def bronze_union(self, months: Sequence[str] | None = None) -> DataFrame:
         """All bronze rows, or those of some months (None among them: rows without a date)."""
         present = [t for t in BRONZE_TABLES if tables.exists(self.spark, self.name("bronze", t))]
@@ -101,11 +124,10 @@ class Lakehouse:
         their classification until a full refresh. An identity contains the date, so only ``months``
         (yyyy-MM) are read and searched; by default those that bronze loads have noted since the last build.
         """
-        target, pending = self.name("silver", "fct_transactions"), self.name("bronze", PENDING)
+        target = self.name("silver", "fct_transactions")
         tables.recover(self.spark, target)
         first = full_refresh or not tables.exists(self.spark, target)
-        # At most one row per month and load since the last build.
-        noted = self.spark.table(pending).collect() if tables.exists(self.spark, pending) else []
+        noted = self._noted(PENDING)
         given = months is not None
         if not given and noted:
             months = sorted({r[MONTH] for r in noted}, key=str)
@@ -116,38 +138,88 @@ class Lakehouse:
                 rows, self.spark.table(target), null_policy=self.null_policy, hot=hot_keys(rows, "hash_id"),
                 prune_by=prune_by,
             )
+        if first or months is None:
+            changed = self._every()
+        else:
+            changed = local_table(self.spark, [(m,) for m in months], f"{MONTH} string")
+        for log in (PENDING_GOLD, PENDING_TESTS):
+            self._note_months(changed, log)
         fresh = enrich(rows, self.table("seeds", "master_mapping"), self.house, self.null_text)
         if first:
             tables.rebuild(fresh, target, ("anio_mes",), SILVER, TABLE_COMMENTS["fct_transactions"])
         else:
             tables.sync_schema(self.spark, target, fresh.schema, ("anio_mes",))
             tables.append(fresh, target, ("anio_mes",))
-        if noted and (first or not given):
-            done = [r["load_id"] for r in noted]
-            tables.rebuild(self.spark.table(pending).where(~F.col("load_id").isin(done)), pending)
+        if first or not given:
+            self._clear(PENDING, noted)
 
-    def build_gold(self) -> None:
-        """Rebuilt every time, so adjustments and their removal reach old rows too."""
-        silver = self.table("silver", "fct_transactions")
-        adjustments = self.table("seeds", "manual_adjustments")
-        tables.rebuild(
-            gold_transactions(silver, adjustments), self.name("gold", "transactions"),
-            ("anio_mes",), GOLD, TABLE_COMMENTS["transactions"],
-        )
+    def build_gold(self, full_refresh: bool = False) -> None:
+        """The mart and its monthly totals, for the months that got rows or whose adjustments came, changed or went.
+
+        Rows are compared with the adjustments applied last time, which are kept beside the mart, so adjustments
+        and their removal reach old rows too. Stored movements never leave silver but by a full refresh, so a month
+        that had rows has rows again. A build that dies is done again by the next one.
+        """
+        silver, adjustments = self.table("silver", "fct_transactions"), self.table("seeds", "manual_adjustments")
+        target, totals, applied = (self.name("gold", t) for t in ("transactions", "monthly_spend", "applied_adjustments"))
+        for table in (target, totals, applied):
+            tables.recover(self.spark, table)
+        noted = self._noted(PENDING_GOLD)
+        months = {r[MONTH] for r in noted}
+        given = adjustments.select("hash_id", "adjustment_amount")
+        if full_refresh or EVERY in months or not all(tables.exists(self.spark, t) for t in (target, totals, applied)):
+            tables.rebuild(
+                gold_transactions(silver, adjustments), target, (MONTH,), GOLD, TABLE_COMMENTS["transactions"])
+            tables.rebuild(monthly_spend(self.spark.table(target)), totals, (MONTH,))
+        else:
+            before = self.spark.table(applied)
+            changed = given.exceptAll(before).unionByName(before.exceptAll(given)).select("hash_id").distinct()
+            # As few as there are months.
+            months |= {r[0] for r in silver.join(changed, "hash_id", "left_semi").select(MONTH).distinct().collect()}
+            if months:
+                mine = tables.among(MONTH, sorted(months, key=str))
+                tables.replace_parts(gold_transactions(silver.where(mine), adjustments), target, (MONTH,))
+                tables.replace_parts(monthly_spend(self.spark.table(target).where(mine)), totals, (MONTH,))
+        tables.rebuild(given, applied)
+        self._clear(PENDING_GOLD, noted)
 
     def refresh(self, sources: dict[str, DataFrame], full_refresh: bool = False) -> None:
         """All layers, from the landed rows of each bronze table."""
         for table, raw in sources.items():
             self.load_bronze(table, raw, full_refresh)
         self.build_silver(full_refresh)
-        self.build_gold()
+        self.build_gold(full_refresh)
 
-    def test(self) -> DataFrame:
-        """Results of the declared tests on the tables present."""
+    def _present(self) -> dict[str, DataFrame]:
         present = {
             t: self.table("bronze", t) for t in BRONZE_TABLES
             if tables.exists(self.spark, self.name("bronze", t))
         }
         if tables.exists(self.spark, self.name("silver", "fct_transactions")):
             present["fct_transactions"] = self.table("silver", "fct_transactions")
-        return run_tests(present)
+        return present
+
+    def test(self) -> DataFrame:
+        """Results of the declared tests on the tables present."""
+        return run_tests(self._present())
+
+    def test_new(self) -> DataFrame:
+        """The same, reading only the months that got rows since this was last called; other months' results are kept.
+
+        Equal identities lie in the same month, so what fails in a table is the sum over its months.
+        """
+        kept = self.name("gold", "test_results")
+        tables.recover(self.spark, kept)
+        noted = self._noted(PENDING_TESTS)
+        months = sorted({r[MONTH] for r in noted}, key=str)
+        present = self._present()
+        if EVERY in months or not tables.exists(self.spark, kept):
+            tables.rebuild(run_tests(present, by=(MONTH,)), kept, (MONTH,))
+        elif months:
+            mine = tables.among(MONTH, months)
+            tables.replace_parts(run_tests({t: df.where(mine) for t, df in present.items()}, by=(MONTH,)), kept, (MONTH,))
+        self._clear(PENDING_TESTS, noted)
+        declared = local_table(
+            self.spark, [(t.table, t.column, t.kind) for t in DECLARED_TESTS if t.table in present], "table string, column string, kind string")
+        results = self.spark.table(kept).groupBy("table", "column", "kind").agg(F.sum("failures").alias("failures"))
+        return declared.join(results, ["table", "column", "kind"], "left").withColumn("failures", F.coalesce("failures", F.lit(0)))

@@ -15,7 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.incremental import new_rows, upsert
 
@@ -133,6 +133,21 @@ def rebuild(
         spark.sql(f"COMMENT ON TABLE {table} IS '{_quoted(comment)}'")
 
 
+def among(column: str, values: Sequence) -> Column:
+    """Whether a column has one of the values, None among them."""
+    held = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return held | F.col(column).isNull() if None in values else F.col(column).isin(list(values))
+
+
+def replace_parts(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Put ``df`` in place of the partitions that it has rows for; the others keep their files."""
+    spark = df.sparkSession
+    parts = f"{table}{_PART}_{uuid.uuid4().hex[:12]}"
+    _write(df, parts, "errorifexists", partition_by)
+    _overwrite_parts(spark, parts, table)
+    _drop(spark, parts)
+
+
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -241,10 +256,5 @@ def merge(
     touched = [r[0] for r in df.select(column).distinct().collect()]
     if not touched:
         return
-    mine = F.col(column).isin([v for v in touched if v is not None])
-    if None in touched:
-        mine = F.coalesce(mine, F.lit(False)) | F.col(column).isNull()
-    parts = f"{table}{_PART}_{uuid.uuid4().hex[:12]}"
-    _write(upsert(stored.where(mine), df, key, hot), parts, "errorifexists", partition_by)
-    _overwrite_parts(spark, parts, table)
-    _drop(spark, parts)
+    mine = among(column, touched)
+    replace_parts(upsert(stored.where(mine), df, key, hot), table, partition_by)
