@@ -396,7 +396,7 @@ ORACLE = {
     "incremental_new_rows": with_ctes("txn mov", "SELECT * FROM batch WHERE hash_id NOT IN (SELECT hash_id FROM stored)", stored=STORED, batch=BATCH),
     "incremental_salted": with_ctes("txn mov", "SELECT * FROM batch WHERE hash_id NOT IN (SELECT hash_id FROM stored)", stored=STORED, batch=BATCH),
     "not_in_null_semantics": with_ctes("txn mov", " UNION ALL ".join(
-        f"SELECT '{name}' AS stored, count(*) AS n_rows, count(hash_id) AS n_keys FROM b WHERE hash_id NOT IN (SELECT hash_id FROM {source})"
+        f"SELECT '{name}' AS stored, hash_id, fecha, concepto, importe FROM b WHERE hash_id NOT IN (SELECT hash_id FROM {source})"
         for name, source in (("none_stored", "(SELECT * FROM stored WHERE false)"), ("no_null_stored", "stored"), ("null_stored", "holed"))),
         stored=STORED, batch=BATCH,
         b="SELECT * REPLACE (CASE WHEN importe <> 0 THEN hash_id END AS hash_id) FROM batch",
@@ -441,3 +441,11 @@ ORACLE = {
                count(*) FILTER (entidad IS NULL) AS entidad, count(*) FILTER (origen IS NULL) AS origen FROM cash""", cash=CASH),
     "dq_suite": with_ctes("txn mov", _suite(), cash=CASH),
 }
+
+# Through files and tables the same rows come out.
+ORACLE |= {
+    "landing_zone": ORACLE["scan_bronze"],
+    "cash_files": ORACLE["cash_normalize"],
+    "seed_files": ORACLE["rules_prepare"],
+    "lakehouse_totals": ORACLE["monthly_spend"],
+}

@@ -14,7 +14,8 @@ from ledgerlake.functions import (
 from ledgerlake.functions.dates import elect_formats, parse_date_as
 from ledgerlake.operators import flags, incremental, maintenance, metrics, quality, rules
 from ledgerlake.plans import gold, silver
-from ledgerlake.schemas import TXN
+from ledgerlake.plans.lakehouse import Lakehouse
+from ledgerlake.schemas import MASTER_RULES, TXN
 from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources import config as config_source, raw, statements, tables
 
@@ -58,15 +59,18 @@ def money_text(spark, d):
         "l_orderkey", "x", exact_cents_text(F.col("x")).alias("text"))
 
 
-@query
-def cash_normalize(spark, d):
+def _cash_sheet(spark, d) -> DataFrame:
     odd = F.get(F.array(*map(F.lit, ("12d", "NaN", "inf", "1e400", "1f"))), F.dayofmonth("fecha") - 1)
-    sheet = bronze_slice(txn(spark, d), "cash").select(
+    return bronze_slice(txn(spark, d), "cash").select(
         F.when(F.dayofmonth("fecha") == 31, "n/a").when(F.dayofmonth("fecha") == 29, F.year("fecha").cast("string")).when(F.dayofmonth("fecha") != 30, F.col("fecha").cast("string")).alias("fecha"),
         F.concat(F.lit("\t "), "concepto", F.lit(" ")).alias("concepto"),
         F.when(F.col("importe") > 50000, "mucho").when(F.dayofmonth("fecha") <= 5, odd).when(F.col("importe") > -50000, F.col("importe").cast("string")).alias("importe"),
     )
-    return raw.normalize_cash(sheet)
+
+
+@query
+def cash_normalize(spark, d):
+    return raw.normalize_cash(_cash_sheet(spark, d))
 
 
 def _amount_text():
@@ -278,6 +282,12 @@ def statement_defects(spark, d):
     return _statements(_statement_lines(spark, d, defects=True)).files
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def _write_statements(spark, d) -> str:
     """The movements as files, several for each account, some with a line break within a text."""
     df = txn(spark, d)
@@ -295,8 +305,7 @@ def _write_statements(spark, d) -> str:
     around = df.select(bank, account).distinct().withColumn("file", F.explode(F.sequence(F.lit(0), F.lit(many - 1))))
     lines = rows.unionByName(around.select("bank", "account", "file", frame)).select(
         "bank", "account", "file", "n", F.posexplode("lines").alias("part", "value"))
-    ensure_checkpoint_dir(spark)
-    root = f"{spark.sparkContext.getCheckpointDir()}/statements-{uuid.uuid4().hex}"
+    root = _folder(spark, "statements")
     # A task holds one file of each account and writes it in order.
     (
         lines.repartitionById(many, F.col("file")).sortWithinPartitions("bank", "account", "n", "part")
@@ -312,6 +321,34 @@ def statement_files(spark, d):
     return statements.read_statements(spark, _write_statements(spark, d), CONFIGS).transactions.drop("path")
 
 
+@query
+def landing_zone(spark, d):
+    """Movements through the landing zone's JSON lines and back into bronze columns."""
+    rows = movements(spark, d).select(
+        "*", F.upper("entidad").alias("bank"), F.upper("origen").alias("account"),
+        F.concat(F.lit("/in/"), F.date_format("fecha", "yyyy"), F.lit(".csv")).alias("path"))
+    root = _folder(spark, "landing")
+    raw.write_raw(rows.withColumn("fecha", F.col("fecha").cast("string")), root)
+    return raw.bronze_rows(raw.read_raw(spark, root))
+
+
+@query
+def cash_files(spark, d):
+    """The cash sheet through CSV files."""
+    root = _folder(spark, "cash")
+    _cash_sheet(spark, d).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root)
+    return raw.normalize_cash(raw.read_cash(spark, root))
+
+
+@query
+def seed_files(spark, d):
+    """Rules through seed files, then in matching form."""
+    root = _folder(spark, "seed")
+    raw.write_seed(data.part_rules(spark, d), root)
+    prepared = rules.prepare_rules(raw.read_seed(spark, root, MASTER_RULES), F.col("entity_name"))
+    return prepared.withColumnRenamed("value", "entity_name")
+
+
 @query
 def positional_statement(spark, d):
     """Sheets without a header: columns by position, plain decimals, labels from the settings."""
@@ -509,12 +546,11 @@ def not_in_null_semantics(spark, d):
     batch = batch.withColumn("hash_id", F.when(F.col("importe") != 0, F.col("hash_id")))
     holed = stored.withColumn("hash_id", F.when(F.col("importe") != 320, F.col("hash_id")))
     cases = {"none_stored": stored.where(F.col("fecha") < "1900-01-01"), "no_null_stored": stored, "null_stored": holed}
-    counts = [
-        incremental.new_rows(batch, s).agg(F.count("*").alias("n_rows"), F.count("hash_id").alias("n_keys"))
-        .select(F.lit(name).alias("stored"), "n_rows", "n_keys")
+    left = [
+        incremental.new_rows(batch, s).select(F.lit(name).alias("stored"), "hash_id", "fecha", "concepto", "importe")
         for name, s in cases.items()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return left[0].unionByName(left[1]).unionByName(left[2])
 
 
 @query
@@ -548,6 +584,18 @@ def upsert_table(spark, d):
     return spark.table(name)
 
 
+@query
+def lakehouse_totals(spark, d):
+    """Two loads through all layers; the second touches only its months of the mart and the totals."""
+    stored, batch = _stored_and_batch(spark, d)
+    lake = Lakehouse(spark, HOUSE, prefix=f"lake_{uuid.uuid4().hex[:12]}_")
+    lake.save_seed("master_mapping", data.master_rules(spark))
+    lake.save_seed("manual_adjustments", data.adjustments(movements(spark, d)))
+    for rows in (stored, batch):
+        lake.refresh({"account": rows.withColumn("fecha", F.col("fecha").cast("string"))})
+    return lake.table("gold", "monthly_spend")
+
+
 @query
 def schema_sync(spark, d):
     stored, batch = _stored_and_batch(spark, d)
