@@ -91,7 +91,7 @@ def _assembled(lines: DataFrame) -> DataFrame:
     rows = _states(lines, ["path", "block"], "seq", opens, stays, F.lit(0)).withColumns({
         "inside0": F.col("state"), "inside1": _odd(F.coalesce(F.col("_last.s"), F.lit(1)) + F.col("_turns")),
     }).drop("_turns", "_last", "state")
-    rows = rows.withColumns({f"begun{e}": F.count_if(F.col(f"inside{e}") == 0).over(within) for e in (0, 1)})
+    rows = kept(rows.withColumns({f"begun{e}": F.count_if(F.col(f"inside{e}") == 0).over(within) for e in (0, 1)}), "line-states")
     after = [F.when(F.col(f"inside{e}") == 0, opens).otherwise(stays) for e in (0, 1)]
 
     splits = rows.groupBy("path", "block").agg(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.amounts import parse_amount, parse_number
 from ..functions.dates import elect_formats, parse_date, parse_date_as, supported
 from ..functions.identity import hash_id
-from ..functions.text import capitalize, path_parts, trim_ws
+from ..functions.text import capitalize, trim_ws
 from ..schemas import RAW_TXN
 from ..session import local_table, settled
 from . import xlsx_cells
@@ -36,9 +36,6 @@ NA_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Folders may be named as Spark names those of a partitioned table.
-_LAYOUT = r"(?:bank=)?([^/]+)/(?:account=)?([^/]+)/(?:PENDING/)?([^/]+)$"
-
 # What both readers deliver per data row; the header positions are zero-based, NULL when absent.
 _ROW = ["path", "bank", "account", "cells", "days", "reason", "at_fecha", "at_concepto", "at_importe",
         "at_extra", "at_status"]
@@ -56,14 +53,27 @@ class StatementBatch:
     dates: DataFrame
 
 
+def _folder_name(name: Column, kind: str) -> Column:
+    """Folders may be named as Spark names those of a partitioned table."""
+    return F.when(name.startswith(f"{kind}=") & (name != f"{kind}="), name.substr(F.lit(len(kind) + 2), F.length(name))).otherwise(name)
+
+
 def _located(df: DataFrame, uri: str = "_metadata.file_path") -> DataFrame:
-    """Add path, bank and account from the file's encoded address."""
-    path = F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B")))
-    df = df.withColumn("path", path)
-    return df.withColumns({
-        "bank": F.regexp_extract("path", _LAYOUT, 1),
-        "account": F.regexp_extract("path", _LAYOUT, 2),
-    })
+    """Add path, bank and account (empty if there are none) from the file's encoded address.
+
+    Every line of a file pays for this, so the path is cut once and no regular expression runs over it.
+    """
+    df = once(df, path=F.url_decode(F.replace(F.col(uri), F.lit("+"), F.lit("%2B"))))
+    df = once(df, _parts=F.reverse(F.split("path", "/")))
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.get("_parts", F.lit(i)), F.lit(""))
+
+    pending = (part(1) == "PENDING") & (part(2) != "") & (part(3) != "")
+    bank, account = (F.when(pending, part(i + 1)).otherwise(part(i)) for i in (2, 1))
+    df = once(df, _bank=bank, _account=account, _whole=(part(0) != "") & (part(1) != "") & (part(2) != ""))
+    columns = {k: F.when(F.col("_whole"), _folder_name(F.col(f"_{k}"), k)).otherwise("") for k in ("bank", "account")}
+    return once(df, **columns).drop("_parts", "_bank", "_account", "_whole")
 
 
 def config_frame(spark: SparkSession, configs: Sequence[AccountConfig]) -> DataFrame:
@@ -150,8 +160,12 @@ def _with_header(rows: DataFrame, header: Column) -> DataFrame:
 
 
 def _metadata_filter(csv: bool) -> Column:
-    suffix = path_parts(F.col("_metadata.file_name"))[2]
-    return suffix.contains("csv") if csv else ~suffix.contains("csv")
+    """Whether the suffix (the last dot behind another character, and what follows) has ``csv`` in it."""
+    name = F.col("_metadata.file_name")
+    last = F.substring_index(name, ".", -1)
+    before = name.substr(F.lit(1), F.length(name) - F.length(last) - 1)
+    told = (last != "") & (before != "") & ~before.endswith(".") & F.lower(last).contains("csv")
+    return told if csv else ~told
 
 
 def rows_from_records(records: DataFrame, config: DataFrame) -> DataFrame:
@@ -194,7 +208,7 @@ def _csv(spark: SparkSession, root, config: DataFrame) -> DataFrame:
     known = config.select("bank", "account").distinct()
     lines = _located(file_lines(spark, root, _metadata_filter(True)), "file").drop("file")
     lines = kept(with_steps(lines.join(F.broadcast(known), ["bank", "account"], "left_semi")), "statement-lines")
-    return rows_from_records(number_records(lines), config)
+    return rows_from_records(kept(number_records(lines), "statement-records"), config)
 
 
 def _read_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

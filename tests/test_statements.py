@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.functions import hash_id
+from ledgerlake.functions import hash_id, path_parts
 from ledgerlake.sources import config, raw, records, statements
 from ledgerlake.sources.config import AccountConfig
 
@@ -246,3 +246,22 @@ def test_an_unknown_date_format_rejects_its_account_only(spark):
     batch = statements.read_statements(spark, root, configs)
     assert [(r.fecha, r.concepto, r.entidad) for r in batch.transactions.collect()] == [("2025-07-01", "a", "Otro")]
     assert {r.account: r.status for r in batch.files.collect()} == {"ACCOUNT": "loaded", "CARD": "unknown_date_format"}
+
+
+def test_places_and_suffixes_need_no_search_through_the_path(spark):
+    layout = r"(?:bank=)?([^/]+)/(?:account=)?([^/]+)/(?:PENDING/)?([^/]+)$"
+    uris = ["file:/in/N/A/f.csv", "file:/in/N/A/PENDING/f%20+1.csv", "/N/PENDING/f", "N/PENDING/f", "/in/bank=N/account=A/f", "x/bank=/account=/f",
+            "/in/N//f", "/N/A/", "f", "/f", "A/f", "", "/in/xbank=N/A/PENDING/PENDING/f", "//A/PENDING/f", "/in/N/A/PENDING", "bank=N/account=A/PENDING/f"]
+    df = spark.createDataFrame([(u,) for u in uris], "uri string")
+    found = statements._located(df, "uri")
+    by_pattern = [F.regexp_extract("path", layout, i) for i in (1, 2)]
+    assert found.where((F.col("bank") != by_pattern[0]) | (F.col("account") != by_pattern[1])).collect() == []
+    assert "RegExp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+    names = ["a.csv", "a.CSV2", ".csv", "a..csv", "a.csv.", "a.b.xlsx", "csv", "a.xcsvx", "a.csv.txt", "..csv", "a", "."]
+    named = spark.createDataFrame([(n,) for n in names], "file_name string").select(F.struct("file_name").alias("_metadata"))
+    suffix = path_parts(F.col("_metadata.file_name"))[2]
+    for csv in (True, False):
+        told, wanted = statements._metadata_filter(csv), suffix.contains("csv") == csv
+        assert named.where(told != wanted).collect() == []
+    assert "regexp" not in named.select(told)._jdf.queryExecution().optimizedPlan().toString()
