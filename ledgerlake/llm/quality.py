@@ -30,6 +30,7 @@ MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 PART_BYTES = 1 << 18
+TRAIN_ROWS = 128  # rows of the sample whose entries are held at full width at once
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -106,29 +107,50 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     good = table["_good"].to_numpy().astype(float)
     if len(good) < 10 or good.min() == good.max():
         return KEEP_ALL
-    lists = table["buckets"].combine_chunks()
-    size = np.diff(lists.offsets.to_numpy())
-    bucket = lists.flatten().to_numpy()
-    value = table["values"].combine_chunks().flatten().to_numpy()
-    row = np.repeat(np.arange(len(good)), size)
+    lists, values = table["buckets"].combine_chunks(), table["values"].combine_chunks()
+    del table
+    offsets = lists.offsets.to_numpy()
+    offsets = offsets - offsets[0]
+    bucket, value = lists.flatten().to_numpy(), values.flatten().to_numpy()
+    # Entries are taken a few rows at a time, in order: sums come out the same and no temporary is as long as the sample.
+    blocks = [(low, min(low + TRAIN_ROWS, len(good))) for low in range(0, len(good), TRAIN_ROWS)]
+
+    def entries(low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        part = slice(offsets[low], offsets[high])
+        return np.repeat(np.arange(high - low), np.diff(offsets[low:high + 1])), bucket[part], value[part]
+
+    def row_sums(scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+        sums = []
+        for low, high in blocks:
+            row, at, part = entries(low, high)
+            sums.append(np.bincount(row, part * scale[at] * w[at], high - low))
+        return np.concatenate(sums)
+
     held = np.arange(len(good)) % 5 == 4
     # Frequencies differ by orders of magnitude; scaling by their spread makes the rare ones learnable.
-    spread = np.sqrt(np.bincount(bucket, value * value, 1 << BITS) / len(good))
+    squares = np.zeros(1 << BITS)
+    for low, high in blocks:
+        _, at, part = entries(low, high)
+        np.add.at(squares, at, (part * part).astype(float))
+    spread = np.sqrt(squares / len(good))
     scale = np.where(spread > 0, 1 / (spread + 1e-3), 0.0) * 0.02
-    scaled = value * scale[bucket]
     weight = np.where(held, 0.0, np.where(good > 0, 0.5 / max(1, good[~held].sum()), 0.5 / max(1, (1 - good[~held]).sum())))
     w, bias = np.zeros(1 << BITS), 0.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     mb = vb = 0.0
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, scaled * w[bucket], len(good)) + bias, -40, 40)))
+        p = 1 / (1 + np.exp(-np.clip(row_sums(scale, w) + bias, -40, 40)))
         error = weight * (p - good)
-        gradient = np.bincount(bucket, scaled * error[row], 1 << BITS) + 1e-6 * w
+        gradient = np.zeros(1 << BITS)
+        for low, high in blocks:
+            row, at, part = entries(low, high)
+            np.add.at(gradient, at, part * scale[at] * error[low:high][row])
+        gradient += 1e-6 * w
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient * gradient
         mb, vb = 0.9 * mb + 0.1 * error.sum(), 0.99 * vb + 0.01 * error.sum() ** 2
         w -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
         bias -= 0.1 * (mb / (1 - 0.9 ** step)) / (np.sqrt(vb / (1 - 0.99 ** step)) + 1e-6)
-    logit = np.bincount(row, scaled * w[bucket], len(good)) + bias
+    logit = row_sums(scale, w) + bias
     slope, shift = _calibrate(logit[held], good[held])
     return QualityModel((w * scale).astype(np.float32), slope, shift + slope * bias)
 

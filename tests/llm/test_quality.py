@@ -66,3 +66,24 @@ def test_clashing_columns(spark, odd_docs):
     assert {tuple(r) for r in got.select("_text", "_own").collect()} == {("_text", "_own")}
     names = ["doc_id", "text", *quality.FACTS, "base_failed", "kept"]
     assert sorted(map(str, got.select(names).collect())) == sorted(map(str, quality.judge(odd_docs, quality.KEEP_ALL).select(names).collect()))
+
+
+def test_training_in_blocks_is_the_training_as_a_whole(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    r = np.random.default_rng(3)
+    rows = [np.sort(r.choice(1 << quality.BITS, int(r.integers(0, 2000)), replace=False)).astype(np.int32) for _ in range(600)]
+    table = pa.table({
+        "_key": pa.array(r.permutation(600)), "_good": pa.array(r.random(600) > 0.5), "buckets": pa.array(rows, pa.list_(pa.int32())),
+        "values": pa.array([r.random(len(x)).astype(np.float32) for x in rows], pa.list_(pa.float32()))})
+    monkeypatch.setattr(quality, "_sample", lambda *args: table)
+    peaks, models = [], []
+    for size in (16, 600):
+        monkeypatch.setattr(quality, "TRAIN_ROWS", size)
+        tracemalloc.start()
+        models.append(quality.train(None, None, rounds=5))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (models[0].weights == models[1].weights).all() and models[0].slope == models[1].slope and models[0].shift == models[1].shift
+    assert peaks[0] < 0.7 * peaks[1]
