@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.identity import pack, unpack
 from .skew import salted
 
 
@@ -21,7 +22,11 @@ def unseen(batch: DataFrame, stored: DataFrame, key: str = "hash_id", hot: Seque
     """
     keys = stored.select(key).where(F.col(key).isNotNull())
     rows, keys = salted(batch, keys, key, hot)
-    return rows.join(keys.distinct(), [key, "_salt"], "left_anti").drop("_salt")
+    texts = dict(batch.dtypes)[key] == dict(stored.dtypes)[key] == "string"
+    if texts:  # identities travel at half their size
+        rows, keys = (df.withColumn(key, pack(F.col(key))) for df in (rows, keys))
+    passed = rows.join(keys.distinct(), [key, "_salt"], "left_anti").drop("_salt")
+    return passed.withColumn(key, unpack(F.col(key))) if texts else passed
 
 
 def new_rows(
@@ -56,11 +61,10 @@ def new_rows(
         column, held = prune_by
         searched = stored.where(F.col(column).isin(list(held)))
 
+    # A NULL key survives only the very first load; told before the keys are packed for the join.
+    batch = batch.where(F.col(key).isNotNull() | ~stored.select(F.lit(1)).exists())
     passed = unseen(batch, searched, key, hot)
-    if null_policy == "compat":
-        passed = passed.where(~nulls.exists())
-    # A NULL key survives only the very first load.
-    return passed.where(F.col(key).isNotNull() | ~stored.select(F.lit(1)).exists())
+    return passed.where(~nulls.exists()) if null_policy == "compat" else passed
 
 
 def searched_parts(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
