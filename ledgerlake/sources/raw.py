@@ -9,6 +9,7 @@ from ..functions.identity import hash_id
 from ..functions.text import path_parts, trim_ws
 from ..operators.maintenance import clean_suggestions
 from ..schemas import CASH_RAW, MASTER_RULES, RAW_TXN, TXN, conform
+from .tables import rebalanced
 
 _ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 
@@ -19,12 +20,13 @@ CASH_ENTITY, CASH_ORIGIN = "Caja", "Cash"
 def write_raw(transactions: DataFrame, root: str) -> None:
     """JSON lines under ``bank=/account=/stem=``; re-reading a file replaces what it wrote before.
 
-    A stem is a folder and may hold several part files, so no file has to pass through one task.
+    A stem is a folder and may hold several part files, so no file has to pass through one task. Files are
+    packed with gzip, whose readers cannot split them; each has the rows of one task.
     """
     stem = path_parts(F.col("path"))[1]
     (
-        transactions.select(*RAW_TXN.names, "bank", "account", stem.alias("stem")).hint("rebalance", "bank", "account", "stem")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rebalanced(transactions.select(*RAW_TXN.names, "bank", "account", stem.alias("stem")), "bank", "account", "stem")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
         .partitionBy("bank", "account", "stem").json(root)
     )
 

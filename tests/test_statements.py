@@ -265,3 +265,16 @@ def test_places_and_suffixes_need_no_search_through_the_path(spark):
         told, wanted = statements._metadata_filter(csv), suffix.contains("csv") == csv
         assert named.where(told != wanted).collect() == []
     assert "regexp" not in named.select(told)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_files_are_packed_and_read_back(spark):
+    root = tempfile.mkdtemp(prefix="ledgerlake-land-") + "/landing"
+    day = "2025-07-01"
+    rows = spark.createDataFrame([(day, "Café, 1", -2.5), (day, None, 1.0)], "fecha string, concepto string, importe double").select(
+        hash_id(F.col("fecha"), F.col("concepto"), F.col("importe")).alias("hash_id"), "*", F.lit("Norte").alias("entidad"),
+        F.lit("Card").alias("origen"), F.lit("NORTE").alias("bank"), F.lit("CARD").alias("account"), F.lit("/in/a.csv").alias("path"))
+    raw.write_raw(rows, root)
+    landed = raw.read_raw(spark, root)
+    assert all(name.endswith(".json.gz") for name in landed.inputFiles())
+    wanted = rows.select(*landed.columns).collect()
+    assert sorted(map(tuple, landed.collect()), key=str) == sorted(map(tuple, wanted), key=str)
