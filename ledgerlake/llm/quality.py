@@ -1,7 +1,7 @@
 """Quality rules: counted facts of a text and a calibrated classifier over hashed n-grams.
 
 The classifier is a logistic regression over hashed frequencies of words, word pairs and byte n-grams,
-trained on labelled rows: at most ``SAMPLE_ROWS`` of them, those of least hash of their id, with at most
+trained by one task on labelled rows: at most ``SAMPLE_ROWS`` of them, those of least hash of their id, with at most
 ``SAMPLE_CHARS`` characters. A fifth of the sample, unseen in training, calibrates its probability. Texts
 are scored in Arrow batches against the fixed ``THRESHOLD``. Facts cover every whole text.
 
@@ -69,7 +69,7 @@ class QualityModel:
 KEEP_ALL = QualityModel(np.zeros(1 << BITS, np.float32), 0.0, 40.0)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> pa.Table:
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.min(label_col).alias("low"), F.max(label_col).alias("high")).where("low = high")
     chosen = known.select(F.col(id_col).alias("_key"), (F.col("low") > 0).alias("_good")).orderBy(
@@ -98,12 +98,29 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     rows = texts.join(F.broadcast(chosen), "_key")  # at most SAMPLE_ROWS small rows
     kind = dict(rows.dtypes)["_key"]
     return rows.select("_key", "_good", "_text").mapInArrow(
-        run, f"_key {kind}, _good boolean, buckets array<int>, values array<float>").dropDuplicates(["_key"]).toArrow()
+        run, f"_key {kind}, _good boolean, buckets array<int>, values array<float>").dropDuplicates(["_key"])
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", rounds: int = 120) -> QualityModel:
-    table = _sample(docs, labels, id_col, text_col, label_col).sort_by("_key")
+    """The model of the sample. A task fits it, as the sample is bounded; the driver gets the weights alone."""
+
+    def fit(rows: pa.Table) -> pa.Table:
+        model = fit_sample(rows, rounds)
+        some = [] if model is KEEP_ALL else [model]
+        return pa.table(
+            [pa.array([m.weights.tobytes() for m in some], pa.binary()), pa.array([m.slope for m in some], pa.float64()),
+             pa.array([m.shift for m in some], pa.float64())], ["weights", "slope", "shift"])
+
+    sample = _sample(docs, labels, id_col, text_col, label_col)
+    if isinstance(sample, pa.Table):  # rows at hand need no task
+        return fit_sample(sample, rounds)
+    found = sample.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(fit, "weights binary, slope double, shift double").first()
+    return KEEP_ALL if found is None else QualityModel(np.frombuffer(found["weights"], np.float32), found["slope"], found["shift"])
+
+
+def fit_sample(table: pa.Table, rounds: int) -> QualityModel:
+    table = table.sort_by("_key")
     good = table["_good"].to_numpy().astype(float)
     if len(good) < 10 or good.min() == good.max():
         return KEEP_ALL

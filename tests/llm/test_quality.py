@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import quality
@@ -87,3 +87,12 @@ def test_training_in_blocks_is_the_training_as_a_whole(spark, monkeypatch):
         tracemalloc.stop()
     assert (models[0].weights == models[1].weights).all() and models[0].slope == models[1].slope and models[0].shift == models[1].shift
     assert peaks[0] < 0.7 * peaks[1]
+
+
+def test_the_driver_gets_the_model_and_not_the_sample(spark, monkeypatch):
+    docs, _, labels = corpus(spark)
+    table = quality._sample(docs, labels, "doc_id", "text", "quality").toArrow()
+    here = quality.fit_sample(table, 120)
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: pytest.fail("rows sent to the driver"))
+    model = quality.train(docs, labels)
+    assert (model.weights == here.weights).all() and (model.slope, model.shift) == (here.slope, here.shift)
