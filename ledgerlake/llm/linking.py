@@ -9,7 +9,9 @@ copies, and eight times as many in each further one, for groups whose sets link
 no more rows than it has entries, however many kinds. It is repeated with other pivots as long as pairs
 are many and links are found; what is left between different components is then joined. Rows leave that join only if the bounds of ``may_link``,
 evaluated in it, let them; among these is the number of bits that one set's bitmap has alone, each of which
-stands for a shingle that the other set lacks. No link between components is lost.
+stands for a shingle that the other set lacks. A pair that shares many columns leaves it once: at a column the join
+sees whether the pair has met in a smaller one, as far as the ``LOWEST`` columns of both tell. So the bounds must
+not let a pair pass in a column and not in a smaller one that it shares. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from ledgerlake.llm.components import connected
 from ledgerlake.llm.shingles import bucket, shingle_hashes
 
 MAX_PIVOTS = 4
+LOWEST = 16  # the columns of a set that the last join compares
 KINDS = 8
 FEW_PRODUCTS = 50_000
 MAP_LONGS = 8
@@ -100,6 +103,23 @@ class Confirm:
         return self.space.keep(met.select("a", "b"), f"links-{name}")
 
 
+def met_once(entries: DataFrame, met: Column) -> DataFrame:
+    """Pairs (``a`` < ``b``) of ``entries`` that meet in a column in which one is first, all but always once."""
+
+    def lowest(column: Column) -> Column:
+        return F.slice(F.sort_array(F.collect_list(column)), 1, LOWEST)
+
+    low = entries.groupBy("node").agg(
+        lowest(F.col("column")).alias("low"), lowest(F.when(F.col("first"), F.col("column"))).alias("low_first"))
+    known = entries.join(low, "node")
+    x, y = known.alias("x"), known.where("first").alias("y")
+    one_side = ~F.col("x.first") | (F.col("x.node") < F.col("y.node"))
+    before = F.least(F.array_min(F.array_intersect("x.low", "y.low_first")), F.array_min(F.array_intersect("x.low_first", "y.low")))
+    fresh = before.isNull() | (before >= F.col("x.column"))
+    return x.join(y, F.col("x.column") == F.col("y.column")).where(one_side & met & fresh).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def links_of(space: Workspace, entries: DataFrame, more: DataFrame, may_link: Column,
              confirm: Callable[[DataFrame, str], DataFrame], few: int | None = None) -> DataFrame | None:
     """All links between components of ``entries`` (``column``, ``node``, ``first`` and others), or None.
@@ -121,16 +141,16 @@ def links_of(space: Workspace, entries: DataFrame, more: DataFrame, may_link: Co
         last = left <= enough or turn == MAX_PIVOTS or not merging
         met = (F.col("x.label") != F.col("y.label")) & may_link
         if last:
-            firsts = open_entries.where("first")
+            pairs = met_once(open_entries, met)
         else:
             own = [c for c in open_entries.columns if c != "column"]
             order = F.xxhash64("node", F.pmod(F.xxhash64("column"), F.lit(KINDS << 3 * turn)), F.lit(turn))
             firsts = space.keep(
                 open_entries.where("first").groupBy("column").agg(F.min_by(F.struct(*own), order).alias("p")).select("column", "p.*"),
                 f"pivots{turn}")
-        pairs = space.keep(
-            open_entries.alias("x").join(firsts.alias("y"), F.col("x.column") == F.col("y.column")).where(met)
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), f"pairs{turn}")
+            pairs = open_entries.alias("x").join(firsts.alias("y"), F.col("x.column") == F.col("y.column")).where(met).select(
+                F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        pairs = space.keep(pairs.distinct(), f"pairs{turn}")
         fresh = confirm(pairs, str(turn))
         links = fresh if links is None else links.unionByName(fresh)
         if last:

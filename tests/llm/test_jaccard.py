@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import jaccard_join, linking
 from ledgerlake.llm.common import Workspace
@@ -65,3 +66,22 @@ def test_unlike_texts_of_one_id_both_stay(spark):
     kept = jaccard_join.keep_one(docs, words=4, percent=85)
     assert kept.columns == docs.columns
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("1", a), ("1", b), ("2", c), ("None", "")])
+
+
+def test_pairs_that_share_many_columns_leave_the_join_once(spark):
+    """Every column is met through its first entries; a spent one (not first there) is met by others only."""
+    rng = random.Random(7)
+    rows = [(c, node, rng.random() < 0.8) for node in range(30) for c in rng.sample(range(40), 30)]
+    entries = spark.createDataFrame(rows, "column long, node long, first boolean")
+    got = [(r["a"], r["b"]) for r in linking.met_once(entries, F.col("x.node") != F.col("y.node")).collect()]
+    columns = {}
+    for c, node, first in rows:
+        columns.setdefault(c, []).append((node, first))
+    want = {(min(m, n), max(m, n)) for c in columns.values() for m, f in c for n, g in c if m != n and (f or g)}
+    assert set(got) == want and len(got) <= 1.1 * len(want)
+
+
+def test_no_link_is_lost_beyond_the_compared_columns(spark, monkeypatch):
+    monkeypatch.setattr(linking, "LOWEST", 1)
+    monkeypatch.setattr(linking, "MAX_PIVOTS", 0)
+    test_large_group_of_near_copies(spark, monkeypatch, 0)
