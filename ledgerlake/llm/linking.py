@@ -115,7 +115,8 @@ def met_once(entries: DataFrame, met: Column) -> DataFrame:
     x, y = known.alias("x"), known.where("first").alias("y")
     one_side = ~F.col("x.first") | (F.col("x.node") < F.col("y.node"))
     before = F.least(F.array_min(F.array_intersect("x.low", "y.low_first")), F.array_min(F.array_intersect("x.low_first", "y.low")))
-    fresh = before.isNull() | (before >= F.col("x.column"))
+    # ``before`` is named once: what a condition names twice is computed ahead of all its parts, for every two entries.
+    fresh = F.coalesce(before, F.col("x.column")) >= F.col("x.column")
     return x.join(y, F.col("x.column") == F.col("y.column")).where(one_side & met & fresh).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 

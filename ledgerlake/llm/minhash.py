@@ -7,7 +7,9 @@ for, the most that a pair at the threshold misses with a probability below 1e-9
 Every set is posted under its coordinate-value pairs. Sets with that many matches share one of the
 ``coordinates - matches + 1`` rarest pairs of either (prefix); the longer lists are skipped, and there a
 pair's collisions are counted from the signatures, four bits of each coordinate, which are never fewer than
-the true ones. The posting lists are met through pivots (see ``linking``), so that a group of near copies
+the true ones. In a prefix longer by ``SPARE`` they share ``SPARE`` pairs more; a set that shares fewer there
+with all others together has no link and is not posted. That spares most sets, as nearly each shares a pair or two with
+some other by chance. The posting lists are met through pivots (see ``linking``), so that a group of near copies
 costs as many pairs as it has members and lists. Pairs above the match threshold are confirmed on whole sets.
 
 Null texts and texts without words have an empty set: size 0, linked with nothing, kept. A text of fewer
@@ -31,6 +33,7 @@ from ledgerlake.llm.shingles import bucket, rarity_classes, shingle_hashes
 
 COORDINATES = 128
 MISS = 1e-9
+SPARE = 8
 SEED = 11
 TILE = 1 << 14  # shingles hashed at once
 
@@ -112,9 +115,8 @@ def _signed(batch: pa.RecordBatch, coordinates: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch["signed"].to_pylist()), np.uint32).reshape(-1, coordinates)
 
 
-def _postings(nodes: DataFrame, coordinates: int, least: int, rarity) -> DataFrame:
-    """Each node under its rarest coordinate-value pairs."""
-    many = coordinates - least + 1
+def _postings(nodes: DataFrame, coordinates: int, many: int, rarity) -> DataFrame:
+    """Each node under its ``many`` rarest coordinate-value pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,6 +129,18 @@ def _postings(nodes: DataFrame, coordinates: int, least: int, rarity) -> DataFra
     return nodes.select("node", "signed").mapInArrow(run, "column long, node long")
 
 
+def _entries(space: Workspace, nodes: DataFrame, coordinates: int, least: int, rarity) -> DataFrame:
+    """The prefixes of the nodes that share enough of their longer prefixes with others to have a link."""
+    spare = min(SPARE, least - 1)
+    many = coordinates - least + 1
+    wide = _postings(nodes, coordinates, many + spare, rarity)
+    shared = space.keep(wide.groupBy("column").agg(F.count("*").alias("m")).where("m > 1").select("column"), "wide-shared")
+    able = wide.join(shared, "column", "left_semi").groupBy("node").agg(F.count("*").alias("k")).where(F.col("k") > spare)
+    chosen = space.keep(nodes.select("node", "signed").join(able, "node", "left_semi"), "chosen")
+    space.drop("wide-shared")
+    return _postings(chosen, coordinates, many, rarity).withColumn("first", F.lit(True))
+
+
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coordinates: int = COORDINATES,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id column, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``.
@@ -146,7 +160,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, coord
             F.min(F.when(F.col("_id") != NO_ID, F.col("_id"))).alias("least")), "nodes")
     rarity = spark.sparkContext.broadcast(
         rarity_classes(nodes.select("signed"), lambda batch: [_items(_signed(batch, coordinates)).ravel()]))
-    entries = _postings(nodes, coordinates, least, rarity).withColumn("first", F.lit(True))
+    entries = _entries(space, nodes, coordinates, least, rarity)
 
     # Nibbles of a coordinate that differ leave a bit in their exclusive or.
     differ = []

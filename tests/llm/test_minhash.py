@@ -64,3 +64,20 @@ def test_threshold_and_match_rate():
     x = minhash.nibbles(signed).view(np.uint64)
     same = sum(int(x[0, i] >> np.uint64(4 * j)) & 15 == int(x[1, i] >> np.uint64(4 * j)) & 15 for i in range(8) for j in range(16))
     assert same >= agree
+
+
+def test_sets_that_share_few_coordinates_are_not_posted(spark, monkeypatch):
+    """Neighbours share a fifth of their text, which never links; only the near copies may reach the lists."""
+    posted = []
+    inner = minhash.links_of
+
+    def spy(space, entries, *rest):
+        posted.extend(r["node"] for r in entries.select("node").distinct().collect())
+        return inner(space, entries, *rest)
+
+    monkeypatch.setattr(minhash, "links_of", spy)
+    rows = [(i, " ".join([f"s{i // 2}-{j}" for j in range(25)] + [f"o{i}-{j}" for j in range(100)])) for i in range(60)]
+    rows += [(100 + i, " ".join(f"n{i // 2}-{j}" for j in range(100)) + f" e{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(minhash.near_duplicates(docs, words=3, percent=85)) == wanted(rows, 3, 85)
+    assert len(posted) == 20
