@@ -46,7 +46,7 @@ def new_rows(
     ``prune_by`` is a column that equal keys always share, such as the month of a key that contains
     the date; the keys are then searched for only among stored rows with the batch's values of it.
     These are given along with the column, or else taken from the batch in the same plan, where a
-    partition column prunes the stored files at run time.
+    partition column prunes the stored files at run time. Given without a value, nothing is searched.
     """
     if null_policy not in ("compat", "raise", "ignore"):
         raise ValueError(f"unknown null_policy {null_policy!r}")
@@ -63,7 +63,8 @@ def new_rows(
 
     # A NULL key survives only the very first load; told before the keys are packed for the join.
     batch = batch.where(F.col(key).isNotNull() | ~stored.select(F.lit(1)).exists())
-    passed = unseen(batch, searched, key, hot)
+    unsearched = isinstance(prune_by, tuple) and not len(prune_by[1])
+    passed = batch if unsearched else unseen(batch, searched, key, hot)
     return passed.where(~nulls.exists()) if null_policy == "compat" else passed
 
 

@@ -146,6 +146,12 @@ def _has_automaton() -> bool:
     return importlib.util.find_spec("ahocorasick") is not None
 
 
+def classified_in_place(master: DataFrame) -> bool:
+    """Whether ``classify`` with these rules leaves every row in its task."""
+    n = master.limit(MAX_INLINE_RULES + 1).count()
+    return n <= MAX_CASE_RULES or n <= MAX_INLINE_RULES and _has_automaton()
+
+
 def _grams(text: Column, size: int) -> Column:
     return F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.length(text) - (size - 1)),

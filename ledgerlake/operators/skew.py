@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SALTS = 64
 MAX_HOT_KEYS = 256
+BITS = 1 << 25  # of the map that stands for a table's keys: 4 MB, however many there are
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
@@ -40,6 +41,27 @@ def hot_keys(df: DataFrame, key: str, rows: int = 5_000_000, fraction: float = 0
     return [r[0] for r in counted.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
 
 
+def marked(df: DataFrame, keys: DataFrame, key: str, out: str) -> DataFrame:
+    """``df`` with ``out``, which is false only where no row of ``keys`` has the same ``key``.
+
+    The keys are broadcast as a map of ``BITS`` bits, in blocks of 4 KB. Keys that share a bit mark rows too many, the
+    more of them the more keys there are: 2 % for 650,000. Rows stay in their tasks.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS))
+    blocks = (
+        keys.select(bit.alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
+    )
+    at = F.bitmap_bit_position("_bit")
+    held = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = df.withColumn("_bit", bit).withColumn("_block", F.bitmap_bucket_number("_bit"))
+    return (
+        rows.join(F.broadcast(blocks), "_block", "left")
+        .withColumn(out, F.coalesce(F.getbit(held, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False)))
+        .drop("_bit", "_block", "_bits")
+    )
+
+
 def salted(left: DataFrame, right: DataFrame, key: str, hot: Sequence = ()) -> tuple[DataFrame, DataFrame]:
     """Both inputs with a ``_salt`` column to add to the join key; NULL keys are always spread.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.flags import SHARED_SETTLEMENT
+from ..operators.skew import marked
 from ..schemas import GOLD, conform
 
 
@@ -29,6 +30,13 @@ def gold_transactions(silver: DataFrame, adjustments: DataFrame) -> DataFrame:
     return conform(adjust(silver, adjustments), GOLD)
 
 
+def gold_parts(silver: DataFrame, adjustments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``gold_transactions`` in two parts: rows that may have an adjustment, and those that have none and stay in their tasks."""
+    rows = marked(silver, adjustments, "hash_id", "_adjustable")
+    some, none = (rows.where(c).drop("_adjustable") for c in (F.col("_adjustable"), ~F.col("_adjustable")))
+    return gold_transactions(some, adjustments), conform(none, GOLD)
+
+
 def money(c: Column) -> Column:
     """Exact total: decimals add up the same in any order, doubles do not."""
     return F.sum(c.cast("decimal(18,4)")).cast("double")

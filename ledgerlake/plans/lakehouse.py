@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.flags import Household
 from ..operators.quality import BRONZE_TABLES, DECLARED_TESTS, run_tests
-from ..operators.skew import hot_keys
+from ..operators.rules import classified_in_place
+from ..operators.skew import hot_keys, marked
 from ..schemas import ADJUSTMENTS, CATEGORY_RULES, ENTITY_RULES, GOLD, MASTER_RULES, SILVER, TABLE_COMMENTS, TXN
-from ..session import local_table
+from ..session import local_table, settled
 from ..sources import tables
 from ..sources.raw import bronze_rows, normalize_cash, read_seed
-from .gold import gold_transactions, monthly_spend
+from .gold import gold_parts, monthly_spend
 from .silver import enrich, union_sources
 
 MONTH = "anio_mes"
@@ -69,12 +70,13 @@ class Lakehouse:
             raise ValueError(f"unknown bronze table {table!r}")
         rows = normalize_cash(raw) if table == "cash" else bronze_rows(raw)
         rows = rows.withColumn(MONTH, F.date_format("fecha", "yyyy-MM"))
-        months = rows.select(MONTH).distinct()
+        held = [(r[0],) for r in rows.select(MONTH).distinct().collect()]  # as few as there are months
+        months = local_table(self.spark, held, f"{MONTH} string")
         self._note_months(months, PENDING)
         self._note_months(self._every() if full_refresh else months, PENDING_TESTS)
         tables.append_new(
             rows, self.name("bronze", table), full_refresh=full_refresh, null_policy=self.null_policy,
-            schema=TXN, comment=TABLE_COMMENTS[table], hot=hot_keys(rows, "hash_id"), partition_by=(MONTH,), prune_by=MONTH,
+            schema=TXN, comment=TABLE_COMMENTS[table], hot=lambda met: hot_keys(met, "hash_id"), partition_by=(MONTH,), prune_by=MONTH,
         )
         # A streaming batch writes through a session of its own; this one may hold an old file list.
         self.spark.catalog.refreshTable(self.name("bronze", table))
@@ -132,24 +134,30 @@ class Lakehouse:
         if not given and noted:
             months = sorted({r[MONTH] for r in noted}, key=str)
         rows = self.bronze_union(None if first else months)
-        if not first:
-            prune_by = None if months is None else (MONTH, [m for m in months if m is not None])
-            rows = tables.new_rows(
-                rows, self.spark.table(target), null_policy=self.null_policy, hot=hot_keys(rows, "hash_id"),
-                prune_by=prune_by,
-            )
+        master = self.table("seeds", "master_mapping")
+        in_place = classified_in_place(master)  # bronze rows lie by month, as silver's will
+        if not first and months is None:
+            rows, in_place = tables.new_rows(
+                rows, self.spark.table(target), null_policy=self.null_policy, hot=hot_keys(rows, "hash_id")), False
+        elif not first:
+            met, others = tables.fresh_parts(
+                rows.withColumn(MONTH, F.date_format("fecha", "yyyy-MM")), target, (MONTH, [m for m in months if m is not None]),
+                null_policy=self.null_policy, hot=lambda met: hot_keys(met, "hash_id"))
+            if in_place:
+                met = tables.rebalanced(met, MONTH)
+            rows = met.unionByName(others).drop(MONTH)
         if first or months is None:
             changed = self._every()
         else:
             changed = local_table(self.spark, [(m,) for m in months], f"{MONTH} string")
         for log in (PENDING_GOLD, PENDING_TESTS):
             self._note_months(changed, log)
-        fresh = enrich(rows, self.table("seeds", "master_mapping"), self.house, self.null_text)
+        fresh = enrich(rows, master, self.house, self.null_text)
         if first:
-            tables.rebuild(fresh, target, ("anio_mes",), SILVER, TABLE_COMMENTS["fct_transactions"])
+            tables.rebuild(fresh, target, ("anio_mes",), SILVER, TABLE_COMMENTS["fct_transactions"], in_place)
         else:
             tables.sync_schema(self.spark, target, fresh.schema, ("anio_mes",))
-            tables.append(fresh, target, ("anio_mes",))
+            tables.append(fresh, target, ("anio_mes",), in_place)
         if first or not given:
             self._clear(PENDING, noted)
 
@@ -167,18 +175,31 @@ class Lakehouse:
         noted = self._noted(PENDING_GOLD)
         months = {r[MONTH] for r in noted}
         given = adjustments.select("hash_id", "adjustment_amount")
+
+        def mart(rows: DataFrame) -> DataFrame:
+            adjusted, others = gold_parts(rows, adjustments)
+            return tables.rebalanced(adjusted, MONTH).unionByName(others)
+
         if full_refresh or EVERY in months or not all(tables.exists(self.spark, t) for t in (target, totals, applied)):
             tables.rebuild(
-                gold_transactions(silver, adjustments), target, (MONTH,), GOLD, TABLE_COMMENTS["transactions"])
+                mart(silver), target, (MONTH,), GOLD, TABLE_COMMENTS["transactions"], dealt=True)
             tables.rebuild(monthly_spend(self.spark.table(target)), totals, (MONTH,))
         else:
             before = self.spark.table(applied)
-            changed = given.exceptAll(before).unionByName(before.exceptAll(given)).select("hash_id").distinct()
-            # As few as there are months.
-            months |= {r[0] for r in silver.join(changed, "hash_id", "left_semi").select(MONTH).distinct().collect()}
+            changed = settled(given.exceptAll(before).unionByName(before.exceptAll(given)).select("hash_id").distinct())
+            if not changed.isEmpty():
+                met = marked(silver.select("hash_id", MONTH), changed, "hash_id", "_changed").where("_changed")
+                # As few as there are months.
+                months |= {r[0] for r in met.join(changed, "hash_id", "left_semi").select(MONTH).distinct().collect()}
             if months:
                 mine = tables.among(MONTH, sorted(months, key=str))
-                tables.replace_parts(gold_transactions(silver.where(mine), adjustments), target, (MONTH,))
+                there = months & {r[0] for r in self.spark.table(target).select(MONTH).distinct().collect()}
+                if there:
+                    old = silver.where(tables.among(MONTH, sorted(there, key=str)))
+                    tables.replace_parts(mart(old), target, (MONTH,), dealt=True)
+                if months - there:  # these replace nothing, so they need no stage
+                    new = silver.where(tables.among(MONTH, sorted(months - there, key=str)))
+                    tables.append(mart(new), target, (MONTH,), dealt=True)
                 tables.replace_parts(monthly_spend(self.spark.table(target).where(mine)), totals, (MONTH,))
         tables.rebuild(given, applied)
         self._clear(PENDING_GOLD, noted)
