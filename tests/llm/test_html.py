@@ -145,3 +145,37 @@ def test_article_blocks_against_a_loop():
         got = html_text.article_blocks(streams, keys, 5, 0.5, 3, shards)
         want = {text: k for text, k in n.items() if k >= least}
         assert got[0] == 20 and dict(zip(got[1].tolist(), got[2].tolist())) == dict(zip(html_text.block_keys(list(want)).tolist(), want.values()))
+
+
+def test_shards_leave_no_article_uncounted(spark, monkeypatch):
+    """A block that half of a host's articles hold goes however they are dealt, also where a shard has few or none of them."""
+    monkeypatch.setattr(html_text, "SHARD_PAGES", 4)
+    own = house(40)
+    for held in (19, 20, 21):
+        rows = [(i, f"http://a.test/{i}", article(own[i], *[LICENCE] * (i < held))) for i in range(40)]
+        assert texts_of(spark, rows) == {i: own[i] + f" {LICENCE}" * (i < held and held < 20) for i in range(40)}
+
+
+def test_named_and_counted_runs_against_the_whole_host():
+    rng = np.random.default_rng(5)
+    words = lambda k: " ".join(f"t{x}" for x in rng.integers(0, 500, k))
+    licence, tail = "l0 l1 l2 l3 l4 l5 l6", "m0 m1 m2 m3 m4 m5"
+    for share, holders in ((0.5, 30), (0.5, 29), (0.3, 20)):
+        articles = [[words(20), words(9), *[licence] * (i < holders), words(7) + " " + tail if i % 2 else tail, "s0 s1"] for i in range(60)]
+        streams, keys = [html_text.article_stream(a) for a in articles], [html_text.block_keys(a) for a in articles]
+        _, found, n = html_text.article_blocks(streams, keys, 5, share, 3)
+        cuts = [0, 1, 3, 25, 60]  # uneven shards; the licence is in the first ones
+        parts = [(streams[a:b], keys[a:b]) for a, b in zip(cuts, cuts[1:])]
+        told = [html_text.named_runs(*p, 5, share, 3) for p in parts]
+        assert sum(a for a, _ in told) == 60
+        named = np.unique(np.concatenate([r for _, r in told]))
+        number, runs_of = {}, {}
+        for p in parts:
+            runs, k, blocks, of_block = html_text.counted_runs(*p, 5, share, 3, named)
+            for r, x in zip(runs.tolist(), k.tolist()):
+                number[r] = number.get(r, 0) + x
+            for b, r in zip(blocks.tolist(), of_block.tolist()):
+                runs_of.setdefault(b, set()).add(r)
+        got = {b: min(number[r] for r in rs) for b, rs in runs_of.items()}
+        assert {b: k for b, k in got.items() if k >= share * 60 and k >= 3} == dict(zip(found.tolist(), n.tolist()))
+        assert len(found) == (2 if holders != 29 else 1)
